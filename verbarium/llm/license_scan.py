@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Mapping
 from functools import reduce
 
@@ -35,11 +37,39 @@ def segments(text: str) -> F.Column:
     return F.when(F.size(parts) > 1, F.array_append(parts, F.col(text))).otherwise(parts)
 
 
+def normal(text: F.Column) -> F.Column:
+    """Words (runs of a-z and digits of the lowered text) between single spaces."""
+    return F.concat(F.lit(" "), F.regexp_replace(text, "[^a-z0-9]+", " "), F.lit(" "))
+
+
 def bigrams(text: F.Column) -> F.Column:
-    """Distinct hashes of neighbouring words; words are runs of letters a-z (A-Z lowered) and digits."""
-    words = F.filter(F.split(ascii_lower(text), "[^a-z0-9]+"), lambda w: w != "")
-    paired = F.arrays_zip(words.alias("a"), F.slice(words, 2, F.greatest(F.size(words), F.lit(1))).alias("b"))
-    return F.array_distinct(F.transform(F.filter(paired, lambda p: p["b"].isNotNull()), lambda p: F.xxhash64(p["a"], p["b"])))
+    """Distinct hashes of neighbouring words of a normalised text."""
+    words = F.filter(F.split(text, " "), lambda w: w != "")
+    paired = lambda w: F.transform(F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda x, k: F.xxhash64(F.get(w, k), x))
+    return F.array_distinct(F.get(F.transform(F.array(words), paired), 0))  # a lambda's variable, so that the words are made once
+
+
+def template_bigrams(body: str) -> set[tuple[str, str]]:
+    words = re.findall("[a-z0-9]+", body.translate({k: k + 32 for k in range(65, 91)}))
+    return set(zip(words, words[1:], strict=False))
+
+
+def telling_words(grams: set[tuple[str, str]], least: float) -> set[str]:
+    """Words of which any segment that matches the template has one.
+
+    A match needs least / 2 * (size + template's size) common bigrams, and its size is at
+    least the lower bound. Words, long ones first, are taken until fewer of the template's
+    bigrams are without them than a match needs.
+    """
+    m = len(grams)
+    need = least / 2 * (m + m * least / (2 - least)) - 1e-9
+    left, taken = set(grams), set()
+    while left and len(left) >= need:
+        counts = Counter(w for g in left for w in set(g))
+        best = max(counts, key=lambda w: (counts[w] * len(w) ** 2, w))
+        taken.add(best)
+        left = {g for g in left if best not in g}
+    return taken
 
 
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = 0.8) -> DataFrame:
@@ -50,7 +80,9 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, lea
     by the Dice coefficient 2 * common / (size + template's size). A coefficient of
     ``least`` needs a size between least / (2 - least) and (2 - least) / least of the
     template's: segments outside the bounds of every template are dropped before their
-    bigrams are looked up, and a segment meets only templates whose bounds hold it.
+    bigrams are looked up, and a segment meets only templates whose bounds hold it. Before
+    that, texts and segments go that have none of the words of which every match of a
+    template has one (``telling_words``); this loses no match.
 
     Defined cases: null, empty and one-word texts match nothing; equal segments of a text
     count each; of equal coefficients the smaller licence name is the best; rows of equal
@@ -61,15 +93,20 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, lea
     names, sorted, comma-joined).
     """
     spark = docs.sparkSession
-    listed = spark.createDataFrame(sorted(templates.items()), "license string, body string")
-    listed = listed.select("license", bigrams(F.col("body")).alias("_b")).withColumn("_m", F.size("_b"))
-    grams = store(listed.select("license", "_m", F.explode("_b").alias("_gram")), "license-templates")
+    by_name = {name: grams for name, body in sorted(templates.items()) if (grams := template_bigrams(body))}
+    rows = [(name, len(grams), *gram) for name, grams in by_name.items() for gram in sorted(grams)]
+    listed = spark.createDataFrame(rows, "license string, _m int, a string, b string")
+    grams = store(listed.select("license", "_m", F.xxhash64("a", "b").alias("_gram")), "license-templates")
     low, high = least / (2 - least), (2 - least) / least
-    sizes = sorted(r[0] for r in grams.select("_m").distinct().collect())  # template sizes: a few numbers
     within = lambda n, m: (n >= m * low - 1e-9) & (n <= m * high + 1e-9)
-    fits = reduce(lambda a, b: a | b, [within(F.col("_n"), F.lit(m)) for m in sizes], F.lit(False))
+    any_of = lambda tests: reduce(lambda a, b: a | b, tests, F.lit(False))
+    fits = any_of(within(F.col("_n"), F.lit(m)) for m in sorted({len(g) for g in by_name.values()}))
+    words = sorted(set().union(*(telling_words(g, least) for g in by_name.values())))
+    tells = lambda text: any_of(F.contains(text, F.lit(f" {w} ")) for w in words)
+    lowered = docs.select("doc_id", F.xxhash64("text").alias("_t"), ascii_lower("text").alias("_low")).where(F.exists(F.array(normal(F.col("_low"))), tells))
+    grams_of = lambda s: F.get(F.transform(F.array(normal(s)), lambda n: F.when(tells(n), bigrams(n))), 0)
     # The bigrams are made below the explode, so that nothing above it makes them again.
-    scanned = docs.select("doc_id", F.xxhash64("text").alias("_t"), F.posexplode(F.transform(segments("text"), bigrams)).alias("_at", "_b"))
+    scanned = lowered.select("doc_id", "_t", F.posexplode(F.transform(segments("_low"), grams_of)).alias("_at", "_b"))
     looked_up = scanned.withColumn("_n", F.size("_b")).where(fits).select("doc_id", "_t", "_at", "_n", F.explode("_b").alias("_gram"))
     hits = looked_up.join(small(grams), "_gram").where(within(F.col("_n"), F.col("_m")))
     common = F.size(F.collect_set("_gram"))  # at most a template's bigrams
