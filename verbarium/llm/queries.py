@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import license_scan, secret_scan, source_mix, url_filter, warc
+from . import decontaminate, license_scan, secret_scan, source_mix, url_filter, warc
 from .common import read_table
 
 # The filter rules.
@@ -24,6 +24,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -33,7 +37,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_secret_scan, op7_warc, op8_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_secret_scan, op5_decontaminate, op7_warc, op8_url_filter)}
 
 
 def _quoted(text: str) -> str:
@@ -91,6 +95,26 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target, (repeats * size + greatest(0, least(size, extra - prior)))::BIGINT AS taken, source, repeats::BIGINT AS repeats FROM run
 """
 
+_WORDS = "list_filter(regexp_split_to_array({}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+_OP5 = rf"""
+WITH items AS (
+  SELECT item_id, w, least(10, len(w)) AS n FROM (SELECT item_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM benchmark)
+), wanted AS (
+  SELECT DISTINCT item_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(w[k : k + n - 1], ' '))) AS win FROM items WHERE n > 0
+), d AS (
+  SELECT doc_id, {_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w FROM documents
+), sizes AS (SELECT DISTINCT n FROM wanted
+), runs AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS k, unnest(list_transform(range(1, len(w) - n + 2), lambda k: array_to_string(w[k : k + n - 1], ' '))) AS win
+  FROM d, sizes WHERE len(w) >= n
+), hits AS (SELECT doc_id, r.n, k, item_id FROM runs r JOIN wanted t ON r.n = t.n AND r.win = t.win
+), words AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS j FROM hits) GROUP BY doc_id
+), found AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
 _OP7 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages
 ), d AS (
@@ -119,4 +143,4 @@ WITH rest AS (
 SELECT parts.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (page_id)
 """
 
-ORACLE_SQL = {"op1_license_scan": _OP1, "op2_source_mix": _OP2, "op7_warc": _OP7, "op8_url_filter": _OP8}
+ORACLE_SQL = {"op1_license_scan": _OP1, "op2_source_mix": _OP2, "op5_decontaminate": _OP5, "op7_warc": _OP7, "op8_url_filter": _OP8}
