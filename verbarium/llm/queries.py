@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, license_scan, secret_scan, source_mix, url_filter, warc
+from . import decontaminate, license_scan, minhash_dedup, secret_scan, source_mix, url_filter, warc
 from .common import read_table
 
 # The filter rules.
@@ -24,6 +24,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -37,7 +41,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_secret_scan, op5_decontaminate, op7_warc, op8_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_secret_scan, op4_minhash_dedup, op5_decontaminate, op7_warc, op8_url_filter)}
 
 
 def _quoted(text: str) -> str:
@@ -95,6 +99,25 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target, (repeats * size + greatest(0, least(size, extra - prior)))::BIGINT AS taken, source, repeats::BIGINT AS repeats FROM run
 """
 
+_OP4 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k : k + 4], ' '))) END AS s FROM d
+), one AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c FROM one a JOIN one b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (SELECT a, b FROM pairs WHERE 100 * c >= 75 * (na + nb - c)
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT a AS doc_id, a AS other FROM both_ways UNION SELECT r.doc_id, e.b FROM reach r JOIN both_ways e ON r.other = e.a
+), least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(component_id, s.doc_id) AS component_id, coalesce(component_id, s.doc_id) = s.doc_id AS kept
+FROM sets s LEFT JOIN least USING (doc_id)
+"""
+
 _WORDS = "list_filter(regexp_split_to_array({}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 _OP5 = rf"""
 WITH items AS (
@@ -143,4 +166,4 @@ WITH rest AS (
 SELECT parts.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (page_id)
 """
 
-ORACLE_SQL = {"op1_license_scan": _OP1, "op2_source_mix": _OP2, "op5_decontaminate": _OP5, "op7_warc": _OP7, "op8_url_filter": _OP8}
+ORACLE_SQL = {"op1_license_scan": _OP1, "op2_source_mix": _OP2, "op4_minhash_dedup": _OP4, "op5_decontaminate": _OP5, "op7_warc": _OP7, "op8_url_filter": _OP8}
