@@ -87,5 +87,17 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def sample(df: DataFrame, key: str, rows: int, salt: int = 0) -> DataFrame:
+    """The ``rows`` rows of smallest hash of ``key``, all if there are fewer.
+
+    Rows over a cut-off that the count of all rows gives are dropped before the sort, so
+    that the sort gets a few times ``rows`` whatever the input's size.
+    """
+    share = min(1.0, (2.0 * rows + 100) / max(1, df.count()))
+    hashed = F.xxhash64(key, F.lit(salt))
+    cut = int(-(2**63) + share * (2**64 - 1))
+    return df.where(hashed <= F.lit(min(cut, 2**63 - 1))).orderBy(hashed).limit(rows)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, license_scan, minhash_dedup, secret_scan, source_mix, url_filter, warc
+from . import decontaminate, license_scan, minhash_dedup, quality, secret_scan, source_mix, url_filter, warc
 from .common import read_table
 
 # The filter rules.
@@ -32,6 +32,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score_quality(docs, read_table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -41,7 +46,7 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_secret_scan, op4_minhash_dedup, op5_decontaminate, op7_warc, op8_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_secret_scan, op4_minhash_dedup, op5_decontaminate, op6_quality, op7_warc, op8_url_filter)}
 
 
 def _quoted(text: str) -> str:
