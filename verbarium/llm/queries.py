@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, line_dedup, minhash_dedup, quality, secret_scan, source_mix, url_filter, warc
+from . import decontaminate, embedding_dedup, license_scan, line_dedup, minhash_dedup, quality, secret_scan, source_mix, url_filter, warc
 from .common import read_table
 
 # The filter rules.
@@ -47,12 +47,16 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     deduped = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return deduped.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"), F.length("text").cast("long").alias("kept_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_secret_scan, op4_minhash_dedup, op5_decontaminate, op6_quality, op7_warc, op8_url_filter, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_secret_scan, op4_minhash_dedup, op5_decontaminate, op6_quality, op7_warc, op8_url_filter, op9_embedding_dedup, op10_line_dedup)}
 
 
 def _quoted(text: str) -> str:
