@@ -251,6 +251,6 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     Documents that link with nothing stay; rows that repeat a kept document's doc_id stay
     with it. Columns stay as they are.
     """
-    dropped = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_doc")).distinct()
-    dropped = store(dropped, "dedup-dropped")
-    return docs.join(small(dropped, IDS), docs["doc_id"] == F.col("_doc"), "left_anti")
+    dropped = store(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "dedup-dropped")
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(small(dropped, IDS), F.col("row.doc_id") == F.col("doc_id"), "left_anti").select("row.*")

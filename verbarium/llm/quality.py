@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import sample, small, store
 from .textscan import byte_view, scanned, space_separated
@@ -165,6 +166,19 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     return fit(x[kinds == 1], x[kinds == 0], prior)
 
 
+def _scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``row`` (all columns of a document) and its score."""
+    model = train(docs, labels)
+    packed = docs.select(F.struct("*").alias("row"), F.col("text").cast("binary").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = model.score(features(batch.column(1))) if model else np.ones(batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["row", "score"])
+
+    return packed.mapInArrow(run, T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())]))
+
+
 def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with its columns and ``held_out``, ``score`` and ``predicted``.
 
@@ -176,14 +190,11 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     trusted positive every score is 1; repeated rows each get their row; columns of
     ``docs`` named like an added one are replaced.
     """
-    model = train(docs, labels)
-    kept = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), F.col("text").cast("binary").alias("text"))
+    added = ("held_out", "score", "predicted")
+    own = [F.col(f"row.`{c}`") for c in docs.columns if c not in added]
+    return _scored(docs, labels).select(*own, held_out("row.doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            score = model.score(features(batch.column(1))) if model else np.ones(batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["row", "score"])
 
-    scored = packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, score double")
-    return scored.select("row.*", held_out("row.doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs``, as they are, whose score is at least THRESHOLD."""
+    return _scored(docs, labels).where(F.col("score") >= THRESHOLD).select("row.*")

@@ -48,11 +48,13 @@ def water_fill(totals: DataFrame, weights: Sequence[int], share: float, max_epoc
     return filled.select("source", "source_size", target.alias("target"))
 
 
+ADDED = ("size", "source_size", "target", "taken", "repeats")
+
+
 def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: float = 1.5, max_epochs: int = 2, seed: int = 17) -> DataFrame:
     """How many words of each document a mix of the sources takes.
 
-    ``docs`` needs doc_id, text and source; other columns are ignored. Sources, ordered by
-    code point with null last, take ``weights`` in turn. A source's target, rounded to
+    ``docs`` needs doc_id, text and source. Sources, ordered by code point with null last, take ``weights`` in turn. A source's target, rounded to
     words, is met by whole repetitions of all its documents and one more, fractional
     repetition: documents in the order of a seeded hash until the rest is used up, the
     document at the limit with its first words only. So a document is never taken more
@@ -61,14 +63,16 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: floa
 
     Defined cases: null text counts 0 words; a null source is a source; a null doc_id
     hashes as an empty string; documents of equal hash follow by size; repeated rows
-    each count; an empty table gives no rows; a source without words has target 0.
+    each count; an empty table gives no rows; a source without words has target 0; columns
+    of ``docs`` named like an added one are replaced.
 
-    Returns doc_id, source, size, source_size, target, taken, repeats (whole repetitions).
+    Returns the columns of ``docs`` with size, source_size, target, taken and repeats (whole
+    repetitions).
     """
-    key = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10)
-    sized = store(docs.select("doc_id", "source", word_count("text").alias("size"), key.cast("long").alias("_key")), "mix-sizes")
-    bucket = F.floor(F.col("_key") / (2**52 // BUCKETS)).cast("int")
-    sized = sized.withColumn("_bucket", bucket)
+    key = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ADDED]).alias("row"), "source", "doc_id", word_count("text").alias("size"), key.alias("_key"))
+    rows = rows.withColumn("_bucket", F.floor(F.col("_key") / (2**52 // BUCKETS)).cast("int"))
+    sized = store(rows.groupBy("source", "_bucket").agg(F.sum("size").alias("size")), "mix-sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = water_fill(totals, weights, share, max_epochs)
     total = F.floor(F.col("target") + 0.5).cast("long")
@@ -76,9 +80,8 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: floa
     plan = targets.withColumn("repeats", whole).withColumn("_extra", total - F.col("repeats") * F.col("source_size"))
     # Where in the hash order of its buckets each source's extra words end.
     before = W.partitionBy("source").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    sums = sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_sum"))
     at = (
-        sums.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
+        sized.withColumn("_before", F.coalesce(F.sum("size").over(before), F.lit(0)))
         .join(plan.select(F.col("source").alias("_source"), "_extra"), F.col("source").eqNullSafe(F.col("_source")))
         .where(F.col("_before") < F.col("_extra"))
         .groupBy("source")
@@ -89,13 +92,12 @@ def mix_sources(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), share: floa
         plan.join(at, F.col("source").eqNullSafe(F.col("_at")), "left").select(F.col("source").alias("_source"), "source_size", "target", "repeats", "_extra", "_last", "_used"),
         "mix-plan",
     )
-    joined = sized.join(small(plan), F.col("source").eqNullSafe(F.col("_source")))
+    joined = rows.join(small(plan), F.col("source").eqNullSafe(F.col("_source")))
     base = F.col("repeats") * F.col("size")
-    columns = ["doc_id", "source", "size", "source_size", "target"]
+    returned = lambda df, extra: df.select("row.*", "size", "source_size", "target", (base + extra).alias("taken"), "repeats")
     clear = joined.where(F.col("_last").isNull() | (F.col("_bucket") != F.col("_last")))
-    clear = clear.select(*columns, (base + F.when(F.col("_bucket") < F.col("_last"), F.col("size")).otherwise(0)).alias("taken"), "repeats")
+    clear = returned(clear, F.when(F.col("_bucket") < F.col("_last"), F.col("size")).otherwise(0))
     run = W.partitionBy("source").orderBy("_key", "size", F.col("doc_id").asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
     edge = joined.where(F.col("_bucket") == F.col("_last")).withColumn("_prior", F.col("_used") + F.coalesce(F.sum("size").over(run), F.lit(0)))
-    extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_extra") - F.col("_prior")))
-    edge = edge.select(*columns, (base + extra).alias("taken"), "repeats")
+    edge = returned(edge, F.greatest(F.lit(0), F.least(F.col("size"), F.col("_extra") - F.col("_prior"))))
     return clear.unionByName(edge)
