@@ -15,7 +15,7 @@ import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, small, store
+from .common import new_path, sample, small, store
 
 # Fixed values of the formats.
 SKIPPABLE = 0x184D2A5D
@@ -160,13 +160,9 @@ def read_archive(content: bytes) -> Iterator[dict]:
 
 def fit_dictionary(pages: DataFrame) -> bytes:
     """A dictionary from a bounded sample: the payloads of the SAMPLE_ROWS smallest id hashes."""
-    rows = (
-        pages.where("html is not null")
-        .select(F.substring(F.encode("html", "UTF-8"), 1, SAMPLE_BYTES).alias("p"), F.xxhash64("page_id").alias("h"))
-        .orderBy("h")
-        .limit(SAMPLE_ROWS)
-        .collect()
-    )
+    ids = store(sample(pages.where("html is not null").select("page_id"), "page_id", SAMPLE_ROWS).distinct(), "warc-sample")
+    taken = pages.join(small(ids), "page_id").select("page_id", F.substring(F.encode("html", "UTF-8"), 1, SAMPLE_BYTES).alias("p"))
+    rows = sorted(taken.limit(4 * SAMPLE_ROWS).collect())
     samples = [bytes(r["p"]) for r in rows if len(r["p"]) >= 8]
     if len(samples) < 20:
         return b""
