@@ -25,8 +25,8 @@ BASE, RATE, LARGEST = 1.001, 20.0, 65535
 LEAST_ESTIMATE = PERCENT / 100 - 5 * (0.75 * 0.25 / REGISTERS) ** 0.5
 #: Most document ids that a broadcast may hold.
 IDS = 1_000_000
-#: Sets of a bucket that one task compares at once.
-BLOCK = 2048
+#: Sets of a bucket that one task compares at once, from each of two blocks.
+BLOCK = 512
 
 SKETCH_SCHEMA = "doc_id long, n_shingles long, sid binary, regs binary"
 
@@ -140,34 +140,94 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0).filter(chosen), batch.column(1).filter(chosen)], names=["a", "b"])
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Likely pairs of different components inside each run of equal bucket and block."""
-
-    def pairs(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        _, left, right, own, rep, component, n, regs = zip(*rows, strict=True)
-        rep, component, n, own = np.array(rep), np.array(component), np.array(n, dtype=float), np.array(own)
-        regs = np.frombuffer(b"".join(regs), dtype="<u2").reshape(-1, REGISTERS)
-        diagonal = left[0] == right[0]
-        first = np.arange(len(rep)) if diagonal else np.flatnonzero(own == left[0])
-        second = np.arange(len(rep)) if diagonal else np.flatnonzero(own == right[0])
-        for i in first:
-            js = second[second > i] if diagonal else second
-            js = js[component[js] != component[i]]
-            js = js[100 * np.minimum(n[js], n[i]) >= PERCENT * np.maximum(n[js], n[i])]
-            if len(js):
-                js = js[likely(regs[i][None], regs[js], np.full(len(js), n[i]), n[js])]
-            if len(js):
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[i], rep[js])), pa.array(np.maximum(rep[i], rep[js]))], names=["a", "b"])
-
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each run of equal bucket and blocks, which arrive sorted by those first columns."""
     rows: list[tuple] = []
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if rows and row[:3] != rows[0][:3]:
-                yield from pairs(rows)
+                yield rows
                 rows = []
             rows.append(row)
     if rows:
-        yield from pairs(rows)
+        yield rows
+
+
+class Run:
+    """The sets of one bucket and pair of blocks: which pairs of different components are to be checked."""
+
+    def __init__(self, rows: list[tuple]):
+        _, left, right, band, own, rep, component, n, regs = (list(c) for c in zip(*(r[:9] for r in rows), strict=True))
+        self.band, self.rep, self.component = band[0], np.array(rep), np.array(component)
+        self.n, own = np.array(n, dtype=float), np.array(own)
+        self.regs = np.frombuffer(b"".join(regs), dtype="<u2").reshape(-1, REGISTERS)
+        self.same = left[0] == right[0]
+        every = np.arange(len(rep))
+        self.first = every if self.same else np.flatnonzero(own == left[0])
+        self.second = every if self.same else np.flatnonzero(own == right[0])
+
+    def partners(self, i: int, root: np.ndarray) -> np.ndarray:
+        """Sets that ``i`` may be linked with, of another root, and that share no earlier band with it."""
+        js = self.second[self.second > i] if self.same else self.second
+        js = js[root[js] != root[i]]
+        js = js[100 * np.minimum(self.n[js], self.n[i]) >= PERCENT * np.maximum(self.n[js], self.n[i])]
+        if len(js) and self.band:
+            upto = self.band * ROWS
+            equal = (self.regs[js, :upto] == self.regs[i, :upto]).reshape(len(js), self.band, ROWS)
+            js = js[~equal.all(2).any(1)]
+        if len(js):
+            js = js[likely(self.regs[i][None], self.regs[js], np.full(len(js), self.n[i]), self.n[js])]
+        return js
+
+
+def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each run whose set is in a pair to be checked."""
+    for rows in _runs(batches):
+        run = Run(rows)
+        needed = np.zeros(len(rows), dtype=bool)
+        for i in run.first:
+            js = run.partners(i, run.component)
+            if len(js):
+                needed[i] = True
+                needed[js] = True
+        kept = [r[:6] for r, n in zip(rows, needed, strict=True) if n]
+        if kept:
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*kept, strict=True), kinds, strict=True)], names=["bucket", "left", "right", "band", "own", "rep"])
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links that join different components, found on the full sets inside each run.
+
+    A link joins its components here too, so a component's sets are compared with a set
+    only until one is linked with it.
+    """
+    for rows in _runs(batches):
+        run = Run(rows)
+        sets = [np.frombuffer(r[9], dtype="<u8") for r in rows]
+        _, root = np.unique(run.component, return_inverse=True)
+        a, b = [], []
+        for i in run.first:
+            js = run.partners(i, root)
+            if not len(js):
+                continue
+            sizes = np.array([len(sets[j]) for j in js])
+            together = np.concatenate([sets[j] for j in js])
+            place = np.minimum(np.searchsorted(sets[i], together), len(sets[i]) - 1)
+            common = np.add.reduceat((sets[i][place] == together).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+            for j in js[100 * common >= PERCENT * (len(sets[i]) + sizes - common)]:
+                if root[j] != root[i]:
+                    root[root == root[j]] = root[i]
+                    a.append(int(run.rep[i]))
+                    b.append(int(run.rep[j]))
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first, sets, _, _ in shingle_sets(batch.column(1)):
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary())], names=["rep", "shingles"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -184,7 +244,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     3. Candidates whose jointly estimated similarity could reach the threshold are checked
        on their full sets; links give components.
     4. Pairs of one bucket that are still in different components are all estimated, large
-       buckets block by block, and checked likewise: no link that a band holds is lost.
+       buckets block by block, each pair in the first bucket that it shares. Where the estimate
+       could reach the threshold the full sets come to the task and are checked there, and
+       only links that join components are written: no link that a band holds is lost, and
+       no list of pairs is made.
 
     Defined cases: null and blank texts have an empty set and link with nothing; fewer
     words than five are one shingle; a null doc_id links with nothing, has a null component
@@ -201,11 +264,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = store(of_set(usable).where("doc_id = rep").select("rep", F.col("n_shingles").alias("n"), "regs"), "dedup-sets")
 
     bands = F.array(*[F.xxhash64(F.lit(k), F.expr(f"substring(regs, {2 * ROWS * k + 1}, {2 * ROWS})")) for k in range(BANDS)])
-    members = store(sets.select("rep", F.explode(bands).alias("bucket")), "dedup-bands")
+    members = store(sets.select("rep", F.posexplode(bands).alias("band", "bucket")), "dedup-bands")
     order = F.struct(F.xxhash64("rep", F.lit(31)).alias("h"), F.col("rep").alias("rep"))
     heads = members.groupBy("bucket").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high"), F.min(order)["rep"].alias("_any")).where("_low < _high")
     heads = heads.select(F.col("bucket").alias("_bucket"), F.array_distinct(F.array("_low", "_any")).alias("_heads"))
-    grouped = store(members.join(heads, F.col("bucket") == F.col("_bucket")).select("bucket", "rep", "_heads"), "dedup-buckets")
+    grouped = store(members.join(heads, F.col("bucket") == F.col("_bucket")).select("bucket", "band", "rep", "_heads"), "dedup-buckets")
     stars = grouped.select("rep", F.explode("_heads").alias("head")).where("rep <> head")
     stars = store(stars.select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(), "dedup-stars")
 
@@ -217,17 +280,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = store(components(links), "dedup-classes")
 
     labels = classes.select(F.col("node").alias("_node"), "component")
-    placed = grouped.select("bucket", "rep").join(small(labels, IDS), F.col("rep") == F.col("_node"), "left")
-    placed = store(placed.select("bucket", "rep", F.coalesce("component", "rep").alias("component")), "dedup-placed")
+    placed = grouped.select("bucket", "band", "rep").join(small(labels, IDS), F.col("rep") == F.col("_node"), "left")
+    placed = store(placed.select("bucket", "band", "rep", F.coalesce("component", "rep").alias("component")), "dedup-placed")
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_n")).where("_low < _high")
     mixed = store(mixed.select(F.col("bucket").alias("_bucket"), F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")), "dedup-mixed")
-    across = placed.join(small(mixed), F.col("bucket") == F.col("_bucket")).join(sets, "rep")
-    across = across.withColumn("own", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("_blocks")).cast("int"))
-    across = across.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    across = across.select("bucket", F.least("own", "_other").alias("left"), F.greatest("own", "_other").alias("right"), "own", "rep", "component", "n", "regs")
-    across = across.repartition(shuffle_partitions(docs.sparkSession), "bucket", "left", "right").sortWithinPartitions("bucket", "left", "right")
-    pairs = store(across.mapInArrow(_across, "a long, b long").distinct(), "dedup-across")
-    more = store(_checked(pairs, texts), "dedup-more")
+    blocks = placed.join(small(mixed), F.col("bucket") == F.col("_bucket")).withColumn("own", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("_blocks")).cast("int"))
+    blocks = blocks.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    blocks = blocks.select("bucket", F.least("own", "_other").alias("left"), F.greatest("own", "_other").alias("right"), "band", "own", "rep", "component")
+    parts, run = shuffle_partitions(docs.sparkSession), ["bucket", "left", "right"]
+    dealt = lambda df: df.repartition(parts, *run).sortWithinPartitions(*run, "rep")
+    schema = "bucket long, left int, right int, band int, own int, rep long"
+    unsure = store(dealt(blocks.join(sets, "rep").select(*run, "band", "own", "rep", "component", "n", "regs")).mapInArrow(_open, schema), "dedup-open")
+    wanted = store(unsure.select(F.col("rep").alias("doc_id")).distinct(), "dedup-ids")
+    shingles = texts.join(small(wanted, IDS), "doc_id", "left_semi").mapInArrow(_packed, "rep long, shingles binary")
+    own_set = sets.join(small(labels, IDS), F.col("rep") == F.col("_node"), "left").select("rep", F.coalesce("component", "rep").alias("component"), "n", "regs")
+    known = store(own_set.join(shingles.dropDuplicates(["rep"]), "rep"), "dedup-shingles")
+    more = store(dealt(unsure.join(known, "rep").select(*run, "band", "own", "rep", "component", "n", "regs", "shingles")).mapInArrow(_across, "a long, b long").distinct(), "dedup-more")
     if not more.isEmpty():
         classes = store(components(classes.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "dedup-classes")
 
