@@ -83,8 +83,11 @@ def _entries(keyed: DataFrame) -> DataFrame:
         return F.transform(F.coalesce(name, F.array().cast(WORD[name])), lambda x: F.struct(packed(name, x, F.lit(None)).alias("item"), F.lit(None).cast("string").alias("value")))
 
     lists = [listed(name) for name in LISTS]
-    pairs = F.transform(F.coalesce(F.map_entries("translations"), F.array()), lambda e: F.struct(packed("translations", F.lit(None), e["key"]).alias("item"), e["value"].alias("value")))
-    single = keyed.select("id", "_ord", F.posexplode(F.concat(*lists, pairs)).alias("_pos", "_e"))
+    pairs = F.transform("_pairs", lambda e: F.struct(packed("translations", F.lit(None), e["key"]).alias("item"), e["value"].alias("value")))
+    # Of equal contents only the first arrival counts: hot words shrink before they are shuffled.
+    content = keyed.select("id", "_ord", *LISTS, F.coalesce(F.map_entries("translations"), F.array()).alias("_pairs"))
+    once = content.groupBy("id", *LISTS, "_pairs").agg(F.min("_ord").alias("_ord"))
+    single = once.select("id", "_ord", F.posexplode(F.concat(*lists, pairs)).alias("_pos", "_e"))
     place = F.struct("_ord", "_pos")
     distinct = single.groupBy("id", "_e.item").agg(F.min(place).alias("_place"), F.min_by("_e.value", place).alias("value"))
     gathered = distinct.groupBy("id").agg(F.collect_list(F.struct("_place", "item", "value")).alias("_items"))
