@@ -53,7 +53,8 @@ def archive(dictionary=b""):
 
 
 def test_archive_dictionary_is_its_first_frame():
-    samples = [f"page {k} ".encode() * 50 for k in range(300)]
+    bodies = [f"page {k} ".encode() * 20 for k in range(300)]
+    samples = [warc.record(k, f"http://x/{k}", b, warc.digest(b), None, False) for k, b in enumerate(bodies)]
     trained = zstd.train_dictionary(2048, samples).as_bytes()
     plain, led = archive(), archive(trained)
     assert struct.unpack_from("<I", led)[0] == warc.SKIPPABLE and len(led) - len(trained) < len(plain)

@@ -159,11 +159,11 @@ def read_archive(content: bytes) -> Iterator[dict]:
 
 
 def fit_dictionary(pages: DataFrame) -> bytes:
-    """A dictionary from a bounded sample: the payloads of the SAMPLE_ROWS smallest id hashes."""
+    """A dictionary from a bounded sample: records of the pages of the SAMPLE_ROWS smallest id hashes."""
     ids = store(sample(pages.where("html is not null").select("page_id"), "page_id", SAMPLE_ROWS).distinct(), "warc-sample")
-    taken = pages.join(small(ids), "page_id").select("page_id", F.substring(F.encode("html", "UTF-8"), 1, SAMPLE_BYTES).alias("p"))
+    taken = pages.join(small(ids), "page_id").select("page_id", F.coalesce("url", F.lit("")).alias("url"), F.substring(F.encode("html", "UTF-8"), 1, SAMPLE_BYTES).alias("p"))
     rows = sorted(taken.limit(4 * SAMPLE_ROWS).collect())
-    samples = [bytes(r["p"]) for r in rows if len(r["p"]) >= 8]
+    samples = [record(r["page_id"], r["url"], bytes(r["p"]), digest(bytes(r["p"])), None, False) for r in rows if r["page_id"] is not None]
     if len(samples) < 20:
         return b""
     size = min(DICT_BYTES, sum(map(len, samples)) // 8)
