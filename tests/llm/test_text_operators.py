@@ -270,3 +270,20 @@ def test_lines_edges(spark):
     out = line_dedup.drop_repeats(table)
     assert sorted((r["doc_id"], r["text"]) for r in out.select("doc_id", F.coalesce("text", F.lit("null")).alias("text")).collect()) == [(0, one), (2, ""), (3, "null"), (4, two)]
     assert out.columns == table.columns and line_dedup.drop_repeats(table.where("false")).count() == 0
+
+
+def test_lines_with_a_changed_word_are_found(spark):
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    word = lambda n: "".join(rng.choice(letters, n))
+    texts = []
+    for words in (10, 20, 40, 60):
+        for _ in range(40):
+            line = [word(int(n)) for n in rng.integers(4, 9, words)]
+            other = list(line)
+            k = int(rng.integers(words))
+            other[k] = word(len(line[k]))
+            if naive_similar(" ".join(line), " ".join(other), line_dedup.SIMILARITY):
+                texts += [" ".join(line), " ".join(other)]
+    removed = {r["doc_id"] for r in line_dedup.dedup_lines(docs(spark, texts)).where("size(removed) > 0").collect()}
+    assert len(texts) > 240 and removed == set(range(1, len(texts), 2))
