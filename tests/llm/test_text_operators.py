@@ -287,3 +287,9 @@ def test_lines_with_a_changed_word_are_found(spark):
                 texts += [" ".join(line), " ".join(other)]
     removed = {r["doc_id"] for r in line_dedup.dedup_lines(docs(spark, texts)).where("size(removed) > 0").collect()}
     assert len(texts) > 240 and removed == set(range(1, len(texts), 2))
+
+
+def test_short_lines_are_linked_with_equal_ones_only(spark):
+    text = "of edti oner\nintro\n- 12 - 7\n今日は晴れです\n*\n"
+    table = docs(spark, [text, text, "of edti onep", "Of edti, oner!"])
+    assert {r["doc_id"]: r["removed"] for r in line_dedup.dedup_lines(table).collect()} == {0: [], 1: [0, 3], 2: [], 3: [0]}
