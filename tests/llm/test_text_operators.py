@@ -293,3 +293,12 @@ def test_short_lines_are_linked_with_equal_ones_only(spark):
     text = "of edti oner\nintro\n- 12 - 7\n今日は晴れです\n*\n"
     table = docs(spark, [text, text, "of edti onep", "Of edti, oner!"])
     assert {r["doc_id"]: r["removed"] for r in line_dedup.dedup_lines(table).collect()} == {0: [], 1: [0, 3], 2: [], 3: [0]}
+
+
+def test_licenses_inside_long_texts(spark):
+    names = ["mit", "isc", "apache-2.0-notice", "gpl-3.0-notice", "bsd-3-clause-line", "mit-line"]
+    texts = [f"{prose(k, 300)}\n{license_scan.TEMPLATES[n]}\n{prose(k + 9, 300)}" for k, n in enumerate(names[:4])]
+    bsd = license_scan.TEMPLATES["bsd-3-clause-line"].split()
+    texts += [f"// {' '.join(bsd[:9])}\n// {' '.join(bsd[9:])}\n{prose(5)}", f"{prose(6)} released under the MIT License and {prose(7)}"]
+    rows = {r["doc_id"]: r for r in license_scan.scan_licenses(docs(spark, texts)).collect()}
+    assert all(n in rows[k]["licenses"].split(",") and rows[k]["dice"] == 1.0 for k, n in enumerate(names))

@@ -27,6 +27,8 @@ TEMPLATES = {
     "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
 }
 
+#: Lengths of the runs of words compared with a template, as multiples of its own.
+STRETCHES = (1.0, 1.25)
 #: A segment ends at a line's end, and after . ! or ? before white space.
 SENTENCE_END = r"([.!?])[\x20\x09-\x0D]+"
 
@@ -49,6 +51,27 @@ def bigrams(text: F.Column) -> F.Column:
     return F.array_distinct(F.get(F.transform(F.array(words), paired), 0))  # a lambda's variable, so that the words are made once
 
 
+def window_matches(lowered: DataFrame, grams: DataFrame, spans: DataFrame, least: float) -> DataFrame:
+    """Runs of words, across sentences and lines, that match a template: the best of each text and licence.
+
+    A run starts and ends with a bigram of the template and is at most one of STRETCHES times as long.
+    Its size is its distinct bigrams of the template and its places with any other.
+    """
+    words = F.filter(F.split(normal(F.col("_low")), " "), lambda w: w != "")
+    paired = lambda w: F.transform(F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda x, k: F.xxhash64(F.get(w, k), x))
+    placed = lowered.select("doc_id", "_t", F.posexplode(F.get(F.transform(F.array(words), paired), 0)).alias("_p", "_gram"))
+    hits = placed.join(small(grams), "_gram").groupBy("doc_id", "_t", "license", "_m").agg(F.array_sort(F.collect_set(F.struct("_p", "_gram"))).alias("_h"), F.count_distinct("_gram").alias("_all"))
+    hits = hits.where(F.col("_all") >= F.col("_m") * (least / (2 - least)) - 1e-9).join(F.broadcast(spans), "license")
+    starts = hits.select("*", F.explode("_h").alias("_s")).select("*", F.explode(F.array(*map(F.lit, STRETCHES))).alias("_by"))
+    inside = F.filter("_h", lambda h: (h["_p"] >= F.col("_s._p")) & (h["_p"] < F.col("_s._p") + F.col("_span") * F.col("_by")))
+    runs = starts.withColumn("_in", inside).withColumn("_common", F.size(F.array_distinct(F.transform("_in", lambda h: h["_gram"]))))
+    length = F.element_at("_in", -1)["_p"] - F.col("_s._p") + 1
+    runs = runs.withColumn("_n", F.col("_common") + length - F.size("_in")).withColumn("dice", (2.0 * F.col("_common")) / (F.col("_n") + F.col("_m")))
+    best = F.max(F.struct("dice", (-1 - F.col("_s._p")).alias("_at"))).alias("_best")
+    found = runs.where(F.col("dice") >= least).groupBy("doc_id", "_t", "license").agg(best)
+    return found.select("doc_id", "_t", F.col("_best._at").alias("_at"), "license", F.col("_best.dice").alias("dice"))
+
+
 def template_bigrams(body: str) -> set[tuple[str, str]]:
     words = re.findall("[a-z0-9]+", body.translate({k: k + 32 for k in range(65, 91)}))
     return set(zip(words, words[1:], strict=False))
@@ -84,6 +107,9 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, lea
     that, texts and segments go that have none of the words of which every match of a
     template has one (``telling_words``); this loses no match.
 
+    A licence that no segment of a text matches is looked for in runs of its words across
+    sentences and lines (``window_matches``); the best run counts as one more segment.
+
     Defined cases: null, empty and one-word texts match nothing; equal segments of a text
     count each; of equal coefficients the smaller licence name is the best; rows of equal
     doc_id and text are one; other rows of equal doc_id are reported together.
@@ -112,6 +138,12 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, lea
     common = F.size(F.collect_set("_gram"))  # at most a template's bigrams
     matched = hits.groupBy("doc_id", "_t", "_at", "license", "_n", "_m").agg(common.alias("_common"))
     matched = matched.withColumn("dice", (2.0 * F.col("_common")) / (F.col("_n") + F.col("_m"))).where(F.col("dice") >= least)
+    matched = store(matched.select("doc_id", "_t", "_at", "license", "dice"), "license-segments")
+    spans = spark.createDataFrame([(name, len(re.findall("[a-z0-9]+", templates[name].translate({k: k + 32 for k in range(65, 91)}))) - 1) for name in by_name], "license string, _span int")
+    seen = matched.select(F.col("doc_id").alias("_sd"), F.col("_t").alias("_st"), F.col("license").alias("_sl")).distinct()
+    more = window_matches(lowered, grams, spans, least)
+    more = more.join(seen, F.col("doc_id").eqNullSafe(F.col("_sd")) & F.col("_t").eqNullSafe(F.col("_st")) & (F.col("license") == F.col("_sl")), "left_anti")
+    matched = matched.union(more)
     best = F.min_by("license", F.struct(-F.col("dice"), "license"))
     per_doc = matched.groupBy(F.col("doc_id").alias("_doc")).agg(
         F.count_distinct("_t", "_at").alias("n_segments"), best.alias("license"), F.max("dice").alias("dice"), F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses")
