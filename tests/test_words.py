@@ -30,9 +30,23 @@ def test_csv(spark, tmp_path):
 
 def test_csv_columns(spark, tmp_path):
     with pytest.raises(MissingColumns) as e:
-        csv(spark, tmp_path, "word,lang\namor,pt\n")
+        csv(spark, tmp_path, "topics,frequency\nsea,high\n")
     assert e.value.missing == ["language", "text"]
-    assert csv(spark, tmp_path, "word,lang\n").count() == 0
+    with pytest.raises(MissingColumns) as e:
+        csv(spark, tmp_path, "text,frequency\nmar,high\n")
+    assert e.value.missing == ["language"] and csv(spark, tmp_path, "topics,frequency\n").count() == 0
+
+
+def test_files_come_in_the_order_of_their_names(spark, tmp_path):
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    for name, rows in (("c", 5), ("a", 3000), ("b", 400)):
+        (folder / f"{name}.jsonl").write_text("".join(json.dumps({"word": f"{name}{k:05d}", "pos": "noun"}) + "\n" for k in range(rows)), encoding="utf-8")
+        (folder / f"{name}.csv").write_text("text,language\n" + "".join(f"{name}{k:05d},en\n" for k in range(rows)), encoding="utf-8")
+    expected = [f"{name}{k:05d}" for name, rows in (("a", 3000), ("b", 400), ("c", 5)) for k in range(rows)]
+    for found in (read_dictionary_words(spark, f"{folder}/*.jsonl", "en"), read_csv_words(spark, f"{folder}/*.csv")):
+        assert [r["text"] for r in found.orderBy("_ord").collect()] == expected
+        assert found.where(F.col("_ord") >= 1 << 56).count() == 0
 
 
 def test_dictionary(spark, tmp_path):
@@ -83,6 +97,11 @@ def test_merge(spark):
     assert [r["text"] for r in again] == ["ação", "paz"]
 
 
+def test_merge_fills_normalized_first(spark):
+    rows = words(spark, {"text": "mar", "language": "pt"}, {"text": "mar", "language": "pt", "normalized": "KEPT"}, {"text": "sol", "language": "pt", "normalized": "FIRST"}, {"text": "sol", "language": "pt", "normalized": "second"})
+    assert [r["normalized"] for r in merge_words(rows).orderBy("_ord").collect()] == ["mar", "FIRST"]
+
+
 def test_merge_text_rules(spark):
     rows = words(spark, {"text": "Acao", "language": "pt"}, {"text": "acao", "language": "pt"})
     assert merge_words(rows).first()["text"] == "acao"  # without an accent the last one holds

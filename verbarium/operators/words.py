@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import accented_chars, has_accent, has_foreign_letter, nonempty, normalize, word_id
-from ..sources.schemas import WORD
+from ..sources.schemas import ORDER_BITS, WORD
 
 LISTS = ("topics", "glosses", "examples", "false_friends", "sources")
 
@@ -29,35 +29,37 @@ def derive(words: DataFrame) -> DataFrame:
 
 def _first_given(name: str) -> Column:
     """The first non-empty value in arrival order; without one, the last value."""
-    given = F.when(nonempty(F.col(name)), F.col("_ord"))
-    return F.coalesce(F.min_by(name, given), F.max_by(F.struct(name), "_ord")[name])
+    given = F.when(nonempty(F.col(name)), F.col("_low"))
+    return F.coalesce(F.min_by(name, given), F.max_by(F.struct(name), "_high")[name])
 
 
 def merge_words(words: DataFrame) -> DataFrame:
     """One word for each id, merged in arrival order.
 
     The text is the first with a letter beyond ASCII, else the last that isn't empty, else
-    the first. Language: the first. normalized, part of speech, frequency: the first that
-    isn't empty. Translations: the first for each key. Lists: distinct entries in the order
-    of their first appearance; a word that is alone keeps its lists as they are.
-    ``_ord`` is the first arrival, by which the result can be ordered.
-
-    Every aggregate is partial, and list entries are first grouped by themselves, so a word
-    with any number of rows meets in one task only as its distinct entries.
+    the first. Language: the first. A word without a normalized text has that of its own
+    text before anything is merged; the first that isn't empty holds. Part of speech,
+    frequency: the first that isn't empty. Translations: the first for each key. Lists:
+    distinct entries in the order of their first appearance; a word that is alone keeps its
+    lists as they are. ``_ord`` is the first arrival, by which the result can be ordered.
+
+    Rows of equal content are counted first, by a hash aggregation; ids and rules are worked
+    out on contents only. List entries are then grouped by themselves, so a word with any
+    number of rows meets in one task only as its distinct entries.
     """
-    keyed = words.select(*[F.col(name) for name in WORD], word_id(F.col("text"), F.col("language")).alias("id"))
-    foreign = F.when(has_foreign_letter(F.col("text")), F.col("_ord"))
-    filled = F.when(nonempty(F.col("text")), F.col("_ord"))
-    whole = F.struct("translations", *LISTS)
-    base = keyed.groupBy("id").agg(
-        F.count("*").alias("_n"),
-        F.min("_ord").alias("_ord"),
-        F.coalesce(F.min_by("text", foreign), F.max_by("text", filled), F.min_by("text", "_ord")).alias("text"),
-        F.min_by("language", "_ord").alias("language"),
+    contents = _contents(words)
+    foreign = F.when(has_foreign_letter(F.col("text")), F.col("_low"))
+    filled = F.when(nonempty(F.col("text")), F.col("_high"))
+    whole = F.struct(F.map_from_entries("_pairs").alias("translations"), *LISTS)
+    base = contents.groupBy("id").agg(
+        F.sum("_rows").alias("_n"),
+        F.min("_low").alias("_ord"),
+        F.coalesce(F.min_by("text", foreign), F.max_by("text", filled), F.min_by("text", "_low")).alias("text"),
+        F.min_by("language", "_low").alias("language"),
         *[_first_given(name).alias(name) for name in ("normalized", "part_of_speech", "frequency")],
-        F.min_by(whole, "_ord").alias("_whole"),
+        F.min_by(whole, "_low").alias("_whole"),
     )
-    merged = base.join(_entries(keyed), "id", "left")
+    merged = base.join(_entries(contents), "id", "left")
 
     def chosen(name: str) -> Column:
         kind = WORD[name]
@@ -65,13 +67,19 @@ def merge_words(words: DataFrame) -> DataFrame:
         return F.when(F.col("_n") == 1, F.col(f"_whole.{name}")).otherwise(together).alias(name)
 
     translations = F.when(F.col("_n") == 1, F.col("_whole.translations")).otherwise(F.coalesce("_all.translations", F.create_map().cast(WORD["translations"])))
-    text = F.col("text")
-    normalized = F.when(nonempty(F.col("normalized")), F.col("normalized")).otherwise(normalize(text))
-    plain = [normalized.alias(n) if n == "normalized" else translations.alias(n) if n == "translations" else chosen(n) if n in LISTS else F.col(n) for n in WORD]
+    plain = [translations.alias(n) if n == "translations" else chosen(n) if n in LISTS else F.col(n) for n in WORD]
     return merged.select("id", *plain)
 
 
-def _entries(keyed: DataFrame) -> DataFrame:
+def _contents(words: DataFrame) -> DataFrame:
+    """The distinct contents of words with their id, number of rows, first and last arrival."""
+    content = words.select(*[F.col(n) for n in WORD if n != "translations"], F.map_entries("translations").alias("_pairs"))
+    counted = content.groupBy(*[c for c in content.columns if c != "_ord"]).agg(F.count("*").alias("_rows"), F.min("_ord").alias("_low"), F.max("_ord").alias("_high"))
+    normalized = F.when(nonempty(F.col("normalized")), F.col("normalized")).otherwise(normalize(F.col("text")))
+    return counted.withColumns({"normalized": normalized, "id": word_id(F.col("text"), F.col("language"))})
+
+
+def _entries(contents: DataFrame) -> DataFrame:
     """(id, _all): the merged lists and translations of each id."""
     kinds = {name: WORD[name].removeprefix("array<")[:-1] for name in LISTS}
 
@@ -83,11 +91,8 @@ def _entries(keyed: DataFrame) -> DataFrame:
         return F.transform(F.coalesce(name, F.array().cast(WORD[name])), lambda x: F.struct(packed(name, x, F.lit(None)).alias("item"), F.lit(None).cast("string").alias("value")))
 
     lists = [listed(name) for name in LISTS]
-    pairs = F.transform("_pairs", lambda e: F.struct(packed("translations", F.lit(None), e["key"]).alias("item"), e["value"].alias("value")))
-    # Of equal contents only the first arrival counts: hot words shrink before they are shuffled.
-    content = keyed.select("id", "_ord", *LISTS, F.coalesce(F.map_entries("translations"), F.array()).alias("_pairs"))
-    once = content.groupBy("id", *LISTS, "_pairs").agg(F.min("_ord").alias("_ord"))
-    single = once.select("id", "_ord", F.posexplode(F.concat(*lists, pairs)).alias("_pos", "_e"))
+    pairs = F.transform(F.coalesce("_pairs", F.array()), lambda e: F.struct(packed("translations", F.lit(None), e["key"]).alias("item"), e["value"].alias("value")))
+    single = contents.select("id", F.col("_low").alias("_ord"), F.posexplode(F.concat(*lists, pairs)).alias("_pos", "_e"))
     place = F.struct("_ord", "_pos")
     distinct = single.groupBy("id", "_e.item").agg(F.min(place).alias("_place"), F.min_by("_e.value", place).alias("value"))
     gathered = distinct.groupBy("id").agg(F.collect_list(F.struct("_place", "item", "value")).alias("_items"))
@@ -106,10 +111,13 @@ def _entries(keyed: DataFrame) -> DataFrame:
 
 
 def union_sources(*sources: DataFrame) -> DataFrame:
-    """The words of several sources, one source after the other in arrival order."""
+    """The words of several sources, one source after the other in arrival order.
+
+    ``_ord`` is below 2 ** 56 in every source, as the readers make it.
+    """
     out = None
     for k, source in enumerate(sources):
-        placed = source.withColumn("_ord", F.col("_ord") + F.lit(k << 56))
+        placed = source.withColumn("_ord", F.col("_ord") + F.lit(k << ORDER_BITS))
         out = placed if out is None else out.unionByName(placed)
     return out
 

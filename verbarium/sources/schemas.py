@@ -21,6 +21,8 @@ WORD = {
     "false_friends": FALSE_FRIENDS,
     "sources": "array<string>",
 }
+#: Places of one source are below this power of two.
+ORDER_BITS = 56
 WORD_DDL = ", ".join(f"{name} {kind}" for name, kind in WORD.items())
 
 STATS = "struct<seen_count:bigint,correct_count:bigint,error_count:bigint,last_seen_at:timestamp_ntz>"

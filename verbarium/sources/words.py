@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import has_accent, nonempty, strip
-from .schemas import FREQUENCIES, WORD, WORD_DDL
+from .schemas import FREQUENCIES, ORDER_BITS, WORD, WORD_DDL
 
 REQUIRED = ("text", "language")
 
@@ -26,6 +26,7 @@ class MissingColumns(ValueError):
 
     def __init__(self, missing: Iterable[str]):
         self.missing = sorted(missing)
+        # Fixed value: the error's text.
         super().__init__(f"CSV missing required columns: {self.missing}")
 
 
@@ -41,9 +42,28 @@ def _word(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*chosen)
 
 
-def _file_order() -> Column:
-    """Rising with the place in a file; several files follow each other by partition."""
-    return F.monotonically_increasing_id()
+#: Files are split at multiples of 2 ** SPLIT_BITS bytes at least, and are below 2 ** FILE_BITS bytes.
+SPLIT_BITS, FILE_BITS = 22, 38
+
+
+def _in_file_order(rows: DataFrame) -> DataFrame:
+    """``rows`` of text files with ``_ord``: by file name, place of the split in its file, and row.
+
+    Spark packs splits of several files into a partition in any order, so the number of a row
+    in its partition alone does not do.
+    """
+    plain = lambda path: F.regexp_replace(path, "^(\\w+):/+", "$1:/")
+    spark, files = rows.sparkSession, sorted(rows.inputFiles())
+    row_bits = ORDER_BITS - (FILE_BITS - SPLIT_BITS) - max(len(files) - 1, 0).bit_length()
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    split = F.shiftright(F.col("_metadata.file_block_start"), SPLIT_BITS)
+    placed = rows.select("*", plain(F.col("_metadata.file_path")).alias("_path"), split.alias("_split"), number.alias("_row"))
+    known = spark.createDataFrame(list(enumerate(files)), "_file bigint, _name string").select("_file", plain(F.col("_name")).alias("_name"))
+    placed = placed.join(F.broadcast(known), F.col("_path") == F.col("_name"), "left")  # a row a file: no more than the driver has listed
+    place = F.shiftleft(F.shiftleft("_file", FILE_BITS - SPLIT_BITS) + F.col("_split"), row_bits) + F.col("_row")
+    sound = F.col("_file").isNotNull() & (F.col("_row") < F.lit(1 << row_bits)) & (F.col("_split") < F.lit(1 << (FILE_BITS - SPLIT_BITS)))
+    refuse = F.raise_error(F.concat(F.lit("no place for a row of "), "_path"))
+    return placed.withColumn("_ord", F.when(F.coalesce(sound, F.lit(False)), place).otherwise(refuse)).drop("_path", "_split", "_row", "_file", "_name")
 
 
 def read_csv_words(spark: SparkSession, path: str) -> DataFrame:
@@ -60,7 +80,7 @@ def read_csv_words(spark: SparkSession, path: str) -> DataFrame:
         if rows.isEmpty():
             return spark.createDataFrame([], WORD_DDL)
         raise MissingColumns(missing)
-    return csv_rows_to_words(rows.withColumn("_ord", _file_order()))
+    return csv_rows_to_words(_in_file_order(rows))
 
 
 def csv_rows_to_words(rows: DataFrame) -> DataFrame:
@@ -101,7 +121,7 @@ def csv_rows_to_words(rows: DataFrame) -> DataFrame:
 
 def read_dictionary_words(spark: SparkSession, path: str, language: str, *, keep_pos: Iterable[str] | None = KEEP_POS, require_accent: bool = False, skip_form_of: bool = True) -> DataFrame:
     """Words of a dictionary in JSON lines, all stamped with ``language``."""
-    lines = spark.read.text(path).select(F.col("value").alias("line"), _file_order().alias("_ord"))
+    lines = _in_file_order(spark.read.text(path)).select(F.col("value").alias("line"), "_ord")
     return dictionary_lines_to_words(lines, language, keep_pos=keep_pos, require_accent=require_accent, skip_form_of=skip_form_of)
 
 
