@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import SPACE, nonempty, normalize
+from ..functions.text import SPACE, nonempty, normalize, strip
 from .prompts import fields_of, fill, load_prompt
 
 #: Answers a batch: gets the prompts and the inputs, returns a mapping of output fields for each.
@@ -127,3 +127,43 @@ _OFFLINE: dict[str, Callable[[dict], dict]] = {
     "greeting": lambda r: {"greeting": f"{r['topic']}?", "translation": f"{r['topic']}?"},
     "word_generator": lambda r: {"words": [{"text": f"{r['topic']}{'é' if r['require_accents'] else ''}{k + 1}", "translation": r["topic"], "part_of_speech": "noun", "example_sentence": r["topic"], "example_translation": r["topic"]} for k in range(int(r["num_words"]))]},
 }
+
+
+#: A message of a tutor conversation.
+MESSAGE = "struct<role:string,content:string,translation:string,correction:string>"
+
+
+def _message(role: str, content: Column, translation: Column, correction: Column) -> Column:
+    return F.struct(F.lit(role).alias("role"), content.alias("content"), translation.alias("translation"), correction.alias("correction")).cast(MESSAGE)
+
+
+def tutor_open(sessions: DataFrame, provider: Provider | None = None, **options: Any) -> DataFrame:
+    """``sessions`` (session, topic, language) with ``history``, the messages so far.
+
+    With a provider the history begins with its greeting (operator ``greeting``), else it is
+    empty. ``options`` are those of ``apply``.
+    """
+    none = F.array().cast(f"array<{MESSAGE}>")
+    if provider is None:
+        return sessions.withColumn("history", none)
+    nothing = F.lit(None).cast("string")
+    opened = apply(sessions, "greeting", provider, **options)
+    greeting = _message("tutor", F.col("output.greeting"), F.col("output.translation"), nothing)
+    return opened.withColumn("history", F.array(greeting)).drop("output", "valid")
+
+
+def tutor_reply(turns: DataFrame, provider: Provider, **options: Any) -> DataFrame:
+    """One turn of every session: the tutor's answer to ``user_message``.
+
+    ``turns`` has session, topic, language, history and user_message. The tutor sees the
+    history with the user's message at its end. Returns ``turns`` with the history grown by
+    both messages, ``correct`` (whether the correction holds nothing but white space) and
+    ``feedback`` (the correction, or null).
+    """
+    nothing = F.lit(None).cast("string")
+    said = F.array_append("history", _message("user", F.col("user_message"), nothing, nothing))
+    answered = apply(turns.withColumn("history", said), "tutor", provider, **options)
+    feedback = F.col("output.correction.content")
+    reply = _message("tutor", F.col("output.conversation.content"), F.col("output.conversation.translation"), feedback)
+    grown = answered.withColumns({"history": F.array_append("history", reply), "correct": F.coalesce(strip(feedback), F.lit("")) == "", "feedback": F.nullif(feedback, F.lit(""))})
+    return grown.drop("output", "valid")

@@ -1,4 +1,8 @@
-"""Prompt templates: files ``<name>/v<version>.txt`` of a folder, with ``{field}`` places."""
+"""Prompt templates: files ``<name>/v<version>.txt`` of a folder, with ``{field}`` places.
+
+A passage between ``{?field}`` and ``{/field}`` is left out where the field is null, false,
+zero or empty.
+"""
 
 from __future__ import annotations
 
@@ -21,11 +25,11 @@ def load_prompt(name: str, folder: Path | str | None = None, version: str = "aut
 
 def fields_of(template: str) -> set[str]:
     """The names that a template has places for."""
-    return set(re.findall(r"\{(\w+)\}", template))
+    return set(re.findall(r"\{[?/]?(\w+)\}", template))
 
 
 def fill(template: str, values: dict) -> str:
-    """The template with its places filled: lists line by line, null as nothing."""
+    """The template with its places filled, lists line by line and null as nothing, and passages without content left out."""
 
     def text(value: object) -> str:
         if value is None:
@@ -36,4 +40,17 @@ def fill(template: str, values: dict) -> str:
             return ": ".join(text(v) for v in value.values() if v is not None)
         return str(value)
 
-    return re.sub(r"\{(\w+)\}", lambda m: text(values.get(m[1])), template)
+    kept = re.sub(r"\{\?(\w+)\}(.*?)\{/\1\}", lambda m: m[2] if values.get(m[1]) else "", template, flags=re.DOTALL)
+    return re.sub(r"\{(\w+)\}", lambda m: text(values.get(m[1])), kept)
+
+
+def keywords(settings: dict, leave_out_null: bool = False) -> dict:
+    """Settings as keyword arguments: those of a mapping named ``kwargs`` stand beside the others, and win over them.
+
+    ``kwargs`` of another type stays as it is. Null settings go if ``leave_out_null``, at both levels.
+    """
+    kept = {k: v for k, v in settings.items() if not (leave_out_null and v is None)}
+    if isinstance(inner := kept.get("kwargs"), dict):
+        del kept["kwargs"]
+        kept |= {k: v for k, v in inner.items() if not (leave_out_null and v is None)}
+    return kept
