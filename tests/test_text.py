@@ -15,21 +15,21 @@ def one(spark, text, *columns):
 
 @pytest.mark.parametrize(
     ("text", "language", "expected"),
-    [("café", None, "cafe"), ("naïve", None, "naive"), ("Ação", None, "acao"), ("HÉLLO", None, "hello"), ("São Paulo", "pt", "sao paulo"), ("œuvre", "fr", "oeuvre"), ("Œuvre", "fr", "œuvre"), ("straße", "de", "strasse"), ("straße", None, "straße"), ("é", None, "e"), ("", None, ""), (None, None, None)],
+    [("señor", None, "senor"), ("Übung", None, "ubung"), ("ÎLOT", None, "ilot"), ("à Évora", "pt", "a evora"), ("cœur", "fr", "coeur"), ("CŒUR", "fr", "cœur"), ("Fuß", "de", "fuss"), ("Fuß", None, "fuß"), ("o\u0308", None, "o"), ("", None, ""), (None, None, None)],
 )
 def test_normalize(spark, text, language, expected):
     assert one(spark, text, normalize(F.col("t"), language), normalize_exact(F.col("t"), language)) == (expected, expected)
 
 
 def test_accents(spark):
-    assert one(spark, "café", has_accent(F.col("t"))) == (True,)
-    assert one(spark, "hello", has_accent(F.col("t"))) == (False,)
-    assert one(spark, "straße", has_accent(F.col("t")), has_accent(F.col("t"), "de")) == (False, True)
-    assert one(spark, "crème brûlée é", accented_chars(F.col("t"))) == (["è", "û", "é", "é"],)
+    assert one(spark, "señor", has_accent(F.col("t"))) == (True,)
+    assert one(spark, "Turm 7", has_accent(F.col("t"))) == (False,)
+    assert one(spark, "Fuß", has_accent(F.col("t")), has_accent(F.col("t"), "de")) == (False, True)
+    assert one(spark, "Ñandú à ñandú", accented_chars(F.col("t"))) == (["Ñ", "ú", "à", "ñ", "ú"],)
 
 
 def test_word_id(spark):
-    rows = spark.createDataFrame([("café", "fr"), ("CAFÉ", "FR"), ("amor", "pt"), ("amor", "es")], "t string, l string")
+    rows = spark.createDataFrame([("thé", "fr"), ("THE", "FR"), ("sal", "pt"), ("sal", "es")], "t string, l string")
     ids = [r[0] for r in rows.select(word_id(F.col("t"), F.col("l"))).collect()]
     assert ids[0] == ids[1] and len(set(ids)) == 3 and all(len(i) == 16 for i in ids)
 

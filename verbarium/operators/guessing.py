@@ -13,6 +13,8 @@ from ..sources.schemas import LETTER_STATES
 
 #: Lengths offered to players, and the first choice.
 WORD_LENGTHS, DEFAULT_LENGTH = (4, 5, 6, 7), 5
+# What a player is told; the length and the guess come between the parts.
+FINISHED, WRONG_LENGTH, WRONG_GUESS = "Game already finished.", ("Guess must be ", " letters."), ("'", "' is not the word.")
 
 
 def evaluate(guess: Column, target: Column) -> Column:
@@ -74,8 +76,8 @@ def play(guesses: DataFrame) -> DataFrame:
     out = counted.withColumn("status", status).withColumn("correct", scored & F.col("_hit"))
     out = out.withColumn("attempt", F.when(scored, F.col("_turn")))
     out = out.withColumn("ends", scored & (F.col("_hit") | (F.col("_turn") >= F.col("max_attempts"))))
-    feedback = F.when(F.col("status") == "finished", "Game already finished.").when(F.col("status") == "rejected", F.concat(F.lit("Guess must be "), F.length("target").cast("string"), F.lit(" letters.")))
-    feedback = feedback.when(~F.col("correct"), F.concat(F.lit("'"), "guess", F.lit("' is not the word.")))
+    feedback = F.when(F.col("status") == "finished", FINISHED).when(F.col("status") == "rejected", F.concat(F.lit(WRONG_LENGTH[0]), F.length("target").cast("string"), F.lit(WRONG_LENGTH[1])))
+    feedback = feedback.when(~F.col("correct"), F.concat(F.lit(WRONG_GUESS[0]), "guess", F.lit(WRONG_GUESS[1])))
     results = F.when(scored, evaluate(F.col("guess_normalized"), F.col("target")))
     return out.withColumns({"feedback": feedback, "letters": results}).drop("_fits", "_hit", "_before", "_won", "_turn")
 

@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from ..functions.text import SPACE, strip, word_id
 
 LEAST_PORTION = 3
+# Fixed value: what a player is told.
+WRONG_PAIR = "Wrong pair."
+
+
+def _shuffle_key(seed: int, *parts: Column | str) -> Column:
+    """A key that is as good as random, and the same in every run."""
+    texts = [(F.col(x) if isinstance(x, str) else x).cast("string") for x in parts]
+    return F.sha1(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(x, F.lit("")) for x in texts]))
 
 
 def pairs(words: DataFrame, target_language: str, strict: bool = True) -> DataFrame:
@@ -30,7 +38,7 @@ def pairs(words: DataFrame, target_language: str, strict: bool = True) -> DataFr
 
 def columns_shown(paired: DataFrame, seed: int) -> DataFrame:
     """(round, left_words in order, right_words shuffled by a seeded hash) of each round."""
-    shuffled = F.struct(F.xxhash64(F.lit(seed), "round", "left").alias("key"), F.col("right").alias("value"))
+    shuffled = F.struct(_shuffle_key(seed, "round", "left").alias("key"), F.col("right").alias("value"))
     ordered = F.struct(F.col("place").alias("key"), F.col("left").alias("value"))
     values = lambda c: F.transform(F.array_sort(F.collect_list(c)), lambda x: x["value"])
     return paired.groupBy("round").agg(values(ordered).alias("left_words"), values(shuffled).alias("right_words"))
@@ -45,7 +53,12 @@ def score_taps(taps: DataFrame, paired: DataFrame) -> DataFrame:
     known = paired.select(F.col("round").alias("_round"), F.col("left").alias("_left"), F.col("right").alias("_right"), "word_id")
     joined = taps.join(known, (F.col("round") == F.col("_round")) & (F.col("left") == F.col("_left")), "left")
     correct = F.col("_right").eqNullSafe(F.col("right"))
-    return joined.withColumns({"correct": correct, "feedback": F.when(~correct, "Wrong pair.")}).drop("_round", "_left", "_right")
+    return joined.withColumns({"correct": correct, "feedback": F.when(~correct, WRONG_PAIR)}).drop("_round", "_left", "_right")
+
+
+def word_results(scored: DataFrame) -> DataFrame:
+    """(session, word_id, correct) of every tap on a word that the round has; rounds are sessions."""
+    return scored.where("word_id is not null").select(F.col("round").alias("session"), "word_id", "correct")
 
 
 def merge_short_portions(portions: Column, least: int = LEAST_PORTION) -> Column:
@@ -69,7 +82,7 @@ def sentence_rounds(sentences: DataFrame, seed: int) -> DataFrame:
     """``sentences`` (sentence, portions or null) with the expected order and a shuffled one."""
     given = F.coalesce("portions", split_sentence(F.col("sentence")))
     ordered = sentences.withColumn("expected", merge_short_portions(given))
-    keyed = F.transform("expected", lambda p, k: F.struct(F.xxhash64(F.lit(seed), F.col("sentence"), k, p).alias("key"), p.alias("p")))
+    keyed = F.transform("expected", lambda p, k: F.struct(_shuffle_key(seed, "sentence", k, p).alias("key"), p.alias("p")))
     return ordered.withColumn("shuffled", F.transform(F.array_sort(keyed), lambda x: x["p"]))
 
 

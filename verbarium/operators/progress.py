@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.schemas import STATS
+from ..sources.schemas import EXERCISE_TYPES, STATS
 
 
 def counters(*keys: str):
@@ -22,6 +22,20 @@ def counters(*keys: str):
     )
 
 
+def attempts_of_results(results: DataFrame, sessions: DataFrame, exercise_type: str) -> DataFrame:
+    """Attempts from the word results of a round's exercise: what progress counts.
+
+    ``results`` has session, word_id and correct, as the exercises' ``word_results`` give them;
+    ``sessions`` has session, user_id, when and _ord, one row each. Results of an unknown
+    session, and results without a word, count for nothing.
+    """
+    if exercise_type not in EXERCISE_TYPES:
+        raise ValueError(f"unknown exercise type {exercise_type}")
+    known = sessions.select(F.col("session").alias("_session"), F.col("user_id").cast("string").alias("user_id"), F.col("when").cast("timestamp_ntz").alias("when"), F.col("_ord").cast("bigint").alias("_ord"))
+    joined = results.where("word_id is not null").join(known, F.col("session") == F.col("_session"))
+    return joined.select("user_id", "word_id", F.lit(exercise_type).alias("exercise_type"), "correct", "when", "_ord")
+
+
 def progress_totals(attempts: DataFrame) -> DataFrame:
     """Counters by user and word; ``last_seen_at`` is of the last attempt applied, not the latest."""
     return counters("user_id", "word_id")(attempts)

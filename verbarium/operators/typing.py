@@ -73,3 +73,8 @@ def play(keystrokes: DataFrame) -> DataFrame:
         completed.alias("completed"),
         F.when(completed, F.col("_end.misses") == 0).alias("correct"),
     )
+
+
+def word_results(played: DataFrame) -> DataFrame:
+    """(session, word_id, correct) of sessions whose word was completed."""
+    return played.where("completed").select("session", "word_id", "correct")

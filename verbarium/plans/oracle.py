@@ -81,6 +81,23 @@ targets AS (
 
 _SHOWN = "CASE hint_level WHEN 'show_all' THEN string_split(text, '') WHEN 'off' THEN list_transform(string_split(text, ''), lambda c: '_') ELSE list_transform(string_split(text, ''), lambda c: CASE WHEN lower(strip_accents(c)) = lower(c) THEN c ELSE '_' END) END"
 
+TYPED = f"""WITH {NEIGHBOURS}, h AS (SELECT *, CASE WHEN length(text) % 2 = 0 THEN 'off' ELSE 'show_unaccented' END AS hint_level, string_split(text, '') AS chars FROM n
+    ), s AS (SELECT *, {_SHOWN} AS shown FROM h
+    ), e AS (SELECT *, list_filter(range(1, len(chars) + 1), lambda k: shown[k] = '_') AS places FROM s
+    ), f AS (
+      SELECT *, list_reduce(list_transform(string_split(guess || text, ''), lambda c: {{'at': 0::BIGINT, 'misses': 0::BIGINT, 'rounds': 0::BIGINT, 'off': ''::VARCHAR, 'k': c}}),
+        lambda acc, x: {{'at': acc.at + CASE WHEN acc.at < len(places) AND chars[places[acc.at + 1]] = x.k THEN 1 ELSE 0 END,
+          'misses': acc.misses + CASE WHEN acc.at < len(places) AND chars[places[acc.at + 1]] <> x.k THEN 1 ELSE 0 END,
+          'rounds': acc.rounds + CASE WHEN acc.at < len(places) THEN 1 ELSE 0 END,
+          'off': CASE WHEN acc.at < len(places) AND chars[places[acc.at + 1]] <> x.k AND NOT contains(acc.off, x.k) THEN acc.off || x.k ELSE acc.off END, 'k': x.k}},
+        {{'at': 0::BIGINT, 'misses': 0::BIGINT, 'rounds': 0::BIGINT, 'off': ''::VARCHAR, 'k': ''::VARCHAR}}) AS z FROM e
+    )"""
+
+PORTIONS = r"""WITH s AS (SELECT conv_id, turn, list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') AS w FROM conversations
+), r AS (
+  SELECT conv_id, turn, CASE WHEN len(w) = 0 THEN [] ELSE list_reduce(list_transform(w, lambda x: [x]), lambda acc, x:
+    CASE WHEN length(x[1]) < 3 OR length(acc[len(acc)]) < 3 THEN list_append(acc[1 : len(acc) - 1], acc[len(acc)] || ' ' || x[1]) ELSE list_concat(acc, x) END) END AS p FROM s)"""
+
 ORACLE_SQL = {
     "accent_stats": f"WITH {TOKENS} SELECT language, sum(uses)::BIGINT AS words, sum(CASE WHEN {ACCENT} THEN uses ELSE 0 END)::BIGINT AS accented, count(DISTINCT {word_id('text', 'language')}) AS ids FROM lex GROUP BY language",
     "normalize_tokens": f"WITH {TOKENS} SELECT text, language, uses, {folded('text')} AS plain, {folded(mapped('text'))} AS normalized, {ACCENT} AS has_accent, length(text) AS length FROM lex",
@@ -91,16 +108,17 @@ ORACLE_SQL = {
     "word_filter": f"WITH {TOKENS} SELECT _ord, text, language, {word_id('text', 'language')} AS id, {folded('text')} AS normalized FROM tok WHERE {ACCENT} AND source = 'src3' AND length(text) BETWEEN 4 AND 12 AND language IN ('fr', 'de')",
     "dedup_words": rf"""WITH {TOKENS}, k AS (
       SELECT *, {word_id("text", "language")} AS id, CASE WHEN length(text) % 2 = 0 THEN 'noun' ELSE '' END AS pos,
-        CASE WHEN length(text) <= 3 THEN 'high' WHEN length(text) <= 6 THEN 'medium' WHEN length(text) <= 9 THEN 'low' END AS freq FROM tok
+        CASE WHEN length(text) <= 3 THEN 'high' WHEN length(text) <= 6 THEN 'medium' WHEN length(text) <= 9 THEN 'low' END AS freq,
+        CASE WHEN _ord % 3 = 0 THEN '=' || text ELSE {folded("text")} END AS norm FROM tok
     ), base AS (
       SELECT id, min(_ord) AS _ord, coalesce(arg_min(text, _ord) FILTER (regexp_matches(text, '[^\x00-\x7F]')), arg_max(text, _ord) FILTER (text <> ''), arg_min(text, _ord)) AS text,
-        arg_min(language, _ord) AS language, coalesce(arg_min(pos, _ord) FILTER (pos <> ''), arg_max(pos, _ord)) AS part_of_speech, arg_min(freq, _ord) FILTER (freq IS NOT NULL) AS frequency FROM k GROUP BY id
+        arg_min(language, _ord) AS language, coalesce(arg_min(pos, _ord) FILTER (pos <> ''), arg_max(pos, _ord)) AS part_of_speech, arg_min(freq, _ord) FILTER (freq IS NOT NULL) AS frequency, arg_min(norm, _ord) AS normalized FROM k GROUP BY id
     ), tr AS (SELECT id, string_agg(source || '=' || v, '|' ORDER BY source) AS translations FROM (SELECT id, source, arg_min(reverse(text), _ord) AS v FROM k GROUP BY ALL) GROUP BY id
     ), tp AS (
       SELECT id, string_agg(topic, '|' ORDER BY o, pos) AS topics FROM (
         SELECT id, topic, min((_ord, pos))[1] AS o, min((_ord, pos))[2] AS pos FROM (SELECT id, _ord, 0 AS pos, source AS topic FROM k UNION ALL SELECT id, _ord, 1, 'length-' || length(text) FROM k) GROUP BY id, topic) GROUP BY id
     )
-    SELECT id, _ord, text, language, {folded("text")} AS normalized, part_of_speech, frequency, translations, topics, 'documents' AS sources, 0 AS n_glosses FROM base JOIN tr USING (id) JOIN tp USING (id)""",
+    SELECT id, _ord, text, language, normalized, part_of_speech, frequency, translations, topics, 'documents' AS sources, 0 AS n_glosses FROM base JOIN tr USING (id) JOIN tp USING (id)""",
     "csv_vocabulary": f"""SELECT p_name || ' ' || p_partkey AS text, 'en' AS language, {word_id("p_name || ' ' || p_partkey", "'en'")} AS id, CASE WHEN p_size % 2 = 0 THEN lower(p_type) END AS part_of_speech,
       CASE WHEN p_size < 15 THEN 'high' WHEN p_size < 30 THEN 'low' END AS frequency, CASE WHEN p_size % 3 = 0 THEN reverse(p_name) END AS fr,
       p_brand || '|' || p_type || CASE WHEN p_size % 5 = 0 THEN '|"' || p_type || '"|x' ELSE '' END AS topics, CASE WHEN p_size % 7 = 0 THEN p_name || ',' || chr(10) || p_brand END AS sentence,
@@ -120,28 +138,37 @@ ORACLE_SQL = {
     ), k AS (SELECT session, l[1] AS letter, max(list_position(['unused', 'wrong', 'misplaced', 'correct'], l[3:])) AS rank FROM x GROUP BY ALL)
     SELECT session, letter, (['unused', 'wrong', 'misplaced', 'correct'])[rank] AS state FROM k""",
     "diacritic_display": f"WITH {TOKENS}, h AS (SELECT text, language, unnest(['off', 'show_unaccented', 'show_all']) AS hint_level FROM lex) SELECT text, language, hint_level, array_to_string({_SHOWN}, '') AS display FROM h",
-    "diacritic_session": f"""WITH {NEIGHBOURS}, h AS (SELECT *, CASE WHEN length(text) % 2 = 0 THEN 'off' ELSE 'show_unaccented' END AS hint_level, string_split(text, '') AS chars FROM n
-    ), s AS (SELECT *, {_SHOWN} AS shown FROM h
-    ), e AS (SELECT *, list_filter(range(1, len(chars) + 1), lambda k: shown[k] = '_') AS places FROM s
-    ), f AS (
-      SELECT *, list_reduce(list_transform(string_split(guess || text, ''), lambda c: {{'at': 0::BIGINT, 'misses': 0::BIGINT, 'rounds': 0::BIGINT, 'off': ''::VARCHAR, 'k': c}}),
-        lambda acc, x: {{'at': acc.at + CASE WHEN acc.at < len(places) AND chars[places[acc.at + 1]] = x.k THEN 1 ELSE 0 END,
-          'misses': acc.misses + CASE WHEN acc.at < len(places) AND chars[places[acc.at + 1]] <> x.k THEN 1 ELSE 0 END,
-          'rounds': acc.rounds + CASE WHEN acc.at < len(places) THEN 1 ELSE 0 END,
-          'off': CASE WHEN acc.at < len(places) AND chars[places[acc.at + 1]] <> x.k AND NOT contains(acc.off, x.k) THEN acc.off || x.k ELSE acc.off END, 'k': x.k}},
-        {{'at': 0::BIGINT, 'misses': 0::BIGINT, 'rounds': 0::BIGINT, 'off': ''::VARCHAR, 'k': ''::VARCHAR}}) AS z FROM e
-    )
+    "diacritic_session": f"""{TYPED}
     SELECT language || '/' || text AS session, {word_id("text", "language")} AS word_id,
       array_to_string(list_transform(range(1, len(chars) + 1), lambda k: CASE WHEN list_contains(places[1 : z.at], k) THEN chars[k] ELSE shown[k] END), '') AS display,
       array_to_string(list_sort(list_filter(string_split(z.off, ''), lambda c: c <> '')), '') AS disabled_keys, z.misses AS error_count, z.rounds AS rounds, z.at AS correct_rounds,
       len(places) > 0 AND z.at >= len(places) AS completed, CASE WHEN len(places) > 0 AND z.at >= len(places) THEN z.misses = 0 END AS correct FROM f""",
+    "typed_progress": f"""{TYPED}, a AS (SELECT language AS user_id, {word_id("text", "language")} AS word_id, 'diacritic_typing' AS exercise_type, z.misses = 0 AS correct, TIMESTAMP '2024-03-01' AS "when", 0 AS _ord FROM f WHERE len(places) > 0 AND z.at >= len(places))
+    SELECT user_id, word_id, exercise_type, {COUNTERS} FROM a GROUP BY ALL""",
     "pair_matching": f"""WITH pairs AS (SELECT p_size AS round, p_name AS "left", arg_max(reverse(p_type), p_partkey) AS expected FROM part GROUP BY ALL
     ), taps AS (SELECT p_size AS round, p_name AS "left", reverse(p_type) AS "right" FROM lineitem JOIN part ON l_partkey = p_partkey)
     SELECT t.round, t."left", t."right", {word_id('t."left"', "'en'")} AS word_id, expected = "right" AS correct, count(*) AS taps FROM taps t JOIN pairs p ON t.round = p.round AND t."left" = p."left" GROUP BY ALL""",
-    "sentence_portions": r"""WITH s AS (SELECT conv_id, turn, list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') AS w FROM conversations
-    ), r AS (
-      SELECT conv_id, turn, CASE WHEN len(w) = 0 THEN [] ELSE list_reduce(list_transform(w, lambda x: [x]), lambda acc, x:
-        CASE WHEN length(x[1]) < 3 OR length(acc[len(acc)]) < 3 THEN list_append(acc[1 : len(acc) - 1], acc[len(acc)] || ' ' || x[1]) ELSE list_concat(acc, x) END) END AS p FROM s)
+    "matching_columns": f"""WITH pairs AS (SELECT p_size AS round, p_name AS "left", arg_max(reverse(p_type), p_partkey) AS "right", min(p_partkey) AS place FROM part GROUP BY ALL)
+    SELECT round, string_agg("left", '|' ORDER BY place) AS left_words, string_agg("right", '|' ORDER BY sha1('{SEED}|' || round || '|' || "left"), "right") AS right_words FROM pairs GROUP BY round""",
+    "sentence_rounds": rf"""{PORTIONS}, e AS (SELECT r.conv_id, r.turn, r.p, text FROM r JOIN conversations c ON r.conv_id = c.conv_id AND r.turn = c.turn
+    ), f AS (SELECT *, list_transform(list_sort(list_transform(range(1, len(p) + 1), lambda k: {{'key': sha1('{SEED}|' || text || '|' || (k - 1) || '|' || p[k]), 'p': p[k]}})), lambda x: x.p) AS q FROM e)
+    SELECT conv_id, turn, array_to_string(p, '|') AS expected, array_to_string(q, '|') AS shuffled, p = q AS shuffled_right, true AS expected_right FROM f""",
+    "union_vocabulary": f"""WITH w AS (SELECT n_name AS name, false AS from_region FROM nation UNION ALL SELECT r_name, true FROM region
+    ), t AS (SELECT array_to_string(list_transform(string_split(name, ' '), lambda x: upper(x[1]) || lower(x[2:])), ' ') AS text, from_region FROM w)
+    SELECT {word_id("text", "'en'")} AS id, text, {folded("text")} AS normalized, bool_and(from_region) AS from_region FROM t GROUP BY text""",
+    "offered_words": f"WITH {TOKENS} SELECT text, language, uses FROM lex WHERE length({folded('text')}) IN (4, 5, 6, 7)",
+    "typing_prompts": f"WITH {TOKENS}, h AS (SELECT text, language, CASE WHEN length(text) % 2 = 0 THEN 'off' ELSE 'show_unaccented' END AS hint_level FROM lex) SELECT text, language, array_to_string({_SHOWN}, '') AS display, 'like ' || text AS gloss_texts FROM h",
+    "accented_dictionary": f"WITH {TOKENS} SELECT text, 'noun' AS part_of_speech, count(*) AS n FROM lex WHERE {ACCENT} GROUP BY text",
+    "played_progress": f"""WITH {PLAYED}, e AS (SELECT session, hit AS correct FROM played WHERE status = 'scored' AND (hit OR turn >= 3)
+    ), a AS (SELECT o_custkey::VARCHAR AS user_id, {word_id("n_name", "'en'")} AS word_id, 'wordle' AS exercise_type, correct, o_orderdate AS "when", o_orderkey AS _ord
+      FROM e JOIN orders ON session = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
+    SELECT user_id, word_id, exercise_type, {COUNTERS} FROM a GROUP BY ALL""",
+    "matched_progress": f"""WITH pairs AS (SELECT p_size AS round, p_name AS "left", arg_max(reverse(p_type), p_partkey) AS expected FROM part GROUP BY ALL
+    ), taps AS (SELECT p_size AS round, p_name AS "left", reverse(p_type) AS "right" FROM lineitem JOIN part ON l_partkey = p_partkey
+    ), a AS (SELECT 'u' || t.round AS user_id, {word_id('t."left"', "'en'")} AS word_id, 'pair_matching' AS exercise_type, expected = "right" AS correct, TIMESTAMP '2024-03-01' AS "when", 0 AS _ord FROM taps t JOIN pairs p ON t.round = p.round AND t."left" = p."left")
+    SELECT user_id, word_id, exercise_type, {COUNTERS} FROM a GROUP BY ALL""",
+    "tutor_sessions": """SELECT conv_id AS session, 'tutor: travel?|user: ' || arg_min(text, turn) || '|tutor: travel: ' || arg_min(text, turn) AS history, true AS correct, NULL::VARCHAR AS feedback FROM conversations WHERE role = 'user' GROUP BY conv_id""",
+    "sentence_portions": rf"""{PORTIONS}
     SELECT conv_id, turn, array_to_string(p, '|') AS portions, len(p)::INTEGER AS n_portions FROM r""",
     "tutor_turns": """WITH t AS (
       SELECT conv_id AS session, turn, CASE role WHEN 'assistant' THEN 'tutor' ELSE role END AS role, CASE length(text) % 3 WHEN 0 THEN ' ' WHEN 1 THEN text END AS correction FROM conversations WHERE role <> 'system'

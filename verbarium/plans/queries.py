@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.languages import with_language
 from ..functions.text import accented_chars, has_accent, normalize, normalize_exact, word_id
-from ..inference.operators import apply, offline
+from ..inference.operators import apply, offline, tutor_open, tutor_reply
 from ..operators import guessing, matching, sessions, typing
-from ..operators.progress import hash_uniform, progress_by_exercise, progress_totals, select_words, weighted_pool
-from ..operators.words import derive, merge_words, word_filter
-from ..sources.words import read_csv_words, read_dictionary_words, static_words
+from ..operators.progress import attempts_of_results, hash_uniform, progress_by_exercise, progress_totals, select_words, weighted_pool
+from ..operators.words import derive, merge_words, union_sources, word_filter
+from ..sources.words import dictionary_lines_to_words, read_csv_words, read_dictionary_words, static_words
 from ..storage import scratch_path
 from ..streaming.progress_stream import latest, stream_progress
 from . import inputs
@@ -64,7 +64,9 @@ def filtered_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = merge_words(inputs.token_words(spark, sf_dir))
+    """Tokens merged by id; every third one comes with a normalized text of its own."""
+    own = F.when(F.col("_ord") % 3 == 0, F.concat(F.lit("="), "text")).otherwise("")
+    merged = merge_words(inputs.token_words(spark, sf_dir).withColumn("normalized", own))
     pairs = F.transform(F.array_sort(F.map_entries("translations")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return merged.select("id", "_ord", "text", "language", "normalized", "part_of_speech", "frequency", _joined(pairs).alias("translations"), _joined("topics").alias("topics"), _joined("sources").alias("sources"), F.size("glosses").alias("n_glosses"))
 
@@ -234,5 +236,75 @@ def generated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply(rows, "word_generator", offline).select("topic", _joined(F.transform("output.words", lambda w: w["text"])).alias("words"), "valid")
 
 
-QUERIES = {f.__name__: f for f in (accent_stats, normalize_tokens, normalize_exact_tokens, accented_chars_hist, word_ids, language_lookup, dedup_words, csv_vocabulary, wiktionary_vocabulary, static_vocabulary, word_weights, wordle_eval, wordle_session, wordle_keyboard, diacritic_display, diacritic_session, pair_matching, sentence_portions, tutor_turns, session_summary, user_upsert, progress_stream, generated_translations, generated_conversations, generated_tutoring, generated_topics, generated_portions, generated_greetings, generated_words)}
+def matching_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both columns of every matching round, the right one shuffled."""
+    shown = matching.columns_shown(matching.pairs(inputs.rounds(spark, sf_dir), "fr"), SEED)
+    return shown.select("round", _joined("left_words").alias("left_words"), _joined("right_words").alias("right_words"))
+
+
+def sentence_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences cut and shuffled, and whether the shuffled order and the expected one would be right."""
+    said = inputs.read(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("sentence"), F.lit(None).cast("array<string>").alias("portions"))
+    rounds = matching.sentence_rounds(said, SEED)
+    right = lambda c: matching.score_order(F.col(c), F.col("expected"))
+    return rounds.select("conv_id", "turn", _joined("expected").alias("expected"), _joined("shuffled").alias("shuffled"), right("shuffled").alias("shuffled_right"), right("expected").alias("expected_right"))
+
+
+def union_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations, then regions, then nations again, as sources one after the other, merged."""
+    source = lambda table, name, code: static_words(spark, [{"text": r[0].title(), "language": code} for r in sorted(inputs.read(spark, sf_dir, table).select(name).collect())])
+    nations, regions = source("nation", "n_name", "en"), source("region", "r_name", "en")
+    merged = merge_words(union_sources(nations, regions, nations))
+    return merged.select("id", "text", "normalized", (F.col("_ord") >= 1 << 56).alias("from_region"))
+
+
+def offered_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return guessing.offered(inputs.lexicon(spark, sf_dir)).select("text", "language", "uses")
+
+
+def typing_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a typing round shows at first, with the words' glosses."""
+    gloss = F.array(F.struct(F.concat(F.lit("like "), "text").alias("text"), F.array().cast("array<struct<text:string,translation:string>>").alias("examples")))
+    words = inputs.lexicon(spark, sf_dir).withColumns({"glosses": gloss, "hint_level": F.when(F.length("text") % 2 == 0, "off").otherwise("show_unaccented")})
+    return typing.prompts(words).select("text", "language", F.array_join("display", "").alias("display"), _joined("gloss_texts").alias("gloss_texts"))
+
+
+def accented_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dictionary lines of the lexicon, of which those with an accent are kept."""
+    lines = inputs.lexicon(spark, sf_dir).select(F.to_json(F.struct(F.col("text").alias("word"), F.lit("noun").alias("pos"))).alias("line"), F.lit(0).cast("long").alias("_ord"))
+    words = dictionary_lines_to_words(lines, "xx", require_accent=True)
+    return words.groupBy("text", "part_of_speech").agg(F.count("*").alias("n"))
+
+
+def played_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Guessing sessions as attempts of their customers, counted."""
+    results = guessing.word_results(guessing.play(inputs.guesses(spark, sf_dir)))
+    played = inputs.read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("session"), F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("when"), F.col("o_orderkey").alias("_ord"))
+    return progress_by_exercise(attempts_of_results(results, played, "wordle"))
+
+
+def typed_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typing sessions as attempts of a learner of each language, counted."""
+    rows = inputs.keystrokes(spark, sf_dir)
+    played = rows.select("session", F.col("language").alias("user_id")).distinct().withColumns({"when": F.lit(NOW).cast("timestamp_ntz"), "_ord": F.lit(0)})
+    return progress_by_exercise(attempts_of_results(typing.word_results(typing.play(rows)), played, "diacritic_typing"))
+
+
+def matched_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Taps of matching rounds as attempts of a learner each round, counted."""
+    scored = matching.score_taps(inputs.taps(spark, sf_dir), matching.pairs(inputs.rounds(spark, sf_dir), "fr"))
+    played = inputs.rounds(spark, sf_dir).select(F.col("round").alias("session")).distinct().withColumns({"user_id": F.concat(F.lit("u"), F.col("session").cast("string")), "when": F.lit(NOW).cast("timestamp_ntz"), "_ord": F.lit(0)})
+    return progress_by_exercise(attempts_of_results(matching.word_results(scored), played, "pair_matching"))
+
+
+def tutor_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tutor sessions opened with a greeting, and the answer to the first user turn of each conversation."""
+    first = inputs.read(spark, sf_dir, "conversations").where("role = 'user'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("user_message"))
+    opened = tutor_open(first.select(F.col("conv_id").alias("session"), F.lit("travel").alias("topic"), F.lit("fr").alias("language"), "user_message"), offline)
+    replied = tutor_reply(opened, offline)
+    message = lambda m: F.concat(m["role"], F.lit(": "), m["content"])
+    return replied.select("session", _joined(F.transform("history", message)).alias("history"), "correct", "feedback")
+
+
+QUERIES = {f.__name__: f for f in (accent_stats, normalize_tokens, normalize_exact_tokens, accented_chars_hist, word_ids, language_lookup, dedup_words, csv_vocabulary, wiktionary_vocabulary, static_vocabulary, word_weights, wordle_eval, wordle_session, wordle_keyboard, diacritic_display, diacritic_session, pair_matching, matching_columns, sentence_portions, sentence_rounds, union_vocabulary, offered_words, typing_prompts, accented_dictionary, played_progress, typed_progress, matched_progress, tutor_sessions, tutor_turns, session_summary, user_upsert, progress_stream, generated_translations, generated_conversations, generated_tutoring, generated_topics, generated_portions, generated_greetings, generated_words)}
 QUERIES |= {"word_filter": filtered_words, "progress_totals": progress_totals_query, "progress_by_exercise": progress_by_exercise_query, "select_words": selected_words}
