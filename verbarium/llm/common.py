@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Most rows that a broadcast may hold; beyond it the plan shuffles instead.
 BROADCAST_ROWS = 200_000
+#: Most bytes that it may have, as stored.
+BROADCAST_BYTES = 64 << 20
+#: Bytes of rows, about, that a Python worker gets at once.
+BATCH_BYTES = 8 << 20
 
 _stored: dict[str, SparkSession] = {}
 
@@ -29,10 +33,13 @@ def ascii_lower(column: Column | str) -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the session has none (single-machine tests) a temporary folder is set.
+    Where the session has none, a temporary folder is set if all runs on this machine
+    (a local master, as in tests); on a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="verbarium-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -57,6 +64,12 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def in_batches(df: DataFrame, function, schema) -> DataFrame:
+    """``df.mapInArrow`` with batches of about BATCH_BYTES, so that long texts don't fill an executor's memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def drop(df: DataFrame) -> None:
     """Delete what ``store`` wrote for ``df``; nothing may read it afterwards."""
     path = getattr(df, "_stored_at", None)
@@ -65,6 +78,18 @@ def drop(df: DataFrame) -> None:
         _stored.pop(path, None)
 
 
+def stored() -> set[str]:
+    """The folders written so far and not dropped."""
+    return set(_stored)
+
+
+def drop_since(before: set[str], *kept: DataFrame) -> None:
+    """Delete what was stored since ``before = stored()``, but for the stored tables ``kept``."""
+    stays = {getattr(df, "_stored_at", None) for df in kept}
+    for path in [p for p in _stored if p not in before and p not in stays]:
+        _delete(_stored.pop(path), path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -80,11 +105,13 @@ def _drop_all() -> None:
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` rows, else as it is (a shuffle join).
+    """``df`` marked for broadcast if it has at most ``rows`` rows and BROADCAST_BYTES, else as it is (a shuffle join).
 
-    ``df`` should be cheap to count, such as a stored table.
+    ``df`` should be cheap to count, such as columns of a stored table; its bytes are those that
+    the planner knows, from the files.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    stored = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(df) if stored <= BROADCAST_BYTES and df.limit(rows + 1).count() <= rows else df
 
 
 def sample(df: DataFrame, key: str, rows: int, salt: int = 0) -> DataFrame:

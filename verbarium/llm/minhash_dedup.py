@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, small, store
+from . import buckets
+from .common import drop, in_batches, small, store
 from .components import components
 from .textscan import mix, scanned, space_separated, splitmix, windows
 
@@ -25,10 +26,10 @@ BASE, RATE, LARGEST = 1.001, 20.0, 65535
 LEAST_ESTIMATE = PERCENT / 100 - 5 * (0.75 * 0.25 / REGISTERS) ** 0.5
 #: Most document ids that a broadcast may hold.
 IDS = 1_000_000
-#: Sets of a bucket that one task compares at once, from each of two blocks.
-BLOCK = 512
+#: Most rounds of stars around a member of a bucket's largest component; what is left is compared exactly.
+ROUNDS = 6
 
-SKETCH_SCHEMA = "doc_id long, n_shingles long, sid binary, regs binary"
+SKETCH_SCHEMA = "rid long, doc_id long, t long, n_shingles long, sid binary, regs binary"
 
 _XOR = np.array([splitmix(10_000 + k) & 0xFFFFFFFF for k in range(REGISTERS)], dtype=np.uint32)
 _TIMES = np.array([splitmix(20_000 + k) & 0xFFFFFFFF | 1 for k in range(REGISTERS)], dtype=np.uint32)
@@ -91,23 +92,24 @@ def likely(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, simil
     return possible & (slope >= 0)
 
 
+def _set_id(shingles: np.ndarray) -> bytes:
+    """128 bits that stand for a set of shingles."""
+    return np.array([mix(shingles).sum(dtype=np.uint64), mix(shingles ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)], dtype=">u8").tobytes()
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (rid, doc_id, t, text)."""
     names = [f.split()[0] for f in SKETCH_SCHEMA.split(", ")]
     for batch in batches:
         sizes, sids, regs = [], [], []
-        for _, sets, full, at in shingle_sets(batch.column(1)):
+        for _, sets, full, at in shingle_sets(batch.column(3)):
             held = np.flatnonzero(np.bincount(at, minlength=len(sets)))
             sketch = iter(registers(minima(full, np.searchsorted(at, held))) if len(held) else ())
             for s in sets:
                 sizes.append(len(s))
-                if len(s):
-                    key = np.array([mix(s).sum(dtype=np.uint64), mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)], dtype=">u8")
-                    sids.append(key.tobytes())
-                    regs.append(next(sketch).astype("<u2").tobytes())
-                else:
-                    sids.append(None)
-                    regs.append(None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sids, pa.binary()), pa.array(regs, pa.binary())], names=names)
+                sids.append(_set_id(s) if len(s) else None)
+                regs.append(next(sketch).astype("<u2").tobytes() if len(s) else None)
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sizes, pa.int64()), pa.array(sids, pa.binary()), pa.array(regs, pa.binary())], names=names)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -123,77 +125,65 @@ def _estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([a.filter(chosen), b.filter(chosen)], names=["a", "b"])
 
 
+def _alike(one: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Which of the ``others`` are linked with the set ``one``."""
+    sizes = np.array([len(s) for s in others])
+    together = np.concatenate(others)
+    place = np.minimum(np.searchsorted(one, together), len(one) - 1)
+    common = np.add.reduceat((one[place] == together).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+    return 100 * common >= PERCENT * (len(one) + sizes - common)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, text of a, text of b) whose full sets are similar enough; a repeats in runs."""
-    held: tuple[int | None, np.ndarray] = (None, np.zeros(0, dtype=np.uint64))
+    """Pairs (a, b, shingles of a, shingles of b) whose full sets are similar enough."""
     for batch in batches:
-        a, b, text_a = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
-        keep, k = [], 0
-        for first, sets, _, _ in shingle_sets(batch.column(3)):
-            for s in sets:
-                if held[0] != a[k]:
-                    held = (a[k], next(x for _, sets_a, _, _ in shingle_sets(text_a.slice(k, 1)) for x in sets_a))
-                common = len(np.intersect1d(held[1], s, assume_unique=True))
-                keep.append(100 * common >= PERCENT * (len(held[1]) + len(s) - common))
-                k += 1
-        chosen = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(chosen), batch.column(1).filter(chosen)], names=["a", "b"])
-
-
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """The rows of each run of equal bucket and blocks, which arrive sorted by those first columns."""
-    rows: list[tuple] = []
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if rows and row[:3] != rows[0][:3]:
-                yield rows
-                rows = []
-            rows.append(row)
-    if rows:
-        yield rows
+        if batch.num_rows:
+            sets = ([np.frombuffer(x.as_buffer(), dtype="<u8") for x in batch.column(k)] for k in (2, 3))
+            chosen = pa.array([bool(_alike(a, [b])[0]) for a, b in zip(*sets, strict=True)])
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(chosen), batch.column(1).filter(chosen)], names=["a", "b"])
 
 
 class Run:
-    """The sets of one bucket and pair of blocks: which pairs of different components are to be checked."""
-
-    def __init__(self, rows: list[tuple]):
-        _, left, right, band, own, rep, component, n, regs = (list(c) for c in zip(*(r[:9] for r in rows), strict=True))
-        self.band, self.rep, self.component = band[0], np.array(rep), np.array(component)
-        self.n, own = np.array(n, dtype=float), np.array(own)
-        self.regs = np.frombuffer(b"".join(regs), dtype="<u2").reshape(-1, REGISTERS)
-        self.same = left[0] == right[0]
-        every = np.arange(len(rep))
-        self.first = every if self.same else np.flatnonzero(own == left[0])
-        self.second = every if self.same else np.flatnonzero(own == right[0])
+    """The sets of one run of a bucket: which pairs of different components are to be checked."""
+
+    def __init__(self, rows: pa.Table):
+        column = lambda name: rows[name].to_numpy()
+        self.band, self.rep, self.component = column("band")[0], column("rep"), column("component")
+        self.n = column("n").astype(float)
+        self.regs = np.frombuffer(b"".join(rows["regs"].to_pylist()), dtype="<u2").reshape(-1, REGISTERS)
+        self.sides = buckets.Sides(column("left"), column("right"), column("own"), column("main"))
 
     def partners(self, i: int, root: np.ndarray) -> np.ndarray:
         """Sets that ``i`` may be linked with, of another root, and that share no earlier band with it."""
-        js = self.second[self.second > i] if self.same else self.second
+        js = self.sides.second(i)
         js = js[root[js] != root[i]]
         js = js[100 * np.minimum(self.n[js], self.n[i]) >= PERCENT * np.maximum(self.n[js], self.n[i])]
+        if len(js):
+            js = js[likely(self.regs[i][None], self.regs[js], np.full(len(js), self.n[i]), self.n[js])]
         if len(js) and self.band:
             upto = self.band * ROWS
             equal = (self.regs[js, :upto] == self.regs[i, :upto]).reshape(len(js), self.band, ROWS)
             js = js[~equal.all(2).any(1)]
-        if len(js):
-            js = js[likely(self.regs[i][None], self.regs[js], np.full(len(js), self.n[i]), self.n[js])]
         return js
 
 
+PAIR = "a long, b long"
+OPEN = f"{buckets.DEALT}, band int, rep long"
+
+
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of each run whose set is in a pair to be checked."""
-    for rows in _runs(batches):
+    names = [f.split()[0] for f in OPEN.split(", ")]
+    for rows in buckets.runs(batches):
         run = Run(rows)
-        needed = np.zeros(len(rows), dtype=bool)
-        for i in run.first:
+        needed = np.zeros(rows.num_rows, dtype=bool)
+        for i in run.sides.first:
             js = run.partners(i, run.component)
             if len(js):
                 needed[i] = True
                 needed[js] = True
-        kept = [r[:6] for r, n in zip(rows, needed, strict=True) if n]
-        if kept:
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*kept, strict=True), kinds, strict=True)], names=["bucket", "left", "right", "band", "own", "rep"])
+        if needed.any():
+            yield from rows.select(names).filter(pa.array(needed)).combine_chunks().to_batches()
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,20 +192,16 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     A link joins its components here too, so a component's sets are compared with a set
     only until one is linked with it.
     """
-    for rows in _runs(batches):
+    for rows in buckets.runs(batches):
         run = Run(rows)
-        sets = [np.frombuffer(r[9], dtype="<u8") for r in rows]
+        sets = [np.frombuffer(x.as_buffer(), dtype="<u8") for x in rows["shingles"]]
         _, root = np.unique(run.component, return_inverse=True)
         a, b = [], []
-        for i in run.first:
+        for i in run.sides.first:
             js = run.partners(i, root)
             if not len(js):
                 continue
-            sizes = np.array([len(sets[j]) for j in js])
-            together = np.concatenate([sets[j] for j in js])
-            place = np.minimum(np.searchsorted(sets[i], together), len(sets[i]) - 1)
-            common = np.add.reduceat((sets[i][place] == together).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
-            for j in js[100 * common >= PERCENT * (len(sets[i]) + sizes - common)]:
+            for j in js[_alike(sets[i], [sets[j] for j in js])]:
                 if root[j] != root[i]:
                     root[root == root[j]] = root[i]
                     a.append(int(run.rep[i]))
@@ -226,8 +212,33 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for first, sets, _, _ in shingle_sets(batch.column(1)):
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary())], names=["rep", "shingles"])
+        for _, sets, _, _ in shingle_sets(batch.column(0)):
+            held = [x for x in sets if len(x)]
+            yield pa.RecordBatch.from_arrays([pa.array([_set_id(x) for x in held], pa.binary()), pa.array([x.astype("<u8").tobytes() for x in held], pa.binary())], names=["sid", "shingles"])
+
+
+def _shingles(nodes: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """(rep, shingles): the full sets of ``nodes`` (a table of rep), from the texts that have them."""
+    wanted = store(sets.join(small(nodes, IDS), "rep", "left_semi").select("rep", F.col("sid").alias("_sid"), F.col("own_id").alias("_id"), F.col("t").alias("_t")), "dedup-wanted")
+    held = texts.join(small(wanted.select("_id", "_t").distinct(), IDS), (F.col("doc_id") == F.col("_id")) & (F.col("t") == F.col("_t")), "left_semi")
+    packed = in_batches(held.select("text"), _packed, "sid binary, shingles binary")
+    found = packed.join(small(wanted.select("rep", "_sid"), IDS), F.col("sid") == F.col("_sid"))
+    return store(found.select("rep", "shingles").dropDuplicates(["rep"]), "dedup-shingles")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) that are linked: by their sketches first, then by their full sets."""
+    left = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra"))
+    right = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb"))
+    sketched = pairs.join(left, "a").join(right, "b").where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
+    candidates = store(in_batches(sketched.select("a", "b", "na", "nb", "ra", "rb"), _estimate, PAIR), "dedup-candidates")
+    nodes = store(candidates.select(F.col("a").alias("rep")).union(candidates.select("b")).distinct(), "dedup-nodes")
+    full = _shingles(nodes, sets, texts)
+    both = candidates.join(full.toDF("b", "sb"), "b").join(full.toDF("a", "sa"), "a")
+    links = store(in_batches(both.select("a", "b", "sa", "sb"), _verify, PAIR), "dedup-links")
+    for table in (candidates, nodes, full):
+        drop(table)
+    return links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -243,8 +254,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
        than members, however large a group of copies is.
     3. Candidates whose jointly estimated similarity could reach the threshold are checked
        on their full sets; links give components.
-    4. Pairs of one bucket that are still in different components are all estimated, large
-       buckets block by block, each pair in the first bucket that it shares. Where the estimate
+    4. While a bucket has many members outside its largest component, each of them is a
+       candidate with another member of that component, as long as this finds links.
+    5. Pairs of one bucket that are still in different components are all estimated, each in
+       the first bucket that it shares (``buckets.deal``). Where the estimate
        could reach the threshold the full sets come to the task and are checked there, and
        only links that join components are written: no link that a band holds is lost, and
        no list of pairs is made.
@@ -256,12 +269,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Returns doc_id, n_shingles, component_id, kept.
     """
-    texts = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as binary) text")
-    sketches = store(texts.mapInArrow(_sketch, SKETCH_SCHEMA), "dedup-sketches")
+    return _classed(docs).drop("t")
+
+
+def _classed(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` with t, a hash of the text."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t"), F.col("text").cast("binary").alias("text"))
+    numbered = texts.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "t", "text")
+    sketches = store(in_batches(numbered, _sketch, SKETCH_SCHEMA), "dedup-sketches")
+    # A set's node is the least row that has it: no two sets share one, whatever their doc_ids.
     usable = sketches.where("doc_id is not null and sid is not null")
-    repeated = store(usable.groupBy("sid").agg(F.min("doc_id").alias("_rep"), F.count("*").alias("_n")).where("_n > 1").select(F.col("sid").alias("_sid"), "_rep"), "dedup-copies")
-    of_set = lambda df: df.join(small(repeated), F.col("sid") == F.col("_sid"), "left").withColumn("rep", F.coalesce("_rep", "doc_id"))
-    sets = store(of_set(usable).where("doc_id = rep").select("rep", F.col("n_shingles").alias("n"), "regs"), "dedup-sets")
+    repeated = usable.groupBy("sid").agg(F.min("rid").alias("_rep"), F.min("doc_id").alias("_doc"), F.count("*").alias("_n")).where("_n > 1")
+    repeated = store(repeated.select(F.col("sid").alias("_sid"), "_rep", "_doc"), "dedup-copies")
+    of_set = lambda df: df.join(small(repeated), F.col("sid") == F.col("_sid"), "left").withColumn("rep", F.coalesce("_rep", "rid")).withColumn("doc", F.coalesce("_doc", "doc_id"))
+    sets = store(of_set(usable).where("rid = rep").select("rep", "doc", "sid", F.col("doc_id").alias("own_id"), "t", F.col("n_shingles").alias("n"), "regs"), "dedup-sets")
 
     bands = F.array(*[F.xxhash64(F.lit(k), F.expr(f"substring(regs, {2 * ROWS * k + 1}, {2 * ROWS})")) for k in range(BANDS)])
     members = store(sets.select("rep", F.posexplode(bands).alias("band", "bucket")), "dedup-bands")
@@ -269,56 +290,66 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     heads = members.groupBy("bucket").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high"), F.min(order)["rep"].alias("_any")).where("_low < _high")
     heads = heads.select(F.col("bucket").alias("_bucket"), F.array_distinct(F.array("_low", "_any")).alias("_heads"))
     grouped = store(members.join(heads, F.col("bucket") == F.col("_bucket")).select("bucket", "band", "rep", "_heads"), "dedup-buckets")
+    drop(members)
     stars = grouped.select("rep", F.explode("_heads").alias("head")).where("rep <> head")
-    stars = store(stars.select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(), "dedup-stars")
-
-    left = sets.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("regs").alias("ra"))
-    right = sets.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("regs").alias("rb"))
-    sketched = stars.join(left, "a").join(right, "b").where(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
-    candidates = store(sketched.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_estimate, "a long, b long"), "dedup-candidates")
-    links = store(_checked(candidates, texts), "dedup-links")
+    links = _linked(store(stars.select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(), "dedup-stars"), sets, texts)
     classes = store(components(links), "dedup-classes")
 
+    sizes = sets.select("rep", "n")
+    grouped = store(grouped.join(sizes, "rep").select("bucket", "band", "rep", F.col("n").alias("weight")), "dedup-members")
+    for turn in range(ROUNDS + 1):
+        placed, mixed = _placed(grouped, classes, turn)
+        if turn == ROUNDS or mixed.where(F.col("_others") > buckets.CROWD * buckets.BLOCK).isEmpty():
+            break
+        links = _linked(store(buckets.star_pairs(placed, mixed), "dedup-stars"), sets, texts)
+        if links.isEmpty():
+            break
+        classes = _joined(classes, links)
+    members = placed.join(small(mixed.select(F.col("_bucket").alias("bucket"))), "bucket", "left_semi")
+    members = members.join(sets.select("rep", "n", "regs"), "rep")
+    members = members.withColumn("node", F.col("rep"))
+    dealt = buckets.gathered(buckets.deal(members, mixed, "band", "rep", "component", "n", "regs"))
+    unsure = store(in_batches(dealt, _open, OPEN), "dedup-open")
+    nodes = store(unsure.select("rep").distinct(), "dedup-nodes")
+    full = _shingles(nodes, sets, texts)
     labels = classes.select(F.col("node").alias("_node"), "component")
-    placed = grouped.select("bucket", "band", "rep").join(small(labels, IDS), F.col("rep") == F.col("_node"), "left")
-    placed = store(placed.select("bucket", "band", "rep", F.coalesce("component", "rep").alias("component")), "dedup-placed")
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_n")).where("_low < _high")
-    mixed = store(mixed.select(F.col("bucket").alias("_bucket"), F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")), "dedup-mixed")
-    blocks = placed.join(small(mixed), F.col("bucket") == F.col("_bucket")).withColumn("own", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("_blocks")).cast("int"))
-    blocks = blocks.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    blocks = blocks.select("bucket", F.least("own", "_other").alias("left"), F.greatest("own", "_other").alias("right"), "band", "own", "rep", "component")
-    parts, run = shuffle_partitions(docs.sparkSession), ["bucket", "left", "right"]
-    dealt = lambda df: df.repartition(parts, *run).sortWithinPartitions(*run, "rep")
-    schema = "bucket long, left int, right int, band int, own int, rep long"
-    unsure = store(dealt(blocks.join(sets, "rep").select(*run, "band", "own", "rep", "component", "n", "regs")).mapInArrow(_open, schema), "dedup-open")
-    wanted = store(unsure.select(F.col("rep").alias("doc_id")).distinct(), "dedup-ids")
-    shingles = texts.join(small(wanted, IDS), "doc_id", "left_semi").mapInArrow(_packed, "rep long, shingles binary")
-    own_set = sets.join(small(labels, IDS), F.col("rep") == F.col("_node"), "left").select("rep", F.coalesce("component", "rep").alias("component"), "n", "regs")
-    known = store(own_set.join(shingles.dropDuplicates(["rep"]), "rep"), "dedup-shingles")
-    more = store(dealt(unsure.join(known, "rep").select(*run, "band", "own", "rep", "component", "n", "regs", "shingles")).mapInArrow(_across, "a long, b long").distinct(), "dedup-more")
+    known = full.join(sets.select("rep", "n", "regs"), "rep").join(small(labels, IDS), F.col("rep") == F.col("_node"), "left")
+    known = store(known.select("rep", F.coalesce("component", "rep").alias("component"), "n", "regs", "shingles"), "dedup-known")
+    dealt = buckets.gathered(unsure.join(known, "rep")).select(*buckets.RUN, "own", "main", "band", "rep", "component", "n", "regs", "shingles")
+    more = store(in_batches(dealt, _across, PAIR).distinct(), "dedup-more")
     if not more.isEmpty():
-        classes = store(components(classes.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "dedup-classes")
+        classes = _joined(classes, more)
+
+    # A class is named by its smallest doc_id.
+    linked = store(classes.join(sets.select(F.col("rep").alias("node"), "doc"), "node"), "dedup-linked")
+    named = linked.groupBy(F.col("component").alias("_c")).agg(F.min("doc").alias("component_id"))
+    labels = store(linked.join(named, F.col("component") == F.col("_c")).select(F.col("node").alias("_node"), "component_id"), "dedup-labels")
+    for table in (grouped, placed, mixed, unsure, nodes, full, known, more, linked, classes, sets):
+        drop(table)
+    result = of_set(sketches).join(small(labels, IDS), F.col("rep") == F.col("_node"), "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", F.when(F.col("sid").isNotNull(), F.col("doc")), "doc_id"))
+    return result.select("doc_id", "t", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
 
+def _placed(grouped: DataFrame, classes: DataFrame, seed: int) -> tuple[DataFrame, DataFrame]:
+    """The members of the buckets with their components, and the buckets that have several."""
     labels = classes.select(F.col("node").alias("_node"), "component")
-    result = of_set(sketches).join(small(labels, IDS), F.col("rep") == F.col("_node"), "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", F.when(F.col("sid").isNotNull(), F.col("rep")), "doc_id"))
-    return result.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    placed = grouped.join(small(labels, IDS), F.col("rep") == F.col("_node"), "left")
+    placed = store(placed.select("bucket", "band", "rep", F.col("rep").alias("node"), F.coalesce("component", "rep").alias("component"), "weight"), "dedup-placed")
+    return placed, store(buckets.mixed(placed, seed), "dedup-mixed")
 
 
-def _checked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of the candidate ``pairs`` (a, b) that are linked by their full sets."""
-    ids = store(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id"), "dedup-ids")
-    wanted = store(texts.join(small(ids, IDS), "doc_id", "left_semi"), "dedup-texts")
-    texts_a, texts_b = wanted.toDF("a", "text_a"), wanted.toDF("b", "text_b")
-    return pairs.join(texts_b, "b").join(texts_a, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long").distinct()
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``classes`` with the components that ``links`` join as one."""
+    return store(components(classes.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)), "dedup-classes")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each class: the one of the smallest doc_id.
 
-    Documents that link with nothing stay; rows that repeat a kept document's doc_id stay
-    with it. Columns stay as they are.
+    Documents that link with nothing stay; rows that repeat a kept document's doc_id and
+    text stay with it. Columns stay as they are.
     """
-    dropped = store(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "dedup-dropped")
+    dropped = store(_classed(docs).where("not kept").select(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).distinct(), "dedup-dropped")
     rows = docs.select(F.struct("*").alias("row"))
-    return rows.join(small(dropped, IDS), F.col("row.doc_id") == F.col("doc_id"), "left_anti").select("row.*")
+    return rows.join(small(dropped, IDS), (F.col("row.doc_id").cast("long") == F.col("_id")) & (F.xxhash64("row.text") == F.col("_t")), "left_anti").select("row.*")
