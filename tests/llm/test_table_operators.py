@@ -76,8 +76,28 @@ def test_broken_archives_are_refused():
             warc.parse(bad)
 
 
+def test_archives_of_other_writers(spark, tmp_path):
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n"
+    body = "<p>é</p>".encode()
+
+    def foreign(kind, block, **fields):
+        head = {"WARC-Type": kind, "WARC-Record-ID": "<urn:uuid:1>", "WARC-Date": "2024-01-01T00:00:00Z", "Content-Length": str(len(block))} | {k.replace("_", "-"): v for k, v in fields.items()}
+        return b"WARC/1.0\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head.items()).encode() + b"\r\n" + block + b"\r\n\r\n"
+
+    records = [foreign("warcinfo", b"software: x\r\n"), foreign("response", http + body, Content_Type="application/http; msgtype=response", WARC_Target_URI="http://a/", WARC_Payload_Digest=f"sha1:{warc.digest(body)}"), foreign("response", body), foreign("response", body, WARC_Block_Digest="md5:0")]
+    folder = tmp_path / "archives"
+    folder.mkdir()
+    (folder / "x.warc.zst").write_bytes(b"".join(zstd.ZstdCompressor().compress(r) for r in records))
+    rows = warc.read_archives(spark, str(folder)).collect()
+    assert [(r["record_type"], r["url"], r["payload_bytes"], r["payload_digest"], r["page_id"]) for r in rows] == [("warcinfo", None, None, None, None), ("response", "http://a/", len(body), warc.digest(body), None), *[("response", None, len(body), warc.digest(body), None)] * 2]
+    assert bytes(rows[1]["payload"]) == body
+    for bad in (foreign("response", body, WARC_Payload_Digest="sha1:AAAA"), foreign("response", body, X_Page_ID="seven")):
+        with pytest.raises(warc.BadArchive):
+            warc.row_of(warc.parse(bad))
+
+
 RULES = [*queries.URL_RULES, ("block", "b.org", "/x"), ("allow", "b.org", "/x"), ("block", "EXAMPLE.com", "/en/8"), ("block", None, "/"), ("other", "c.org", "/")]
-URLS = ["http://Example.com/en/825?page=2", "https://www.example.com/en/1#top", "http://x.example.com/fr", "http://example.com", "http://badexample.com/en/x", "http://m.a.net/es/3", "http://a.net/ES/", "net/es/", "://net/es/x", "", None, "http://b.org/xyz", "http://b.org/y", "http://c.org/", "http://a.com:80/", "http://é.com/en/é?x/en/", "http://example.com?x=/en/", "http://example.com/en/9"]
+URLS = ["http://Example.com/en/825?page=2", "https://www.example.com/en/1#top", "http://x.example.com/fr", "http://example.com", "http://badexample.com/en/x", "http://m.a.net/es/3", "http://a.net/ES/", "net/es/", "://net/es/x", "", None, "http://b.org/xyz", "http://b.org/y", "http://c.org/", "http://a.com:80/", "http://é.com/en/é?x/en/", "http://example.com?x=/en/", "http://example.com/en/9", "http://" + "a." * 50_000 + "net/es/x", "http://" + "." * 100_000, "http://www.example.com./en/", "http://.com/x", "http://m.example.com/en/" + "x" * 200_000]
 
 
 def brute_url(url):
@@ -102,6 +122,7 @@ def test_urls(spark):
 def brute_vectors(rows):
     links = {k: set() for k, _, _ in rows}
     usable = [(k, np.array(v, dtype=float), label) for k, v, label in rows if v and label is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    usable = [(k, v / np.abs(v).max(), label) for k, v, label in usable]
     for i, (a, x, la) in enumerate(usable):
         for b, y, lb in usable[:i]:
             if la == lb and len(x) == len(y) and x @ y / np.sqrt((x @ x) * (y @ y)) >= embedding_dedup.COSINE:
@@ -137,6 +158,52 @@ def test_vectors_agree_with_brute_force(spark):
     assert embedding_dedup.near_vectors(table.where("false")).count() == 0
 
 
+def answers(frame):
+    return {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in frame.collect()}
+
+
+def test_vectors_probe_few_of_many_lists(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for centre in rng.normal(size=(150, 24)):  # pairs about the threshold, and a dense group
+        unit = centre / np.linalg.norm(centre)
+        for cosine in (1.0, 0.95, 0.94, 0.92):
+            away = rng.normal(size=24)
+            away -= (away @ unit) * unit
+            rows.append(list(cosine * unit + np.sqrt(1 - cosine**2) * away / np.linalg.norm(away)))
+    rows += [list(rows[0] + rng.normal(scale=0.01, size=24)) for _ in range(60)]
+    rows = [(k, list(map(float, v)), k % 2 if k < 600 else 0) for k, v in enumerate(rows)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    expected = brute_vectors(rows)
+    lists = int(len(rows) ** 0.5)
+    assert lists > 8 and answers(embedding_dedup.near_vectors(table, probes=None)) == expected
+    got = answers(embedding_dedup.near_vectors(table, probes=8))
+    assert sum(n for n, _, _ in got.values()) >= 0.9 * sum(n for n, _, _ in expected.values()) and all(got[k][0] <= expected[k][0] for k in got)
+
+
+def test_vectors_of_extreme_lengths(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    base = rng.normal(size=(30, 8))
+    scales = [1e-170, 1e-300, 1.0, 1e160, 1e300]
+    rows = [(k * 5 + j, list(map(float, (v + rng.normal(scale=0.02, size=8)) * scale)), 0) for k, v in enumerate(base) for j, scale in enumerate(scales)]
+    rows += [(9000, [5e-324] + [0.0] * 7, 0), (9001, [1.0] + [0.0] * 7, 0)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    expected = brute_vectors(rows)
+    assert answers(embedding_dedup.near_vectors(table, probes=None)) == expected and sum(n for n, _, _ in expected.values()) >= 600
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 8)
+    monkeypatch.setattr(embedding_dedup, "QUERIES", 16)
+    monkeypatch.setattr(embedding_dedup, "IDS", 1)
+    assert answers(embedding_dedup.near_vectors(table, probes=None)) == expected
+
+
+def test_vectors_with_null_and_repeated_ids(spark):
+    x, y = [1.0, 0.0, 0.1], [0.0, 1.0, 0.0]
+    rows = [(None, x, 0), (4, x, 0), (4, x, 0), (4, y, 0), (6, y, 0), (7, x, None), (8, None, 0)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("n_links", F.lit("clash"))
+    got = sorted((r["vec_id"] or 0, r["n_links"], r["component_id"] or 0, r["kept"]) for r in embedding_dedup.near_vectors(table).collect())
+    assert got == [(0, 0, 0, True), (4, 1, 4, True), (4, 1, 4, True), (4, 1, 4, True), (6, 1, 4, False), (7, 0, 7, True), (8, 0, 8, True)]
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_agrees_with_sql(spark, name):
     same(entry_point.queries()[name](spark, SF), queries.ORACLE_SQL[name], SF)

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from verbarium.llm import decontaminate, license_scan, line_dedup, minhash_dedup, quality, secret_scan, source_mix
+from verbarium.llm import buckets, common, decontaminate, license_scan, line_dedup, minhash_dedup, quality, secret_scan, source_mix
 from verbarium.llm.components import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -23,6 +23,10 @@ def prose(k, n=60):
     return " ".join(f"w{k}x{(j * 7919 + k * 104729) % 10007}" for j in range(n))
 
 
+def letters(k, n):
+    return ["".join(x) for x in np.random.default_rng(k).choice(list("abcdefghijklmnop"), (n, 6))]
+
+
 AWKWARD = [None, "", "  \n\t ", "one", "É ß 漢字 😀 ünï", "a b c", "a b c", "x " * 3000]
 
 
@@ -77,6 +81,40 @@ def test_near_duplicates_of_nothing_and_null_ids(spark):
     assert got == {None: (None, True), 1: (1, True)}
 
 
+@pytest.mark.parametrize(("block", "weight"), [(4, 1 << 20), (2048, 300)])
+def test_near_duplicates_in_several_blocks(spark, monkeypatch, block, weight):
+    monkeypatch.setattr(buckets, "BLOCK", block)
+    monkeypatch.setattr(buckets, "WEIGHT", weight)
+    rng = np.random.default_rng(8)
+    shared, texts = prose(50, 50), []
+    for k in range(60):  # a common passage puts texts into one bucket that aren't alike, or just so
+        own = prose(100 + k // 3, 22).split()
+        for j in rng.integers(0, len(own), k % 3):
+            own[j] = f"y{rng.integers(1000)}"
+        texts.append(f"{shared} {' '.join(own[: 22 - k % 5])}")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash_dedup.near_duplicates(docs(spark, texts)).collect()}
+    expected = brute_near(dict(enumerate(texts)))
+    assert got == expected and 1 < len({c for _, c in expected.values()}) < 50
+
+
+def test_rows_of_one_doc_id_are_classed_by_their_texts(spark):
+    a, b, other = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(1, a), (2, b), (5, f"{a} x"), (5, f"{b} x"), (5, other), (5, other), (None, a)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["component_id"] or 0, r["kept"]) for r in minhash_dedup.near_duplicates(table).collect())
+    assert got == [(0, 0, True), (1, 1, True), (2, 2, True), (5, 1, False), (5, 2, False), (5, 5, True), (5, 5, True)]
+    kept = sorted((r["doc_id"] or 0, r["text"]) for r in minhash_dedup.deduplicate(table).collect())
+    assert kept == sorted([(0, a), (1, a), (2, b), (5, other), (5, other)])
+
+
+def test_long_texts_are_scanned_in_pieces(spark):
+    words = [f"w{k}" for k in range(420_000)]  # over 2 MB
+    long, near = " ".join(words), " ".join([*words[:-20_000], *(f"x{k}" for k in range(20_000))])
+    table = docs(spark, ["a b", long, near, long.upper()])
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash_dedup.near_duplicates(table).collect()}
+    assert len(long) > 2 << 20 and got == brute_near({0: "a b", 1: long, 2: near, 3: long.upper()})
+
+
 def test_sketches_merge_and_estimate():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 3000).astype(np.uint64)
@@ -138,12 +176,13 @@ def brute_hits(text, items):
     return len(words), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)
 
 
-@pytest.mark.parametrize("slice_chars", [1 << 25, 120])
-def test_decontamination(spark, monkeypatch, slice_chars):
-    monkeypatch.setattr(decontaminate, "SLICE_CHARS", slice_chars)
+@pytest.mark.parametrize("slice_bytes", [1 << 25, 120])
+def test_decontamination(spark, monkeypatch, slice_bytes):
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", slice_bytes)
     items = [(1, prose(1, 25)), (20, "two words"), (3, None), (4, "!?"), (5, prose(1, 25)), (6, "Été à la 1.2")]
+    nameless = [(None, prose(2, 9))]
     texts = [*AWKWARD, f"start {prose(1, 25).upper()}. end", f"{prose(2, 9)} two... WORDS!", "été À la", "ÉTÉ à la 1 2 x", " ".join(prose(1, 25).split()[5:14])]
-    bench = spark.createDataFrame(items, "item_id long, text string")
+    bench = spark.createDataFrame([*items, *nameless], "item_id long, text string")
     table = docs(spark, texts)
     names = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     got = {r["doc_id"]: tuple(r[n] for n in names) for r in decontaminate.report(table, bench).collect()}
@@ -156,6 +195,24 @@ def test_decontamination(spark, monkeypatch, slice_chars):
     assert decontaminate.report(table.where("false"), bench).count() == 0 and not any(r["contaminated"] for r in decontaminate.report(table, bench.where("false")).collect())
 
 
+def test_long_items_are_cut_into_parts(spark):
+    words = [f"w{k}" for k in range(400_000)]
+    item = " ".join(words)
+    texts = [" ".join(words[k : k + 10]) for k in range(0, 400_000 - 10, 997)] + [" ".join(words[7:16]), item.upper()]
+    bench = spark.createDataFrame([("a", item), ("b", "w1 w2")], "item_id string, text string")
+    rows = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in decontaminate.report(docs(spark, texts), bench).collect()}
+    assert len(item) > 2 * decontaminate.PART_BYTES and all(rows[k][0] == 10 for k in range(len(texts) - 2))
+    assert rows[len(texts) - 2] == (0, 0) and rows[len(texts) - 1] == (400_000, 2)
+
+
+def test_windows_are_small():
+    import pickle
+
+    text = " ".join(f"{k * 7919 % 100_003:05d}" for k in range(300_000)).encode()
+    held = decontaminate.Windows([("a", text)], 10)
+    assert len(pickle.dumps(held)) < 12 * len(text)
+
+
 def test_quality(spark):
     good = [" ".join(f"{'the and of to in'.split()[(j + k) % 5]} {prose(k, 30).split()[j]}" for j in range(20)) + "." for k in range(120)]
     bad = [" ".join(f"{w.upper()}!!" for w in prose(k, 30).split()) for k in range(60)]
@@ -214,20 +271,31 @@ def test_licenses(spark):
     assert license_scan.scan_licenses(docs(spark, ["a"]).where("false")).count() == 0
 
 
-def naive_similar(a, b, least):
-    row = list(range(len(b) + 1))
+def test_best_licence_of_like_ones(spark):
+    names = ["bsd-2-clause", "bsd-3-clause", "agpl-3.0-notice", "lgpl-3.0-notice", "gpl-3.0-notice", "mpl-2.0-notice", "unlicense", "cc0-line"]
+    rows = {r["doc_id"]: r for r in license_scan.scan_licenses(docs(spark, [license_scan.TEMPLATES[n] for n in names])).collect()}
+    assert [rows[k]["license"] for k in range(len(names))] == names and {r["dice"] for r in rows.values()} == {1.0}
+
+
+def naive_similar(a, b, least=0.9):
+    codes, place = np.array([ord(c) for c in b]), np.arange(len(b) + 1)
+    row = place.copy()
     for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != y)))
-        row = new
+        new = np.append(i, np.minimum(row[1:] + 1, row[:-1] + (codes != ord(x)))) - place
+        row = np.minimum.accumulate(new) + place  # insertions
     return row[-1] <= int((1 - least) * max(len(a), len(b)) + 1e-9)
 
 
 def brute_lines(texts):
-    occurrences = [(k, pos, line) for k, t in enumerate(texts) for pos, line in line_dedup.long_lines(None if t is None else t.encode())]
+    """By edit similarity alone, with a normalisation of its own."""
+    occurrences = []
+    for k, t in enumerate(texts):
+        for pos, line in enumerate((t or "").split("\n")):
+            kept = "".join(c.lower() if c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ" else "0" if c in "0123456789" else c if c in "abcdefghijklmnopqrstuvwxyz" or ord(c) > 127 else " " for c in line)
+            plain = " ".join(w for w in kept.split(" ") if w)
+            if len(plain) >= 20 or len([w for w in plain.split(" ") if w.strip("0")]) >= 2 or len(re.findall("[\u3041-\u30ff\u3400-\u9fff]", plain)) >= 4:
+                occurrences.append((k, pos, plain))
     lines = sorted({o[2] for o in occurrences})
-    bits = line_dedup.fingerprints(pa.array(lines, pa.binary()))
     parent = list(range(len(lines)))
 
     def root(x):
@@ -237,7 +305,7 @@ def brute_lines(texts):
 
     for i in range(len(lines)):
         for j in range(i):
-            if int(bits[i] ^ bits[j]).bit_count() <= line_dedup.DISTANCE and naive_similar(lines[i].decode(), lines[j].decode(), line_dedup.SIMILARITY):
+            if min(len(lines[i]), len(lines[j])) >= 20 and root(i) != root(j) and naive_similar(lines[i], lines[j]):
                 parent[root(i)] = root(j)
     first, removed = {}, defaultdict(list)
     for k, pos, line in occurrences:
@@ -246,6 +314,26 @@ def brute_lines(texts):
     return removed
 
 
+def test_edits_agree_with_the_table():
+    rng = np.random.default_rng(9)
+    a, b = [], []
+    for _ in range(400):
+        x = list(rng.choice(list("ab cdé😀"), rng.integers(0, 60)))
+        y = list(x)
+        for _ in range(rng.integers(0, 9)):
+            at, kind = int(rng.integers(0, len(y) + 1)), rng.integers(3)
+            y[at : at + (kind > 0)] = [] if kind == 2 else [rng.choice(list("abé "))]
+        a.append("".join(x))
+        b.append("".join(y) if rng.random() < 0.9 else "".join(rng.permutation(x)))
+    a += ["ab" * 150, "a" * 200, *("".join(rng.choice(list("ab"), 300)) for _ in range(20))]
+    b += ["ba" * 150, "a" * 181, *(x[:40] + x[50:180] + "b" * k + x[200:] for k, x in enumerate(a[-20:]))]
+    for least in (0.9, 0.8):
+        expected = [naive_similar(x, y, least) for x, y in zip(a, b, strict=True)]
+        assert line_dedup.similar(a, b, least).tolist() == expected and 50 < sum(expected) < 390
+        allowed = [line_dedup.limit(max(len(x), len(y)), least) for x, y in zip(a, b, strict=True)]
+        assert [n <= k for n, k in zip(line_dedup.edits([line_dedup.trimmed(x, y) for x, y in zip(a, b, strict=True)], allowed), allowed, strict=True)] == expected
+
+
 def test_lines_agree_with_brute_force(spark):
     rng = np.random.default_rng(3)
     base = [prose(k, 40) for k in range(4)]
@@ -264,6 +352,34 @@ def test_lines_agree_with_brute_force(spark):
         assert got[k]["text"] == kept and got[k]["n_lines"] == (0 if t is None else t.count("\n") + 1)
 
 
+@pytest.mark.parametrize("how", ["dense", "hot", "blocks"])
+def test_lines_of_dense_buckets(spark, monkeypatch, how):
+    if how == "hot":  # keys of a few lines are hot ones
+        monkeypatch.setattr(line_dedup, "SAMPLED", 1)
+        monkeypatch.setattr(line_dedup, "HOT", 5)
+    if how == "blocks":
+        monkeypatch.setattr(buckets, "BLOCK", 16)
+        monkeypatch.setattr(buckets, "WEIGHT", 3000)
+    rng = np.random.default_rng(12)
+    shared, lines = " ".join(letters(70, 20)), []
+    for k in range(72):  # a common passage; some two dozen groups of lines that are alike
+        own = letters(k // 3, 12)
+        if k % 3:
+            own[rng.integers(len(own))] += "s"
+        lines.append(f"{shared} {' '.join(own)}")
+    words = letters(71, 24)
+    lines += [" ".join(rng.permutation(words)) for _ in range(40)]  # the same words in another order
+    expected = brute_lines(lines)
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.dedup_lines(docs(spark, lines)).where("size(removed) > 0").collect()}
+    assert got == dict(expected) and 40 < len(got) < 60
+
+
+def test_a_line_over_two_megabytes(spark):
+    long = " ".join(f"w{k}" for k in range(420_000))
+    table = docs(spark, [f"one line here too\n{long}", long.upper(), f"{long}\n\n{long}"])
+    assert {r["doc_id"]: r["removed"] for r in line_dedup.dedup_lines(table).collect()} == {0: [], 1: [0], 2: [0, 2]}
+
+
 def test_lines_edges(spark):
     one, two = "the quick brown fox jumps over it", "an entirely other line of prose here"
     table = docs(spark, [one, one, "", None, one + "\n" + two]).withColumn("removed", F.lit(1))
@@ -283,7 +399,7 @@ def test_lines_with_a_changed_word_are_found(spark):
             other = list(line)
             k = int(rng.integers(words))
             other[k] = word(len(line[k]))
-            if naive_similar(" ".join(line), " ".join(other), line_dedup.SIMILARITY):
+            if naive_similar(" ".join(line), " ".join(other)):
                 texts += [" ".join(line), " ".join(other)]
     removed = {r["doc_id"] for r in line_dedup.dedup_lines(docs(spark, texts)).where("size(removed) > 0").collect()}
     assert len(texts) > 240 and removed == set(range(1, len(texts), 2))
@@ -302,3 +418,58 @@ def test_licenses_inside_long_texts(spark):
     texts += [f"// {' '.join(bsd[:9])}\n// {' '.join(bsd[9:])}\n{prose(5)}", f"{prose(6)} released under the MIT License and {prose(7)}"]
     rows = {r["doc_id"]: r for r in license_scan.scan_licenses(docs(spark, texts)).collect()}
     assert all(n in rows[k]["licenses"].split(",") and rows[k]["dice"] == 1.0 for k, n in enumerate(names))
+
+
+def test_joins_without_broadcasts(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    texts = [*AWKWARD, *(" ".join(letters(k // 4, 30) + letters([k, 1], k % 4)) for k in range(40))]
+    table = docs(spark, texts, [f"s{k % 3}" for k in range(len(texts))])
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash_dedup.near_duplicates(table).collect()} == brute_near(dict(enumerate(texts)))
+    assert {r["doc_id"]: r["removed"] for r in line_dedup.dedup_lines(table).collect() if r["removed"]} == dict(brute_lines(texts))
+    assert {r["doc_id"]: r["taken"] for r in source_mix.mix_sources(table).collect() if r["taken"]}
+    assert license_scan.scan_licenses(table).where("license is not null").count() == 0
+
+
+def test_licenses_of_repeated_ids_and_clashing_columns(spark):
+    line, other = "Released under the MIT License.", "Licensed under CC BY-NC 4.0."
+    rows = [(1, line), (1, line), (1, other), (2, None), (None, other), (None, "x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("clash") for c in ("license", "dice", "_t", "_gram", "n_segments")})
+    got = sorted((r["doc_id"] or 0, r["n_segments"], r["licenses"]) for r in license_scan.scan_licenses(table).collect())
+    assert got == [(0, 1, "cc-by-nc-4.0-line"), (1, 2, "cc-by-nc-4.0-line,mit-line"), (2, 0, "")]
+
+
+def test_secrets_of_odd_tables(spark):
+    text = "password = hunter22"
+    rows = [(1, text), (1, text), (None, text), (2, None), (3, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"spans": F.lit("clash"), "n_assign": F.lit(9)})
+    got = sorted((r["doc_id"] or 0, r["n_assign"], r["spans"]) for r in secret_scan.scan_secrets(table).collect())
+    assert got == [(0, 1, "assign:0:19"), (1, 1, "assign:0:19"), (1, 1, "assign:0:19"), (2, 0, ""), (3, 0, "")]
+    assert secret_scan.scan_secrets(table.where("false")).count() == 0
+
+
+def test_mixing_of_ties_and_null_ids(spark):
+    rows = [(1, "a b c d", "x")] * 5 + [(None, "a b", "x"), (None, "a b c", "x"), (None, None, "x"), (7, "a b c", None), (8, "", "y")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = source_mix.mix_sources(table, weights=(1,), share=0.5).collect()
+    taken = defaultdict(int)
+    for r in got:
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        taken[r["source"]] += r["taken"]
+    targets = {r["source"]: r["target"] for r in got}
+    assert len(got) == len(rows) and all(abs(taken[s] - t) <= 0.5 for s, t in targets.items()) and targets["y"] == 0
+
+
+def test_quality_of_repeated_ids(spark):
+    rows = [(k % 40, " ".join(letters(k, 20)) if k % 40 < 30 else "!!! ### 111 " * 9) for k in range(120)] + [(None, "x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("predicted", F.lit("clash"))
+    labels = spark.createDataFrame([(k, int(k < 30)) for k in range(40)] * 2, "doc_id long, quality int")
+    got = quality.score_quality(table, labels, sample_rows=30).collect()
+    assert len(got) == len(rows) and sorted(map(str, got)) == sorted(map(str, quality.score_quality(table, labels, sample_rows=30).collect()))
+    assert all(r["predicted"] == (r["doc_id"] < 30) for r in got if r["doc_id"] is not None)
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda _: "spark://host:7077"))
+    monkeypatch.setattr(type(spark.conf), "get", lambda *_: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(spark)
