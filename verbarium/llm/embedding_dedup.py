@@ -10,14 +10,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sample, shuffle_partitions, small, store
+from .common import drop, in_batches, sample, shuffle_partitions, small, store
 from .components import components
 
 #: Vectors are linked from this cosine on.
 COSINE = 0.93
 #: The index is fitted on so many vectors at most; every vector is indexed.
 SAMPLE_ROWS = 20_000
-#: Lists grow with the square root of the vectors, up to MOST_LISTS; a vector probes PROBES of them.
+#: Lists grow with the square root of the vectors, up to MOST_LISTS; a vector probes PROBES of them at most, unless told otherwise.
 MOST_LISTS, PROBES = 4096, 16
 #: Subspaces of the residuals, and codewords of each.
 SUBSPACES, CODEWORDS = 8, 64
@@ -34,15 +34,22 @@ class Index:
     codewords: list[np.ndarray]
     cuts: list[tuple[int, int]]
 
-    def probes(self, unit: np.ndarray, n: int) -> np.ndarray:
-        n = min(n, len(self.centroids))
-        out = np.empty((len(unit), n), dtype=np.int32)
-        norms = (self.centroids**2).sum(1)
+    def probes(self, unit: np.ndarray, n: int | None, reach: float) -> list[np.ndarray]:
+        """The lists of each vector that can hold a vector within ``reach``: nearest first, ``n`` at most.
+
+        A list holds what is nearer to its centroid than to others, so one that lies further
+        than ``reach`` behind the plane half-way from the nearest centroid holds none.
+        """
+        norms, out = (self.centroids**2).sum(1), []
         for at in range(0, len(unit), 1024):
             far = norms - 2 * unit[at : at + 1024] @ self.centroids.T
-            near = np.argpartition(far, n - 1, axis=1)[:, :n]
-            order = np.argsort(np.take_along_axis(far, near, 1), axis=1, kind="stable")
-            out[at : at + 1024] = np.take_along_axis(near, order, 1)
+            home = far.argmin(1)
+            between = np.sqrt(np.maximum(norms[home][:, None] - 2 * self.centroids[home] @ self.centroids.T + norms, 0))
+            can = far - np.take_along_axis(far, home[:, None], 1) <= 2 * (reach + 1e-6) * between + 1e-9
+            for row, able, first in zip(far, can, home, strict=True):
+                held = np.flatnonzero(able)
+                held = held[np.lexsort((held, row[held], held != first))]
+                out.append(held[:n].astype(np.int32))
         return out
 
     def encode(self, unit: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,88 +93,101 @@ def fit_index(rows: np.ndarray, vectors: int) -> Index:
     width = rows.shape[1]
     edges = np.linspace(0, width, min(SUBSPACES, width) + 1).astype(int)
     index = Index(centroids, [], [(int(a), int(b)) for a, b in zip(edges[:-1], edges[1:], strict=True)])
-    rest = rows - centroids[index.probes(rows, 1)[:, 0]]
+    rest = rows - centroids[np.concatenate(index.probes(rows, 1, 0.0))]
     index.codewords = [k_means(rest[:, a:b], CODEWORDS) for a, b in index.cuts]
     return index
 
 
-def _unit(column: pa.Array) -> np.ndarray:
-    x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
-    return x / np.sqrt((x * x).sum(1))[:, None]
+def to_unit(x: np.ndarray) -> np.ndarray:
+    """Rows as unit vectors; scaled by their largest component first, so that no square is too small or too large."""
+    x = x / np.abs(x).max(1)[:, None]
+    x = x / np.sqrt((x * x).sum(1))[:, None]
+    assert np.isfinite(x).all(), "vectors are finite and not zero"
+    return x
+
+
+def _raw(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _lists(rows: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * rows.shape[1], pa.int32()), pa.array(rows.ravel()))
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows)))
 
 
 PLACED = "rep long, label string, copies long, unit array<double>, home int, probes array<int>, code binary, off double"
 PAIRED = "rep long, links long, root long"
 
 
+def _joined(a: np.ndarray, b: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+    """Give linked rows a of ``left`` and b of ``right`` the least of their labels, until nothing changes."""
+    while True:
+        before = left[a], right[b]
+        np.minimum.at(left, a, before[1])
+        np.minimum.at(right, b, left[a])
+        if (left[a] == before[0]).all() and (right[b] == before[1]).all():
+            return
+
+
+class _Block:
+    """Index rows of one list that arrive before the queries of their run."""
+
+    def __init__(self, batches: list[pa.RecordBatch], lists: int):
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        column = lambda name: rows[name].combine_chunks() if isinstance(rows[name], pa.ChunkedArray) else rows[name]
+        self.ids, self.copies, self.off = (column(c).to_numpy() for c in ("rep", "copies", "off"))
+        self.units = _raw(column("unit"))
+        self.codes = np.frombuffer(b"".join(column("code").to_pylist()), dtype=np.uint8).reshape(len(self.ids), -1)
+        self.asks = np.zeros((len(self.ids), lists), dtype=bool)
+        probes = column("probes")
+        self.asks[np.repeat(np.arange(len(self.ids)), np.diff(probes.offsets.to_numpy())), probes.flatten().to_numpy()] = True
+        self.label = self.ids.copy()
+
+
 def _searcher(shared):
     """Links between the index rows (role 0) and the queries (role 1) of each run of one list's blocks."""
 
-    def roots(parent: dict[int, int], x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def links(block: _Block, at: int, query: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         index: Index = shared.value
         reach = np.sqrt(2 - 2 * COSINE) + 1e-6
-        run, known, counted, parent = None, [], {}, {}
-
-        def close() -> Iterator[pa.RecordBatch]:
-            if counted:
-                reps = list(counted)
-                columns = [pa.array(reps, pa.int64()), pa.array([counted[r] for r in reps], pa.int64()), pa.array([roots(parent, r) for r in reps], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=["rep", "links", "root"])
+        ids, copies, home = (query.column(c).to_numpy() for c in ("rep", "copies", "home"))
+        units = _raw(query.column("unit"))
+        a, b = np.nonzero(index.distances(units, at, block.codes) <= reach + block.off)
+        cosine = np.einsum("ij,ij->i", units[a], block.units[b])
+        linked = (cosine >= COSINE) & (ids[a] != block.ids[b])
+        a, b = a[linked], b[linked]
+        if not len(a):
+            return
+        label = ids.copy()
+        _joined(a, b, label, block.label)
+        # An index row that never meets the query's list as a query itself counts its link here.
+        alone = ~block.asks[b, home[a]]
+        counts = np.bincount(a, block.copies[b], minlength=len(ids)), np.bincount(b[alone], copies[a[alone]], minlength=len(block.ids))
+        for rows, reps, labels, number in ((np.unique(a), ids, label, counts[0]), (np.unique(b), block.ids, block.label, counts[1])):
+            yield pa.RecordBatch.from_arrays([pa.array(reps[rows]), pa.array(number[rows].astype(np.int64)), pa.array(labels[rows])], names=["rep", "links", "root"])
 
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run, known, block = None, [], None
         for batch in batches:
-            label, at, block, part, role, rep, copies, units, home, probes, codes, off = batch.columns
-            keys = list(zip(label.to_pylist(), at.to_pylist(), block.to_pylist(), part.to_pylist(), role.to_pylist(), strict=True))
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("label", "at", "block", "part", "role")), strict=True))
             lo = 0
             while lo < len(keys):
                 hi = lo
-                while hi < len(keys) and keys[hi] == keys[lo]:
+                while hi < len(keys) and keys[hi] == keys[lo] and hi - lo < 512:
                     hi += 1
                 if keys[lo][:4] != run:
-                    yield from close()
-                    run, known, counted, parent = keys[lo][:4], [], {}, {}
-                cut = lambda c, lo=lo, hi=hi: c.slice(lo, hi - lo)
+                    run, known, block = keys[lo][:4], [], None
                 if keys[lo][4] == 0:
-                    known.append((cut(rep).to_numpy(), cut(copies).to_numpy(), _raw(cut(units)), cut(probes).to_pylist(), np.frombuffer(b"".join(cut(codes).to_pylist()), dtype=np.uint8).reshape(hi - lo, -1), cut(off).to_numpy()))
+                    known.append(batch.slice(lo, hi - lo))
                 elif known:
-                    if len(known) > 1:
-                        known = [tuple(sum((k[3] for k in known), []) if j == 3 else np.concatenate([k[j] for k in known]) for j in range(6))]
-                    ids, weights, x, sets, code, away = known[0]
-                    q_ids, q_weights, q, q_home = cut(rep).to_numpy(), cut(copies).to_numpy(), _raw(cut(units)), cut(home).to_pylist()
-                    for i in range(0, len(q), 512):
-                        close_by = index.distances(q[i : i + 512], run[1], code) <= reach + away
-                        a, b = np.nonzero(close_by)
-                        a += i
-                        cosine = np.einsum("ij,ij->i", q[a], x[b])
-                        linked = (cosine >= COSINE) & (q_ids[a] != ids[b])
-                        for j, k in zip(a[linked].tolist(), b[linked].tolist(), strict=True):
-                            u, v = int(q_ids[j]), int(ids[k])
-                            counted[u] = counted.get(u, 0) + int(weights[k])
-                            if q_home[j] not in sets[k]:  # v never meets u as a query: its link counts here
-                                counted[v] = counted.get(v, 0) + int(q_weights[j])
-                            ru, rv = roots(parent, u), roots(parent, v)
-                            if ru != rv:
-                                parent[max(ru, rv)] = min(ru, rv)
+                    block = block or _Block(known, len(shared.value.centroids))
+                    yield from links(block, run[1], batch.slice(lo, hi - lo))
                 lo = hi
-        yield from close()
 
     return search
 
 
-def _raw(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
-
-
-def _linked(distinct: DataFrame) -> DataFrame:
+def _linked(distinct: DataFrame, probes: int | None) -> DataFrame:
     """PAIRED rows of vectors of one length: partial link counts, and a node of the same class."""
     spark = distinct.sparkSession
     rows = _sample_units(distinct)
@@ -176,13 +196,14 @@ def _linked(distinct: DataFrame) -> DataFrame:
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                unit = _unit(batch.column(3))
-                probes = shared.value.probes(unit, PROBES)
-                codes, off = shared.value.encode(unit, probes[:, 0])
-                columns = [*batch.columns[:3], _lists(unit), pa.array(probes[:, 0]), _lists(probes), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(off)]
+                unit = to_unit(_raw(batch.column(3)))
+                asked = shared.value.probes(unit, probes, np.sqrt(2 - 2 * COSINE))
+                home = np.array([x[0] for x in asked], dtype=np.int32)
+                codes, off = shared.value.encode(unit, home)
+                columns = [*batch.columns[:3], _lists(list(unit)), pa.array(home), _lists(asked), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(off)]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in PLACED.split(", ")])
 
-    placed = store(distinct.select("rep", "label", "copies", "embedding").mapInArrow(place, PLACED), "vectors-placed")
+    placed = store(in_batches(distinct.select("rep", "label", "copies", "embedding"), place, PLACED), "vectors-placed")
     queries = placed.select("rep", "label", "copies", "unit", "home", F.explode("probes").alias("at"))
     asked = queries.groupBy("label", "at").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("_parts"))
     held = placed.groupBy("label", F.col("home").alias("at")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
@@ -196,26 +217,26 @@ def _linked(distinct: DataFrame) -> DataFrame:
     asking = asking.select("label", "at", every("_blocks").alias("block"), own("_parts").alias("part"), F.lit(1).alias("role"), "rep", "copies", "unit", "home", *nothing)
     key = ["label", "at", "block", "part"]
     dealt = inside.unionByName(asking).repartition(shuffle_partitions(spark), *key).sortWithinPartitions(*key, "role")
-    return dealt.mapInArrow(_searcher(shared), PAIRED)
+    return in_batches(dealt, _searcher(shared), PAIRED)
 
 
 def _sample_units(distinct: DataFrame) -> np.ndarray:
     rows = sample(distinct.select("rep", "embedding"), "rep", SAMPLE_ROWS).collect()
-    x = np.array([r["embedding"] for r in sorted(rows, key=lambda r: r["rep"])], dtype=float)
-    return x / np.sqrt((x * x).sum(1))[:, None]
+    return to_unit(np.array([r["embedding"] for r in sorted(rows, key=lambda r: (r["rep"], r["embedding"]))], dtype=float))
 
 
-def near_vectors(vectors: DataFrame) -> DataFrame:
+def near_vectors(vectors: DataFrame, probes: int | None = PROBES) -> DataFrame:
     """Links and classes of vectors of equal label with a cosine of at least COSINE.
 
     ``vectors`` needs vec_id (bigint), embedding (array of numbers) and label; other columns
     are ignored. Equal vectors of a label become one, with a count. A coarse index, fitted
     on a bounded sample, puts every vector into the list of its nearest centroid, with a
     product code of its residual and its distance from the decoded form. Each vector
-    probes its PROBES nearest lists: codes whose asymmetric distance, less that of the
+    probes its ``probes`` nearest lists, less those that can't hold a near vector, or with
+    None all that can: codes whose asymmetric distance, less that of the
     decoded form, is within reach are reranked by the cosine of the vectors in double
-    precision. So pairs are lost only if neither probes the other's list. Links are counted
-    and joined into a forest where they are found; pairs are never written out.
+    precision. So pairs are lost only if neither probes the other's list, and with None no
+    pair is lost. Links are counted and joined where they are found; pairs are never written out.
 
     Defined cases: vectors that are null, empty, zero or hold null or non-finite components,
     and rows with a null label or id, link with nothing and are kept; vectors of different
@@ -234,16 +255,18 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     distinct = store(distinct, "vectors-distinct")
     found = None
     for width in sorted(r[0] for r in distinct.select("width").distinct().collect()):  # the lengths of vectors: one, as a rule
-        links = _linked(distinct.where(F.col("width") == width))
+        links = _linked(distinct.where(F.col("width") == width), probes)
         found = links if found is None else found.union(links)
     if found is None:
         found = vectors.sparkSession.createDataFrame([], PAIRED)
     found = store(found, "vectors-links")
-    classes = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    classes = classes.select(F.col("node").alias("_node"), "component")
+    classes = store(components(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))), "vectors-classes")
+    labels = classes.select(F.col("node").alias("_node"), "component")
     counts = store(found.groupBy(F.col("rep").alias("_rep")).agg(F.sum("links").alias("links")), "vectors-counts")
-    groups = distinct.select(*key, "rep", "copies").join(small(counts, IDS), F.col("rep") == F.col("_rep"), "left").join(small(classes, IDS), F.col("rep") == F.col("_node"), "left")
+    groups = distinct.select(*key, "rep", "copies").join(small(counts, IDS), F.col("rep") == F.col("_rep"), "left").join(small(labels, IDS), F.col("rep") == F.col("_node"), "left")
     groups = store(groups.select(*key, F.lit(True).alias("usable"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id")), "vectors-groups")
+    for x in (distinct, found, classes, counts):
+        drop(x)
     result = table.drop("embedding").join(small(groups), [*key, "usable"], "left")
     component = F.coalesce("component_id", "vec_id")
     return result.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
