@@ -12,61 +12,108 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import drop, in_batches, store
 from .textscan import alphanumeric, byte_view, scanned, windows
 
-#: Most characters of benchmark text that one broadcast holds; a larger benchmark is
-#: looked up slice by slice, each by a scan of its own.
-SLICE_CHARS = 32 << 20
-
-#: Bits of the first-stage table over window hashes.
-TABLE_BITS = 20
+#: Bytes of benchmark text whose windows one broadcast holds, some 50 bytes a word; a larger
+#: benchmark is looked up slice by slice, each by a scan of its own.
+SLICE_BYTES = 8 << 20
+#: Longer items are cut into parts of about so many bytes, each with the last words of the one before.
+PART_BYTES = 1 << 20
+#: Most bits of the first-stage table over window hashes.
+TABLE_BITS = 24
 
 
 class Windows:
-    """The windows of benchmark items: ``size`` consecutive words, or all of a shorter item."""
-
-    def __init__(self, items: list[tuple[object, bytes]], size: int):
-        self.words = alphanumeric()
-        self.size = size
-        self.items = [str(i) for i, _ in items]
-        owners: dict[int, dict[tuple[bytes, ...], set[int]]] = defaultdict(lambda: defaultdict(set))
-        hashes: dict[int, set[int]] = defaultdict(set)
-        column = pa.array([t for _, t in items], pa.large_binary())
-        for a, b, buf, starts, ends, words, row in scanned(self.words, column):
-            raw = buf.tobytes().lower()
-            texts = [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-            bounds = np.searchsorted(row, np.arange(b - a + 1))
-            for k in range(b - a):
-                lo, hi = int(bounds[k]), int(bounds[k + 1])
-                n = min(size, hi - lo)
-                if n:
-                    hashes[n].update(windows(words[lo:hi], n).tolist())
-                    for at in range(lo, hi - n + 1):
-                        owners[n][tuple(texts[at : at + n])].add(a + k)
-        self.owners = {n: dict(x) for n, x in owners.items()}
-        self.hashes = {n: np.array(sorted(x), dtype=np.uint64) for n, x in hashes.items()}
-        self.tables = {}
-        for n, h in self.hashes.items():
-            self.tables[n] = np.zeros(1 << TABLE_BITS, dtype=bool)
-            self.tables[n][h >> np.uint64(64 - TABLE_BITS)] = True
+    """The windows of benchmark items: ``size`` consecutive words, or all of a shorter item.
+
+    For each length the distinct pairs of a window's hash and its item are held sorted, with
+    the place of the window's first word in the lower-cased texts.
+    """
+
+    def __init__(self, items: list[tuple[str, bytes]], size: int):
+        scanner = alphanumeric()
+        self.words = alphanumeric()  # of its own, without the tables that this scan makes
+        self.items = sorted({i for i, _ in items})
+        number = {name: k for k, name in enumerate(self.items)}
+        texts, starts, ends, hashes, rows, base = [], [], [], [], [], 0
+        for a, _, buf, s, e, h, row in scanned(scanner, pa.array([t for _, t in items], pa.large_binary())):
+            texts.append(buf.tobytes().lower())
+            starts.append((s + base).astype(np.int32))
+            ends.append((e + base).astype(np.int32))
+            hashes.append(h)
+            rows.append((row + a).astype(np.int32))
+            base += len(buf)
+        self.raw = b"".join(texts)
+        joined = lambda parts, kind: np.concatenate([*parts, np.zeros(0, dtype=kind)])
+        self.starts, self.ends, row = joined(starts, np.int32), joined(ends, np.int32), joined(rows, np.int32)
+        words, owner = joined(hashes, np.uint64), np.array([number[i] for i, _ in items], dtype=np.int32)
+        count = np.bincount(row, minlength=len(items))
+        first = np.concatenate([[0], np.cumsum(count)])
+        self.known = {}
+        for n in sorted({min(size, int(c)) for c in np.unique(count) if c}):
+            h = windows(words, n)
+            if n < size:
+                at = first[np.flatnonzero(count == n)]
+            else:
+                at = np.flatnonzero(row[: len(h)] == row[n - 1 :])
+            self.known[n] = self._listed(h[at], at.astype(np.int32), owner[row[at]])
+
+    @staticmethod
+    def _listed(h: np.ndarray, at: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, ...]:
+        order = np.lexsort((item, h))
+        h, at, item = h[order], at[order], item[order]
+        new = np.ones(len(h), dtype=bool)
+        new[1:] = (h[1:] != h[:-1]) | (item[1:] != item[:-1])
+        h, at, item = h[new], at[new], item[new]
+        bits = min(TABLE_BITS, max(12, len(h).bit_length() + 4))
+        table = np.zeros(1 << bits, dtype=bool)
+        table[h >> np.uint64(64 - bits)] = True
+        return h, at, item, table, np.uint64(64 - bits)
 
     def find(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, dict[int, set[int]]]:
         """Which words are inside an occurrence, and the items by row."""
         hit, items = np.zeros(len(words), dtype=bool), defaultdict(set)
-        for n, known in self.hashes.items():
+        for n, (known, place, item, table, shift) in self.known.items():
             h = windows(words, n)
-            at = np.flatnonzero(self.tables[n][h >> np.uint64(64 - TABLE_BITS)])
+            at = np.flatnonzero(table[h >> shift])
             at = at[row[at] == row[at + n - 1]]
-            place = np.minimum(np.searchsorted(known, h[at]), len(known) - 1)
-            for k in at[known[place] == h[at]].tolist():
-                text = tuple(buf[starts[j] : ends[j]].tobytes().lower() for j in range(k, k + n))
-                if found := self.owners[n].get(text):  # the words themselves confirm
-                    hit[k : k + n] = True
-                    items[int(row[k])] |= found
+            lo, hi = np.searchsorted(known, h[at], side="left"), np.searchsorted(known, h[at], side="right")
+            for j in np.flatnonzero(lo < hi).tolist():
+                k = int(at[j])
+                text = [buf[starts[w] : ends[w]].tobytes().lower() for w in range(k, k + n)]
+                for e in range(int(lo[j]), int(hi[j])):  # the words themselves confirm
+                    w = int(place[e])
+                    if all(self.raw[self.starts[w + i] : self.ends[w + i]] == text[i] for i in range(n)):
+                        hit[k : k + n] = True
+                        items[int(row[k])].add(int(item[e]))
         return hit, items
 
 
+def _parts(size: int):
+    """Cuts long texts of (item_id, text) at words, so that every window is whole in some part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                text = batch.column(1).slice(k, 1)
+                raw = text[0].as_py()
+                if len(raw) > PART_BYTES:
+                    _, _, _, starts, ends, _, _ = next(scanned(alphanumeric(), text))
+                    pieces, w = [], 0
+                    while w < len(starts):
+                        last = max(int(np.searchsorted(starts, starts[w] + PART_BYTES)), w + size)
+                        pieces.append(raw[starts[w] : ends[min(last, len(ends)) - 1]])
+                        if last >= len(starts):
+                            break
+                        w = last - size + 1
+                else:
+                    pieces = [raw]
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column(0)[k].as_py()] * len(pieces), pa.string()), pa.array(pieces, pa.binary())], names=["item_id", "text"])
+
+    return run
+
+
 def kept_text(raw: bytes, starts: list[int], ends: list[int], hit: list[bool]) -> bytes:
     """``raw`` without its hit spans, from the first hit word's start to the last one's end."""
     out, at, k = [], 0, 0
@@ -87,10 +134,9 @@ REPORT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 stri
 
 def _scanner(shared, last: str | None):
     """The batch function of one slice; ``last`` is what the final slice returns."""
-    held: dict[int, Windows] = {}
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = held[0] = held.get(0) or Windows(*shared.value)
+        found: Windows = shared.value
         row_column, before, before_items = (batch.column(k) for k in range(3))
         text = pc.struct_field(row_column, "text")
         raw, offsets = byte_view(text)
@@ -130,19 +176,25 @@ def _scanner(shared, last: str | None):
 
 def _scan(docs: DataFrame, benchmark: DataFrame, columns: list[str], size: int, last: str) -> DataFrame:
     spark = docs.sparkSession
-    texts = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.encode("text", "UTF-8").alias("text")).where("text is not null")
-    chars = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    slices = 1 + int(chars) // SLICE_CHARS
+    texts = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.encode("text", "UTF-8").alias("text")).where("item_id is not null and text is not null")
+    texts = store(in_batches(texts, _parts(size), "item_id string, text binary"), "decontaminate-items")
+    total = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    slices = 1 + int(total) // SLICE_BYTES
     state = docs.select(F.struct(*columns).alias("_row"), F.array().cast("array<int>").alias("_runs"), F.array().cast("array<string>").alias("_items"))
     schema = STATE.format(row=state.schema["_row"].dataType.simpleString())
+    before = None
     for k in range(slices):
         mine = texts if slices == 1 else texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k)
-        items = [(r["item_id"], bytes(r["text"])) for r in mine.collect()]  # about SLICE_CHARS at most
+        items = [(r["item_id"], bytes(r["text"])) for r in mine.collect()]  # about SLICE_BYTES
         final = k == slices - 1
-        scanner = _scanner(spark.sparkContext.broadcast((items, size)), last if final else None)
-        state = state.mapInArrow(scanner, REPORT if final and last == "report" else schema)
+        scanner = _scanner(spark.sparkContext.broadcast(Windows(items, size)), last if final else None)
+        state = in_batches(state, scanner, REPORT if final and last == "report" else schema)
         if not final:
             state = store(state, "decontaminate-slice")
+            if before is not None:
+                drop(before)
+            before = state
+    drop(texts)
     return state
 
 
@@ -152,12 +204,12 @@ def report(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text; other columns are
     ignored. Words are runs of lower-cased ASCII letters, digits and characters beyond
     ASCII. A window is ``size`` consecutive words of an item, or all words of a shorter
-    one. Every task holds the windows' hashes of a bounded slice of the benchmark, looks up
+    one. Every task holds the windows of a bounded slice of the benchmark by their hashes, looks up
     each window of its documents and confirms a hit by the words themselves; a benchmark
-    over SLICE_CHARS characters is scanned slice by slice.
+    over SLICE_BYTES is scanned slice by slice, and a longer item in overlapping parts.
 
-    Defined cases: null and empty texts have no words and no hits; items without words
-    never hit; equal items each count; repeated documents each give their row.
+    Defined cases: null and empty texts have no words and no hits; items without words or
+    with a null item_id never hit; equal items each count, rows of one item_id as one; repeated documents each give their row.
 
     Returns doc_id, n_words, n_hit (words inside an occurrence), n_items (items with an
     occurrence), items_sha256 (of their ids, sorted as strings, comma-joined), contaminated.
