@@ -7,17 +7,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import sample, small, store
+from .common import drop, in_batches, sample, small, store
 from .textscan import byte_view, scanned, space_separated
 
-#: The model is fitted on so many trusted positives, and so many unlabelled texts, at most.
+#: The model is fitted on so many trusted positives, and so many unlabelled texts, at most, unless told otherwise.
 SAMPLE_ROWS = 8000
 FOLDS = 5
 THRESHOLD = 0.3
+#: Shares of the positives above the scores at which the class prior is read.
+PRIOR_SHARES = (0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.99)
 HIDDEN, STEPS, RATE, SEED = 12, 400, 0.02, 5
 
 # Byte classes of the features.
@@ -126,6 +129,29 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Model:
     return Model(centre, scale, weights)
 
 
+def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of positives among the unlabelled, from both and no negatives.
+
+    Above a score that few negatives reach, the unlabelled hold positives only: their share
+    above it is the prior times the positives' share. Below, negatives make it larger. So the
+    least ratio of the shares over several scores is the prior. Every other row fits the
+    scoring model and the rest are counted, so that it doesn't count what it has learnt.
+    """
+    model = fit(positive[::2], unlabelled[::2], 0.5)
+    if len(positive) < 2 or len(unlabelled) < 2:
+        return 0.5
+    of_p, of_u = np.sort(model.score(positive[1::2])), np.sort(model.score(unlabelled[1::2]))
+    ratios = []
+    for share in PRIOR_SHARES:
+        at = of_p[min(int(len(of_p) * (1 - share)), len(of_p) - 1)]
+        above = [1 - np.searchsorted(x, at) / len(x) for x in (of_p, of_u)]
+        spread = np.sqrt(max(0, sum((1 - q) / max(q * len(x), 1) for q, x in zip(above, (of_p, of_u), strict=True))))
+        ratio = above[1] / above[0]
+        ratios.append((ratio * (1 + spread), ratio * (1 - spread)))  # few rows make no ratio the least
+    # A deviation low: too high a prior calls negatives positive, too low a one lowers all scores alike.
+    return float(np.clip(min(ratios)[1], 0.02, 0.98))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(FOLDS)) == 0, F.lit(False))
 
@@ -137,64 +163,65 @@ def _featured(docs: DataFrame) -> DataFrame:
             rows = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column(0), rows], names=["kind", "x"])
 
-    return docs.mapInArrow(run, "kind int, x array<double>")
+    return in_batches(docs, run, "kind int, x array<double>")
 
 
-def train(docs: DataFrame, labels: DataFrame) -> Model | None:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
     """Fit on documents and labels outside the held-out fold; None without a trusted positive.
 
-    Trusted positives are labelled 1; the unlabelled are documents of any kind. Of both, the
-    SAMPLE_ROWS of smallest id hash are used at most. The class prior is estimated by the
-    share of 1 among all labels outside the held-out fold.
+    Trusted positives are labelled 1, and no other label is used; the unlabelled are documents
+    of any kind. Of both, the ``sample_rows`` of smallest id hash are used at most, of rows of
+    one doc_id one. The class prior is estimated from these (``class_prior``).
     """
-    known = labels.where("doc_id is not null and quality in (0, 1)").where(~held_out())
-    share = known.agg(F.avg(F.col("quality").cast("double")), F.max("quality")).first()
-    if share[1] != 1:
-        return None
-    prior = min(max(share[0], 0.02), 0.98)
-    trusted = sample(known.where("quality = 1").select("doc_id"), "doc_id", SAMPLE_ROWS, 1)
-    unknown = sample(docs.where("doc_id is not null").where(~held_out()).select("doc_id"), "doc_id", SAMPLE_ROWS, 2)
-    ids = trusted.distinct().select("doc_id", F.lit(1).alias("kind")).union(unknown.distinct().select("doc_id", F.lit(0).alias("kind")))
-    chosen = docs.join(small(store(ids, "quality-sample")), "doc_id").select("kind", F.col("text").cast("binary").alias("text"))
-    rows = _featured(chosen).collect()  # at most twice SAMPLE_ROWS
+    known = labels.where("doc_id is not null and quality = 1").where(~held_out())
+    trusted = sample(known.select("doc_id"), "doc_id", sample_rows, 1).distinct()
+    unknown = sample(docs.where("doc_id is not null").where(~held_out()).select("doc_id"), "doc_id", sample_rows, 2).distinct()
+    ids = store(trusted.select("doc_id", F.lit(1).alias("kind")).union(unknown.select("doc_id", F.lit(0).alias("kind"))), "quality-sample")
+    chosen = docs.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")).join(small(ids), "doc_id")
+    chosen = chosen.groupBy("kind", "doc_id").agg(F.min("text").alias("text")).select("kind", "text")
+    rows = _featured(chosen).collect()  # at most twice sample_rows
+    drop(ids)
     kinds = np.array([r["kind"] for r in rows])
     x = np.array([r["x"] for r in rows], dtype=float).reshape(len(rows), len(FEATURES))
     x = x[np.lexsort([*x.T, kinds])]  # the same order, and so the same model, whatever order tasks end in
     kinds = np.sort(kinds)
-    if not (kinds == 1).any():
+    positive, unlabelled = x[kinds == 1], x[kinds == 0]
+    if not len(positive) or not len(unlabelled):
         return None
-    return fit(x[kinds == 1], x[kinds == 0], prior)
+    return fit(positive, unlabelled, class_prior(positive, unlabelled))
 
 
-def _scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def _scored(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
     """``row`` (all columns of a document) and its score."""
-    model = train(docs, labels)
-    packed = docs.select(F.struct("*").alias("row"), F.col("text").cast("binary").alias("text"))
+    model = train(docs, labels, sample_rows)
+    packed = docs.select(F.struct("*").alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = model.score(features(batch.column(1))) if model else np.ones(batch.num_rows)
+            text = pc.struct_field(batch.column(0), "text")
+            score = model.score(features(text)) if model else np.ones(batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["row", "score"])
 
-    return packed.mapInArrow(run, T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())]))
+    return in_batches(packed, run, T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())]))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``docs`` with its columns and ``held_out``, ``score`` and ``predicted``.
 
     ``docs`` needs doc_id and text, ``labels`` doc_id and quality. A text's byte and word
-    statistics are its only features; labels, language, source and id are no inputs.
+    statistics are its only features; labels, language, source and id are no inputs. The model
+    is fitted on ``sample_rows`` trusted positives and as many unlabelled texts at most.
 
     Defined cases: null and blank texts are scored as empty texts; a null doc_id is not
-    held out and is never trained on; labels other than 0 and 1 are ignored; with no
+    held out and is never trained on; labels other than 1 are ignored; with no
     trusted positive every score is 1; repeated rows each get their row; columns of
     ``docs`` named like an added one are replaced.
     """
     added = ("held_out", "score", "predicted")
     own = [F.col(f"row.`{c}`") for c in docs.columns if c not in added]
-    return _scored(docs, labels).select(*own, held_out("row.doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+    return _scored(docs, labels, sample_rows).select(*own, held_out("row.doc_id").alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs``, as they are, whose score is at least THRESHOLD."""
-    return _scored(docs, labels).where(F.col("score") >= THRESHOLD).select("row.*")
+    return _scored(docs, labels, sample_rows).where(F.col("score") >= THRESHOLD).select("row.*")
