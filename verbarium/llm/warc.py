@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -15,12 +16,13 @@ import zstandard as zstd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_path, sample, small, store
+from .common import in_batches, new_path, sample, small, store
 
 # Fixed values of the formats.
 SKIPPABLE = 0x184D2A5D
 ZSTD_MAGIC = 0xFD2FB528
-VERSION = b"WARC/1.1"
+VERSION, VERSIONS = b"WARC/1.1", (b"WARC/1.0", b"WARC/1.1")
+HTTP = "application/http"
 DATE = "2020-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -76,14 +78,14 @@ def parse(raw: bytes) -> dict:
     """Fields and payload of one record; raises BadArchive if a header or a length is wrong."""
     head, gap, rest = raw.partition(b"\r\n\r\n")
     lines = head.split(b"\r\n")
-    if not gap or lines[0] != VERSION:
+    if not gap or lines[0] not in VERSIONS:
         raise BadArchive("no WARC header")
     fields = {}
     for line in lines[1:]:
         name, colon, value = line.partition(b":")
         if not colon or not name.strip():
             raise BadArchive(f"header line {line[:80]!r}")
-        fields[name.strip().decode().lower()] = value.strip().decode()
+        fields[name.strip().decode(errors="replace").lower()] = value.strip().decode(errors="replace")
     for need in ("warc-type", "warc-record-id", "warc-date", "content-length"):
         if need not in fields:
             raise BadArchive(f"no {need}")
@@ -93,11 +95,39 @@ def parse(raw: bytes) -> dict:
     if len(rest) != n + 4 or rest[n:] != b"\r\n\r\n":
         raise BadArchive(f"the block has {len(rest) - 4} bytes, its header says {n}")
     block = rest[:n]
-    if fields.get("warc-block-digest", f"sha1:{digest(block)}") != f"sha1:{digest(block)}":
+    told = fields.get("warc-block-digest", "")
+    if told.startswith("sha1:") and told != f"sha1:{digest(block)}":
         raise BadArchive("block digest differs")
-    if fields["warc-type"] == "response" and fields.get("warc-payload-digest", f"sha1:{digest(block)}") != f"sha1:{digest(block)}":
+    payload = payload_of(fields, block)
+    told = fields.get("warc-payload-digest", "")
+    if fields["warc-type"] == "response" and told.startswith("sha1:") and told != f"sha1:{digest(payload)}":
         raise BadArchive("payload digest differs")
-    return fields | {"block": block}
+    return fields | {"block": block, "payload": payload}
+
+
+def payload_of(fields: dict, block: bytes) -> bytes:
+    """The payload of a record's block: what follows the HTTP header if it holds an HTTP message."""
+    if fields.get("content-type", "").lower().startswith(HTTP):
+        return block.partition(b"\r\n\r\n")[2]
+    return block
+
+
+def row_of(fields: dict) -> tuple:
+    """READ_SCHEMA's columns of a parsed record.
+
+    A response without a length or digest of its payload gets those of the payload that it
+    has; other records get null. Ids are null in records of other writers.
+    """
+    number = lambda name: int(fields[name]) if name in fields else None
+    try:
+        page, size, first = number("x-page-id"), number("x-payload-length"), number("x-refers-to-page")
+    except ValueError as e:
+        raise BadArchive(str(e)) from e
+    sha1 = fields["warc-payload-digest"].removeprefix("sha1:") if "warc-payload-digest" in fields else None
+    if fields["warc-type"] == "response":
+        size = len(fields["payload"]) if size is None else size
+        sha1 = digest(fields["payload"]) if sha1 is None else sha1
+    return page, fields.get("warc-target-uri"), size, sha1, fields["warc-type"], first, fields["payload"]
 
 
 class ArchiveWriter:
@@ -197,7 +227,7 @@ def write_archives(pages: DataFrame, least_bytes: int = 0, path: str | None = No
     rows = rows.join(small(copies), F.col("_sha") == F.col("_sha1"), "left").select("page_id", "url", "payload", "_first")
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, folder = pafs.FileSystem.from_uri(path)
+        files, folder = pafs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", path))
         files.create_dir(folder, recursive=True)
         writer, names, counts, n = ArchiveWriter(dictionary), [], [], 0
 
@@ -224,40 +254,43 @@ def write_archives(pages: DataFrame, least_bytes: int = 0, path: str | None = No
             close()
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(counts, pa.int64())], names=["name", "records"])
 
-    rows.mapInArrow(save, "name string, records long").write.parquet(f"{path}/_index")
+    in_batches(rows, save, "name string, records long").write.parquet(f"{path}/_index")
     return path
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the archives in ``path`` that its index names, one row each.
+    """The records of the archives in ``path`` that its index names, one row each; of all ``*.warc.zst`` without an index.
 
     Raises BadArchive on a broken frame, header, length or digest, and when an archive has
-    not the number of records that the index says.
+    not the number of records that the index says. Archives of other writers may lack
+    digests and payload lengths (``row_of``) and have HTTP messages and other record types.
     """
-    index = spark.read.schema("name string, records long").parquet(f"{path}/_index")
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(path)
-    found = found.select(F.substring_index("path", "/", -1).alias("name"), "content").join(small(index), "name")
+    found = found.select(F.substring_index("path", "/", -1).alias("name"), "content")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_index")
+    if folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder):
+        found = found.join(small(spark.read.schema("name string, records long").parquet(f"{path}/_index")), "name")
+    else:
+        found = found.withColumn("records", F.lit(None).cast("long"))
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = lambda x: None if x is None else int(x)
         for batch in batches:
             for k in range(batch.num_rows):
-                rows, size, total = [], 0, 0
+                rows, size, total, told = [], 0, 0, batch.column(2)[k].as_py()
                 for r in read_archive(batch.column(1)[k].as_buffer().to_pybytes()):
-                    sha1 = r["warc-payload-digest"].removeprefix("sha1:")
-                    rows.append((number(r.get("x-page-id")), r.get("warc-target-uri"), int(r["x-payload-length"]), sha1, r["warc-type"], number(r.get("x-refers-to-page")), r["block"]))
+                    rows.append(row_of(r))
                     size, total = size + len(r["block"]), total + 1
                     if size >= 4 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
                         rows, size = [], 0
-                if total != batch.column(2)[k].as_py():
+                if told is not None and total != told:
                     raise BadArchive(f"{batch.column(0)[k]} has {total} records")
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
-    return found.select("name", "content", "records").mapInArrow(load, READ_SCHEMA)
+    return in_batches(found.select("name", "content", "records"), load, READ_SCHEMA)
 
 
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
