@@ -1,6 +1,7 @@
 import hashlib
 import re
 from collections import defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -468,8 +469,7 @@ def test_quality_of_repeated_ids(spark):
     assert all(r["predicted"] == (r["doc_id"] < 30) for r in got if r["doc_id"] is not None)
 
 
-def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
-    monkeypatch.setattr(type(spark.sparkContext), "master", property(lambda _: "spark://host:7077"))
-    monkeypatch.setattr(type(spark.conf), "get", lambda *_: None)
+def test_a_cluster_needs_a_shared_folder():
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        common.shared_dir(spark)
+        common.shared_dir(session)

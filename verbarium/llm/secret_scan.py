@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import in_batches
 from .textscan import byte_view
 
 # The keywords and patterns of the kinds.
@@ -138,4 +139,4 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     Returns doc_id, n_assign, n_access, n_hex, n_checked, base_sha256, spans.
     """
     columns = docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as binary) text")
-    return columns.mapInArrow(_scan_batches, SCHEMA)
+    return in_batches(columns, _scan_batches, SCHEMA)
