@@ -68,7 +68,7 @@ def merge_words(words: DataFrame) -> DataFrame:
 
     translations = F.when(F.col("_n") == 1, F.col("_whole.translations")).otherwise(F.coalesce("_all.translations", F.create_map().cast(WORD["translations"])))
     plain = [translations.alias(n) if n == "translations" else chosen(n) if n in LISTS else F.col(n) for n in WORD]
-    return merged.select("id", *plain)
+    return merged.select(F.nullif("id", F.lit("")).alias("id"), *plain)
 
 
 def _contents(words: DataFrame) -> DataFrame:
@@ -76,7 +76,8 @@ def _contents(words: DataFrame) -> DataFrame:
     content = words.select(*[F.col(n) for n in WORD if n != "translations"], F.map_entries("translations").alias("_pairs"))
     counted = content.groupBy(*[c for c in content.columns if c != "_ord"]).agg(F.count("*").alias("_rows"), F.min("_ord").alias("_low"), F.max("_ord").alias("_high"))
     normalized = F.when(nonempty(F.col("normalized")), F.col("normalized")).otherwise(normalize(F.col("text")))
-    return counted.withColumns({"normalized": normalized, "id": word_id(F.col("text"), F.col("language"))})
+    # Never null, so that no test for null tells the two readers of the contents apart.
+    return counted.withColumns({"normalized": normalized, "id": F.coalesce(word_id(F.col("text"), F.col("language")), F.lit(""))})
 
 
 def _entries(contents: DataFrame) -> DataFrame:
@@ -92,7 +93,8 @@ def _entries(contents: DataFrame) -> DataFrame:
 
     lists = [listed(name) for name in LISTS]
     pairs = F.transform(F.coalesce("_pairs", F.array()), lambda e: F.struct(packed("translations", F.lit(None), e["key"]).alias("item"), e["value"].alias("value")))
-    single = contents.select("id", F.col("_low").alias("_ord"), F.posexplode(F.concat(*lists, pairs)).alias("_pos", "_e"))
+    # The test holds for all; it keeps every column, so that this shuffle of the contents is the other reader's too.
+    single = contents.where("_rows > 0 and _high >= _low").select("id", F.col("_low").alias("_ord"), F.posexplode(F.concat(*lists, pairs)).alias("_pos", "_e"))
     place = F.struct("_ord", "_pos")
     distinct = single.groupBy("id", "_e.item").agg(F.min(place).alias("_place"), F.min_by("_e.value", place).alias("value"))
     gathered = distinct.groupBy("id").agg(F.collect_list(F.struct("_place", "item", "value")).alias("_items"))
