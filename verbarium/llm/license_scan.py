@@ -102,6 +102,15 @@ def telling_words(grams: set[tuple[str, str]], least: float) -> set[str]:
     return taken
 
 
+def any_word(words: list[str]) -> str:
+    """A pattern that finds any of ``words`` (a-z and digits) as a whole word, in either case; grouped by first sign, so that most places fail at once."""
+    by_first: dict[str, list[str]] = {}
+    for w in sorted(words):
+        by_first.setdefault(w[0], []).append(w[1:])
+    grouped = "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by_first.items())
+    return f"(?i)(?<![a-z0-9])(?:{grouped})(?![a-z0-9])"
+
+
 def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = 0.8) -> DataFrame:
     """The licences whose template a text, or a segment of it, matches.
 
@@ -136,7 +145,9 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, lea
     fits = any_of(within(F.col("_n"), F.lit(m)) for m in sorted({len(g) for g in by_name.values()}))
     words = sorted(set().union(*(telling_words(g, least) for g in by_name.values())))
     tells = lambda text: any_of(F.contains(text, F.lit(f" {w} ")) for w in words)
-    lowered = docs.select("doc_id", F.xxhash64("text").alias("_t"), ascii_lower("text").alias("_low")).where(F.exists(F.array(normal(F.col("_low"))), tells))
+    # Few texts have a telling word: they are looked for in the texts as they are, once, and only those are kept.
+    found = docs.where(F.col("text").rlike(any_word(words))) if words else docs.where(F.lit(False))
+    lowered = store(found.select("doc_id", F.xxhash64("text").alias("_t"), ascii_lower("text").alias("_low")), "license-texts")
     grams_of = lambda s: F.get(F.transform(F.array(normal(s)), lambda n: F.when(tells(n), bigrams(n))), 0)
     # The bigrams are made below the explode, so that nothing above it makes them again.
     scanned = lowered.select("doc_id", "_t", F.posexplode(F.transform(segments("_low"), grams_of)).alias("_at", "_b"))
