@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, license_scan, line_dedup, minhash_dedup, quality, secret_scan, source_mix, url_filter, warc
+from . import decontaminate, embedding_dedup, exact_dedup, filter_audit, license_scan, line_dedup, minhash_dedup, quality, secret_scan, source_mix, url_filter, warc
 from .common import read_table
 
 # The filter rules.
@@ -56,7 +56,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduped.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"), F.length("text").cast("long").alias("kept_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_secret_scan, op4_minhash_dedup, op5_decontaminate, op6_quality, op7_warc, op8_url_filter, op9_embedding_dedup, op10_line_dedup)}
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.groups(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_secret_scan, op4_minhash_dedup, op5_decontaminate, op6_quality, op7_warc, op8_url_filter, op9_embedding_dedup, op10_line_dedup, op12_filter_audit, op13_exact_dedup)}
 
 
 def _quoted(text: str) -> str:
@@ -181,4 +189,37 @@ WITH rest AS (
 SELECT parts.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN fits USING (page_id)
 """
 
-ORACLE_SQL = {"op1_license_scan": _OP1, "op2_source_mix": _OP2, "op4_minhash_dedup": _OP4, "op5_decontaminate": _OP5, "op7_warc": _OP7, "op8_url_filter": _OP8}
+_SPACES = "[^\\x20\\x09-\\x0D]+"
+_OP12 = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_SPACES}') AS w FROM documents
+), failed AS (
+  SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 'C' ELSE '' END || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails FROM d
+), good AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), h AS (
+  SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM failed LEFT JOIN good USING (doc_id) GROUP BY ALL
+), l(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM o
+), s AS (
+  SELECT part, filter_order, step, filter_order[step] AS f, fails, n, good, toxic, contains(fails, filter_order[step]) AS here,
+    len(list_filter(string_split(filter_order[1 : step - 1], ''), lambda x: x <> '' AND contains(fails, x))) > 0 AS gone FROM h, steps
+), r AS (
+  SELECT part, filter_order, step, f, sum(CASE WHEN NOT gone AND NOT here THEN n ELSE 0 END) AS kept, sum(CASE WHEN here AND NOT gone THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN here AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN here AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN here AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost FROM s GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+  good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM r
+"""
+
+_OP13 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents
+), g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
+"""
+
+ORACLE_SQL = {"op1_license_scan": _OP1, "op2_source_mix": _OP2, "op4_minhash_dedup": _OP4, "op5_decontaminate": _OP5, "op7_warc": _OP7, "op8_url_filter": _OP8, "op12_filter_audit": _OP12, "op13_exact_dedup": _OP13}
