@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_dedup, exact_dedup, filter_audit, license_scan, line_dedup, minhash_dedup, quality, secret_scan, source_mix, url_filter, warc
+from . import decontaminate, embedding_dedup, exact_dedup, filter_audit, license_scan, line_dedup, minhash_dedup, quality, secret_scan, source_mix, token_alignment, url_filter, warc
 from .common import read_table
 
 # The filter rules.
@@ -56,6 +56,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deduped.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"), F.length("text").cast("long").alias("kept_chars"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.report(read_table(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -64,7 +68,7 @@ def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_secret_scan, op4_minhash_dedup, op5_decontaminate, op6_quality, op7_warc, op8_url_filter, op9_embedding_dedup, op10_line_dedup, op12_filter_audit, op13_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_source_mix, op3_secret_scan, op4_minhash_dedup, op5_decontaminate, op6_quality, op7_warc, op8_url_filter, op9_embedding_dedup, op10_line_dedup, op11_token_alignment, op12_filter_audit, op13_exact_dedup)}
 
 
 def _quoted(text: str) -> str:
