@@ -112,10 +112,16 @@ def test_units_are_forgotten(monkeypatch):
     monkeypatch.setattr(ta, "REMEMBERED", 2)
     encoder = ta.Encoder(ta.Tokenizers())
     texts = ["one two three four", None, "five one " + "x" * 100, "two"]
-    first, again = encoder.tokens(texts), encoder.tokens(texts)
+    first, again = encoder.chunk(texts), encoder.chunk(texts)
     for x, y in zip(first, again, strict=True):
         assert all(np.array_equal(p, q) for p, q in zip(x, y, strict=True))
-    assert all(len(u) <= ta.UNIT for u in encoder.known)
+    assert all(len(u) <= ta.UNIT for u in encoder.known) and encoder.older
+
+
+def test_texts_of_one_chunk(spark, tokenizers):
+    docs = [(k, t) for k, t in enumerate(ODD[:12])]
+    assert ta.tokenize(table(spark, docs).coalesce(1)).count() == 1
+    assert reported(ta.report(table(spark, docs).coalesce(1))) == aligned(tokenizers, docs)
 
 
 # Filter audit ----------------------------------------------------------------

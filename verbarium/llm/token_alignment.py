@@ -21,8 +21,11 @@ ID_BITS = 20
 IDS = 1 << ID_BITS
 #: Most rows of the table of id pairs that is sent to all tasks.
 PAIRS = 1_000_000
-#: Encodings that a worker remembers: characters of a unit, and units.
+#: Encodings that a worker remembers, twice at most: characters of a unit, and units.
 UNIT, REMEMBERED = 48, 200_000
+#: Characters of the texts that share a list of units, unless one text has more.
+CHUNK = 4_000_000
+SIDES = tuple(f"{s}_{c}" for s in "ab" for c in ("ids", "ends", "from"))
 
 # A single space between two characters that are no white space: no token of either
 # tokenizer reaches across it, so what comes before and after is encoded by itself.
@@ -66,63 +69,50 @@ class Encoder:
             raise ValueError(f"ids must be below {IDS}")
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in y], dtype=np.int64) for y in (self.a_bytes, self.b_bytes))
         self.known: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.older: dict[str, tuple[bytes, bytes, bool]] = {}
 
     def encode(self, units: list[str]) -> list[tuple[bytes, bytes, bool]]:
         """For each unit the ids of both (as 32-bit numbers), and whether both spell the unit after a space."""
-        found = [self.known.get(u) for u in units]
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        found = [self.known.get(u) or self.older.get(u) for u in units]
         new = [u for u, x in zip(units, found, strict=True) if x is None]
+        fresh = {}
         if new:
-            if len(self.known) > REMEMBERED:
-                self.known = {}
             by_a = self.a.encode_batch_fast([" " + u for u in new], add_special_tokens=False)
-            fresh = {}
             for u, a, b in zip(new, by_a, self.b.encode(new, num_threads=1), strict=True):
                 text, ids = (" " + u).encode(), a.ids
                 spelt = b"".join([self.a_bytes[k] for k in ids]) == text and b"".join([self.b_bytes[k] for k in b]) == text
                 fresh[u] = np.array(ids, np.uint32).tobytes(), np.array(b, np.uint32).tobytes(), spelt
-            self.known |= {u: x for u, x in fresh.items() if len(u) <= UNIT}
             found = [fresh[u] if x is None else x for u, x in zip(units, found, strict=True)]
+        self.known |= {u: x for u, x in zip(units, found, strict=True) if len(u) <= UNIT}
         return found
 
-    def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For both tokenizers: ids and end offsets in bytes of all texts in turn, and the number of tokens of each text."""
+    def spelt(self, texts: list[str | None]) -> list[list[str]]:
+        """The units of every text: pieces that both tokenizers encode by themselves and spell exactly, or none."""
         split = [_CUT.split(t) if t else [] for t in texts]
+        distinct = list(dict.fromkeys(u for units in split for u in units))
+        wrong = {u for u, (_, _, fits) in zip(distinct, self.encode(distinct), strict=True) if not fits}
+        for k in [k for k, units in enumerate(split) if wrong and not wrong.isdisjoint(units)]:
+            split[k] = [texts[k]] if self.encode([texts[k]])[0][2] else []
+        return split
+
+    def chunk(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+        """The texts as numbers of distinct units: for the texts [units, number of units, tokens of A, of B];
+        for each side of the units, one after another, [ids, end offsets in bytes, place where each unit's tokens start]."""
+        split = self.spelt(texts)
         number: dict[str, int] = {}
-        of_unit = np.fromiter((number.setdefault(u, len(number)) for units in split for u in units), np.int64)
+        units = np.fromiter((number.setdefault(u, len(number)) for x in split for u in x), np.int32)
         found = self.encode(list(number))
-        units = np.array([len(x) for x in split])
-        text_of = np.repeat(np.arange(len(texts)), units)
-        wrong = set(text_of[~np.array([x[2] for x in found], bool)[of_unit]].tolist()) if found else set()
-        sides = []
+        counts = np.array([len(x) for x in split], np.int64)
+        text_of = np.repeat(np.arange(len(texts)), counts)
+        sides, sums = [], []
         for k, sizes in ((0, self.a_sizes), (1, self.b_sizes)):
-            flat = np.frombuffer(b"".join(x[k] for x in found), np.uint32)
+            ids = np.frombuffer(b"".join([x[k] for x in found]), np.uint32)
             length = np.array([len(x[k]) // 4 for x in found], np.int64)
-            start = np.cumsum(length) - length
-            n = length[of_unit]
-            ids = flat[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[of_unit], n)]
-            counts = np.bincount(text_of, weights=n, minlength=len(texts)).astype(np.int64)
-            reach = np.cumsum(sizes[ids])
-            first = np.cumsum(counts) - counts
-            before = np.where(first > 0, reach[np.maximum(first, 1) - 1] if len(reach) else 0, 0)
-            sides.append((ids, reach - np.repeat(before, counts), counts))
-        gone = {k for k in wrong if not all(self._spells(side, k, table, " " + texts[k]) for side, table in zip(sides, (self.a_bytes, self.b_bytes), strict=True))}
-        return [_without(side, gone) for side in sides]
-
-    @staticmethod
-    def _spells(side: tuple[np.ndarray, np.ndarray, np.ndarray], k: int, table: list[bytes], text: str) -> bool:
-        ids, _, counts = side
-        at = int(counts[:k].sum())
-        return b"".join([table[x] for x in ids[at : at + counts[k]].tolist()]) == text.encode()
-
-
-def _without(side: tuple[np.ndarray, np.ndarray, np.ndarray], texts: set[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    if not texts:
-        return side
-    ids, ends, counts = side
-    stays = np.ones(len(counts), bool)
-    stays[list(texts)] = False
-    of_token = np.repeat(stays, counts)
-    return ids[of_token], ends[of_token], np.where(stays, counts, 0)
+            sides.append([ids, np.cumsum(sizes[ids]), np.concatenate([[0], np.cumsum(length)])])
+            sums.append(np.bincount(text_of, weights=length[units], minlength=len(texts)))
+        return [units, counts, *sums], *sides
 
 
 @lru_cache(maxsize=1)
@@ -131,79 +121,122 @@ def _encoder(files: Tokenizers) -> Encoder:
 
 
 def tokenize(docs: DataFrame, files: Tokenizers = Tokenizers()) -> DataFrame:  # noqa: B008 - frozen
-    """(doc_id, a_ids, a_ends, b_ids, b_ends): the tokens of a space and the text, with their end offsets in bytes.
-
-    A text that is null or empty, or that the tokens of one side don't spell (which a model
-    that changes characters can't), has none. All that follows is Spark's own functions.
+    """The tokens of a space and each text, by both tokenizers; all that follows is Spark's own functions.
+
+    A row has some documents (``docs``: doc_id, units, n_a, n_b) and each of their distinct
+    units once: units, mostly words, are the least pieces that both tokenizers encode by
+    themselves, and a text is a list of their numbers. For a side s, ``s_ids`` and ``s_ends``
+    are the tokens of all units in turn with their end offsets in bytes, ``s_from`` the place
+    where each unit's tokens start (and the number of all). A text that is null or empty, or
+    that the tokens of one side don't spell (which a model that changes characters can't), has no units.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
+    def listed(values: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values.astype(np.int32)))
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str | None]]]:
+        for batch in batches:
+            texts, start, held = batch.column("text").to_pylist(), 0, 0
+            for k, text in enumerate(texts):
+                if held and held + len(text or "") > CHUNK:
+                    yield batch.column("doc_id").slice(start, k - start), texts[start:k]
+                    start, held = k, 0
+                held += len(text or "")
+            yield batch.column("doc_id").slice(start), texts[start:]
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(files)
-        for batch in batches:
-            lists = []
-            for ids, ends, counts in encoder.tokens(batch.column("text").to_pylist()):
-                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-                lists += [pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(ends.astype(np.int32)))]
-            yield pa.record_batch([batch.column("doc_id"), *lists], names=["doc_id", "a_ids", "a_ends", "b_ids", "b_ends"])
+        for doc_ids, texts in chunks(batches):
+            (units, counts, n_a, n_b), a, b = encoder.chunk(texts)
+            places = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+            of_docs = [doc_ids, pa.ListArray.from_arrays(places, pa.array(units)), pa.array(n_a.astype(np.int64)), pa.array(n_b.astype(np.int64))]
+            docs_list = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), pa.StructArray.from_arrays(of_docs, ["doc_id", "units", "n_a", "n_b"]))
+            yield pa.record_batch([docs_list, *map(listed, (*a, *b))], names=["docs", *SIDES])
+
+    one = f"docs array<struct<doc_id:{id_type},units:array<int>,n_a:bigint,n_b:bigint>>"
+    return in_batches(docs.select("doc_id", "text"), rows, ", ".join([one, *(f"{c} array<int>" for c in SIDES)]))
+
+
+def _cut_ids(side: str, *marks: Column) -> Column:
+    """The ids of one side, comma-joined, with IDS + k after the ids that end where ``marks[k]`` say."""
+    tokens = F.zip_with(f"{side}_ends", f"{side}_ids", lambda end, k: end.cast("long") * (2 * IDS) + k)
+
+    def marked(ends: Column, mark: int) -> Column:
+        return F.transform(ends, lambda end: end.cast("long") * (2 * IDS) + mark)
 
-    kinds = ", ".join(f"{s}_{c} array<int>" for s in "ab" for c in ("ids", "ends"))
-    return in_batches(docs.select("doc_id", "text"), rows, f"doc_id {id_type}, {kinds}")
+    placed = [marked(ends, IDS + k) for k, ends in enumerate(marks)]
+    ids = F.transform(F.sort_array(F.concat(tokens, *placed)), lambda x: x.bitwiseAND(F.lit(2 * IDS - 1)))
+    return F.concat(F.array_join(ids.cast("array<string>"), ","), F.lit(","))
 
 
-def _cut_ids(side: str, common: Column) -> Column:
-    """For each group the ids of one side, comma-joined.
+def _unit_groups() -> Column:
+    """The groups of each unit, as text: both sides are cut where tokens of both end, and put together group by group.
 
-    Tokens and marks at the common ends are sorted together by their ends; the joined ids are
-    then split at the marks.
+    B's ids carry a slash at the end of a unit, by which the groups are split into units.
     """
-    tokens = F.zip_with(f"{side}_ends", f"{side}_ids", lambda end, k: end.cast("long") * (2 * IDS) + k)
-    marks = F.transform(common, lambda end: end.cast("long") * (2 * IDS) + IDS)
-    ids = F.transform(F.sort_array(F.concat(tokens, marks)), lambda x: x.bitwiseAND(F.lit(2 * IDS - 1)))
-    joined = F.array_join(ids.cast("array<string>"), ",")
-    # The last mark has no comma after it.
-    return F.split(F.replace(F.concat(joined, F.lit(",")), F.lit(f",{IDS},"), F.lit(";")), ";")
+    unit_ends = F.transform("a_from", lambda n: F.coalesce(F.get("a_ends", n - 1), F.lit(0)))
+    a = F.replace(_cut_ids("a", F.col("common")), F.lit(f",{IDS},"), F.lit(";"))
+    b = F.replace(_cut_ids("b", F.col("common"), F.slice(unit_ends, F.lit(2), F.size("a_from"))), F.lit(f",{IDS},{IDS + 1},"), F.lit("/;"))
+    b = F.replace(b, F.lit(f",{IDS},"), F.lit(";"))
+    both = F.array_join(F.zip_with(F.split(a, ";"), F.split(b, ";"), lambda x, y: F.concat(x, F.lit("|"), y)), ";")
+    return F.split(F.replace(both, F.lit("/;"), F.lit("/")), "/")
+
+
+def _ends() -> Column:
+    """The ends of both sides sorted: end * 2 ** 33 + (2 ** 32 if it is of side B) + the token's place."""
+    a = F.transform("a_ends", lambda e, k: e.cast("long") * (1 << 33) + k)
+    b = F.transform("b_ends", lambda e, k: e.cast("long") * (1 << 33) + (k.cast("long") + (1 << 32)))
+    return F.sort_array(F.concat(a, b))
 
 
-def _links(m: str) -> Column:
-    """The overlapping pairs of ids, as a * IDS + b, of the ends of both sides sorted in ``m``.
+def _unit_links(m: str) -> tuple[Column, Column]:
+    """The overlapping pairs of ids of each unit, as a * IDS + b, and ``_pairs`` to slice them from, by ``_ends`` in ``m``.
 
-    An element is end * 2 ** 33 + (2 ** 32 if it is of side B) + the token's place k. At place m
-    of the sorted ends there are m - k ends of the other side before it, so the other side's
-    token at that place is the one that this end falls into. Where both end, A's element gives
-    the pair and B's nothing.
+    At place p of the sorted ends, the token of place k has p - k ends of the other side before
+    it, so the other side's token at that place is the one that this end falls into. Where both
+    end, A's element gives the pair and B's nothing. A unit's ends are as many as its tokens.
     """
-    wide = F.lit(1 << 32)
-    at = F.sequence(F.lit(0), F.size(m) - 1)
 
-    def pair(k: Column) -> Column:
-        x = F.get(m, k)
+    def pair(x: Column, p: Column) -> Column:
         own = x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
-        of_a = x.bitwiseAND(wide) == 0
-        both = F.shiftright(x, 33) == F.shiftright(F.get(m, k - 1), 33)
-        from_a = F.get("a_ids", own).cast("long") * IDS + F.get("b_ids", k - own)
-        from_b = F.get("a_ids", k - own).cast("long") * IDS + F.get("b_ids", own)
-        return F.when(of_a, from_a).when(both, F.lit(-1)).otherwise(from_b)
+        joined = lambda a, b: F.get("a_ids", a).cast("long") * IDS + F.get("b_ids", b)
+        both = F.shiftright(x, 33) == F.shiftright(F.get(m, p - 1), 33)
+        return F.when(x.bitwiseAND(F.lit(1 << 32)) == 0, joined(own, p - own)).when(~both, joined(p - own, own)).otherwise(-1)
 
-    return F.when(F.size(m) > 0, F.filter(F.transform(at, pair), lambda x: x >= 0)).otherwise(F.array().cast("array<bigint>"))
+    place = lambda u: F.get("a_from", u) + F.get("b_from", u)
+    return F.transform(F.sequence(F.lit(0), F.size("a_from") - 2), lambda u: F.filter(F.slice("_pairs", place(u) + 1, place(u + 1) - place(u)), lambda x: x >= 0)), F.transform(m, pair)
+
+
+def _evaluated(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with the columns ``names`` worked out once a row.
+
+    The optimiser moves a column that one expression uses into it, which may be a lambda that
+    runs for every element; it doesn't move it over a generator.
+    """
+    return df.select(*[c for c in df.columns if c not in names], F.inline(F.array(F.struct(*names))))
 
 
 def align(tokens: DataFrame) -> DataFrame:
-    """``tokenize``'s rows with n_a, n_b, n_groups, n_links, ``groups`` (as text) and ``links`` (a * IDS + b).
+    """A row per document of ``tokenize``'s: doc_id, n_a, n_b, ``groups`` (as text) and ``links`` (a * IDS + b).
 
     Groups are what lies between the offsets at which tokens of both sides end. They are
-    written ``a1,a2|b1;a3|b2,b3``, in order; links are in the order of the text.
+    written ``a1,a2|b1;a3|b2,b3``, in order; links are in the order of the text. Both are made
+    once for each distinct unit, by functions that are linear in the tokens, and then put
+    together for every text. (Growing an array in ``aggregate`` would copy it at each step.)
     """
-    common = F.array_intersect("a_ends", "b_ends")
-    sorted_ends = F.sort_array(F.concat(F.transform("a_ends", lambda e, k: e.cast("long") * (1 << 33) + k), F.transform("b_ends", lambda e, k: e.cast("long") * (1 << 33) + (k.cast("long") + (1 << 32)))))
-    placed = tokens.withColumns({"common": common, "_m": sorted_ends})
-    both = F.zip_with(_cut_ids("a", F.col("common")), _cut_ids("b", F.col("common")), lambda a, b: F.concat(a, F.lit("|"), b))
-    n_groups = F.size("common").cast("long")
-    # The last, empty, element of each split is left out.
-    groups = F.when(n_groups > 0, F.array_join(F.slice(both, F.lit(1), F.size("common")), ";")).otherwise("")
-    made = placed.withColumns({"groups": groups, "links": _links("_m")})
-    n = lambda c: F.size(c).cast("long")
-    return made.select("doc_id", n("a_ids").alias("n_a"), n("b_ids").alias("n_b"), n_groups.alias("n_groups"), n("links").alias("n_links"), "groups", "links")
+    unit_links, pairs = _unit_links("_m")
+    found = F.size("a_from") > 1
+    made = tokens.withColumns({"common": F.array_intersect("a_ends", "b_ends"), "_m": _ends()}).withColumns({"_groups": _unit_groups(), "_pairs": pairs})
+    made = _evaluated(made, "_groups", "_pairs")
+    made = _evaluated(made.withColumn("_links", F.when(found, unit_links).otherwise(F.array().cast("array<array<bigint>>"))), "_links")
+
+    def put_together(d: Column) -> Column:
+        groups = F.array_join(F.transform(d["units"], lambda u: F.get("_groups", u)), ";")
+        links = F.flatten(F.transform(d["units"], lambda u: F.get("_links", u)))
+        return F.struct(d["doc_id"].alias("doc_id"), d["n_a"].alias("n_a"), d["n_b"].alias("n_b"), groups.alias("groups"), links.alias("links"))
+
+    return made.select(F.inline(F.transform("docs", put_together)))
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
@@ -225,7 +258,9 @@ def report(docs: DataFrame, files: Tokenizers = Tokenizers()) -> DataFrame:  # n
     """
     aligned = align(tokenize(docs, files))
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
-    rows = store(aligned.withColumns({"groups_sha256": digest, "_row": F.monotonically_increasing_id()}).drop("groups"), "alignment")
+    bars = F.length("groups") - F.length(F.replace("groups", F.lit("|"), F.lit("")))
+    counts = {"n_groups": bars.cast("long"), "n_links": F.size("links").cast("long")}
+    rows = store(aligned.withColumns(counts | {"groups_sha256": digest, "_row": F.monotonically_increasing_id()}).drop("groups"), "alignment")
     pairs = store(pair_counts(rows), "alignment-pairs")
     listed = small(pairs, PAIRS)
     links = rows.select("_row", F.explode("links").alias("pair"))
