@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,9 +25,9 @@ IDS = 1 << ID_BITS
 #: Most rows of the table of id pairs that is sent to all tasks.
 PAIRS = 1_000_000
 #: Encodings that a worker remembers, twice at most: characters of a unit, and units.
-UNIT, REMEMBERED = 48, 200_000
+UNIT, REMEMBERED = 48, 100_000
 #: Characters of the texts that share a list of units, unless one text has more.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 SIDES = tuple(f"{s}_{c}" for s in "ab" for c in ("ids", "ends", "from"))
 
 # A single space between two characters that are no white space: no token of either
@@ -32,6 +35,12 @@ SIDES = tuple(f"{s}_{c}" for s in "ab" for c in ("ids", "ends", "from"))
 _CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 
 
+# Fixed value: how byte-level BPE of this kind cuts a text before it merges.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: From here on libraries may differ in what is a letter; Latin letters are below.
+BEYOND = "\u0250"
+
+
 @dataclass(frozen=True)
 class Tokenizers:
     """Files of the two tokenizers: a byte-level BPE (JSON) and a sentence-piece model."""
@@ -51,16 +60,24 @@ class Encoder:
     """Both tokenizers in one worker, with the bytes of every token and the last units' encodings."""
 
     def __init__(self, files: Tokenizers) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(files.byte_bpe)
-        self.a.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.b = SentencePieceProcessor(model_file=files.piece_bpe)
+        self.files, self.whole = files, None
+        with open(files.byte_bpe, encoding="utf-8") as file:
+            model = json.load(file)["model"]
         letters = byte_letters()
-        words = (self.a.id_to_token(k) for k in range(self.a.get_vocab_size()))
-        self.a_bytes = [bytes(letters[c] for c in w) if w and all(c in letters for c in w) else b"" for w in words]
+        self.a_bytes = [b""] * (max(model["vocab"].values()) + 1)
+        for word, k in model["vocab"].items():
+            self.a_bytes[k] = bytes(letters[c] for c in word) if all(c in letters for c in word) else b""
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        # In a vocabulary in the order of its merges, ids are the ranks that the faster library takes.
+        ranked = all(model["vocab"].get(x + y) == 256 + k for k, (x, y) in enumerate(merges))
+        self.fast = None
+        if ranked:
+            import tiktoken
+
+            self.fast = tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks={x: k for k, x in enumerate(self.a_bytes[: 256 + len(merges)])}, special_tokens={})
+        self.b = SentencePieceProcessor(model_file=files.piece_bpe)
         pieces = [(self.b.is_byte(k), self.b.id_to_piece(k)) for k in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if raw else p.replace("▁", " ").encode() for raw, p in pieces]
         if any(re.search("[^▁]▁", p) for _, p in pieces):
@@ -71,39 +88,50 @@ class Encoder:
         self.known: dict[str, tuple[bytes, bytes, bool]] = {}
         self.older: dict[str, tuple[bytes, bytes, bool]] = {}
 
+    def by_a(self, units: list[str]) -> list[list[int]]:
+        """A's ids of a space and each unit: of plain letters and signs by the faster library, which cuts those alike."""
+        plain = [self.fast is not None and max(u) < BEYOND for u in units]
+        quick = (self.fast.encode_ordinary(" " + u) for u, p in zip(units, plain, strict=True) if p)
+        rest = [" " + u for u, p in zip(units, plain, strict=True) if not p]
+        if rest and self.whole is None:
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_file(self.files.byte_bpe)
+            self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        slow = iter([e.ids for e in self.whole.encode_batch_fast(rest, add_special_tokens=False)] if rest else ())
+        return [next(quick if p else slow) for p in plain]
+
     def encode(self, units: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        """For each unit the ids of both (as 32-bit numbers), and whether both spell the unit after a space."""
+        """For each of some distinct units the ids of both (as 32-bit numbers), and whether both spell the unit after a space."""
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
-        found = [self.known.get(u) or self.older.get(u) for u in units]
-        new = [u for u, x in zip(units, found, strict=True) if x is None]
-        fresh = {}
+        known, older = self.known.get, self.older.get
+        found = [known(u) or older(u) for u in units]
+        new = [k for k, x in enumerate(found) if x is None]
         if new:
-            by_a = self.a.encode_batch_fast([" " + u for u in new], add_special_tokens=False)
-            for u, a, b in zip(new, by_a, self.b.encode(new, num_threads=1), strict=True):
-                text, ids = (" " + u).encode(), a.ids
-                spelt = b"".join([self.a_bytes[k] for k in ids]) == text and b"".join([self.b_bytes[k] for k in b]) == text
-                fresh[u] = np.array(ids, np.uint32).tobytes(), np.array(b, np.uint32).tobytes(), spelt
-            found = [fresh[u] if x is None else x for u, x in zip(units, found, strict=True)]
+            words = [units[k] for k in new]
+            a_bytes, b_bytes = self.a_bytes, self.b_bytes
+            for k, u, a, b in zip(new, words, self.by_a(words), self.b.encode(words, num_threads=1), strict=True):
+                text = b" " + u.encode()
+                spelt = b"".join([a_bytes[x] for x in a]) == text == b"".join([b_bytes[x] for x in b])
+                found[k] = array("I", a).tobytes(), array("I", b).tobytes(), spelt
         self.known |= {u: x for u, x in zip(units, found, strict=True) if len(u) <= UNIT}
         return found
 
-    def spelt(self, texts: list[str | None]) -> list[list[str]]:
-        """The units of every text: pieces that both tokenizers encode by themselves and spell exactly, or none."""
-        split = [_CUT.split(t) if t else [] for t in texts]
-        distinct = list(dict.fromkeys(u for units in split for u in units))
-        wrong = {u for u, (_, _, fits) in zip(distinct, self.encode(distinct), strict=True) if not fits}
-        for k in [k for k, units in enumerate(split) if wrong and not wrong.isdisjoint(units)]:
-            split[k] = [texts[k]] if self.encode([texts[k]])[0][2] else []
-        return split
-
     def chunk(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
-        """The texts as numbers of distinct units: for the texts [units, number of units, tokens of A, of B];
-        for each side of the units, one after another, [ids, end offsets in bytes, place where each unit's tokens start]."""
-        split = self.spelt(texts)
-        number: dict[str, int] = {}
-        units = np.fromiter((number.setdefault(u, len(number)) for x in split for u in x), np.int32)
-        found = self.encode(list(number))
+        """The texts as numbers of distinct units, which both tokenizers encode by themselves and spell exactly.
+
+        Gives for the texts [units, number of units, tokens of A, of B], and for each side of the units,
+        one after another, [ids, end offsets in bytes, place where each unit's tokens start].
+        """
+        split = [_CUT.split(t) if t else [] for t in texts]
+        number, units, found = self._numbered(split)
+        wrong = {u for u, x in zip(number, found, strict=True) if not x[2]}
+        if wrong:  # such a text is a unit as a whole, or has no tokens
+            for k in [k for k, x in enumerate(split) if not wrong.isdisjoint(x)]:
+                split[k] = [texts[k]] if self.encode([texts[k]])[0][2] else []
+            number, units, found = self._numbered(split)
         counts = np.array([len(x) for x in split], np.int64)
         text_of = np.repeat(np.arange(len(texts)), counts)
         sides, sums = [], []
@@ -114,6 +142,12 @@ class Encoder:
             sums.append(np.bincount(text_of, weights=length[units], minlength=len(texts)))
         return [units, counts, *sums], *sides
 
+    def _numbered(self, split: list[list[str]]) -> tuple[list[str], np.ndarray, list[tuple[bytes, bytes, bool]]]:
+        names = list(dict.fromkeys(chain.from_iterable(split)))
+        number = dict(zip(names, range(len(names)), strict=True))
+        units = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int32)
+        return names, units, self.encode(names)
+
 
 @lru_cache(maxsize=1)
 def _encoder(files: Tokenizers) -> Encoder:
