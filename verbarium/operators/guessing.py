@@ -76,10 +76,16 @@ def play(guesses: DataFrame) -> DataFrame:
     out = counted.withColumn("status", status).withColumn("correct", scored & F.col("_hit"))
     out = out.withColumn("attempt", F.when(scored, F.col("_turn")))
     out = out.withColumn("ends", scored & (F.col("_hit") | (F.col("_turn") >= F.col("max_attempts"))))
+    return told(out).drop("_fits", "_hit", "_before", "_won", "_turn")
+
+
+def told(answers: DataFrame) -> DataFrame:
+    """Answers to guesses (status, correct, guess, guess_normalized, target) with what a player is told: ``feedback`` and ``letters``."""
+    scored = F.col("status") == "scored"
     feedback = F.when(F.col("status") == "finished", FINISHED).when(F.col("status") == "rejected", F.concat(F.lit(WRONG_LENGTH[0]), F.length("target").cast("string"), F.lit(WRONG_LENGTH[1])))
-    feedback = feedback.when(~F.col("correct"), F.concat(F.lit(WRONG_GUESS[0]), "guess", F.lit(WRONG_GUESS[1])))
+    feedback = feedback.when(scored & ~F.col("correct"), F.concat(F.lit(WRONG_GUESS[0]), "guess", F.lit(WRONG_GUESS[1])))
     results = F.when(scored, evaluate(F.col("guess_normalized"), F.col("target")))
-    return out.withColumns({"feedback": feedback, "letters": results}).drop("_fits", "_hit", "_before", "_won", "_turn")
+    return answers.withColumns({"feedback": feedback, "letters": results})
 
 
 def keyboard(played: DataFrame) -> DataFrame:

@@ -25,6 +25,13 @@ def prompts(words: DataFrame) -> DataFrame:
     return words.withColumns({"display": initial_display(F.col("text"), level), "gloss_texts": F.transform("glosses", lambda g: g["text"])})
 
 
+def start(sessions: DataFrame) -> DataFrame:
+    """Rows with text, language and hint_level, and what is shown at first, the hidden places and their characters."""
+    shown = sessions.withColumn("_shown", initial_display(F.col("text"), F.col("hint_level")))
+    places = F.filter(F.transform("_shown", lambda c, k: F.when(c == HIDDEN, k)), lambda k: k.isNotNull())
+    return shown.withColumn("_places", places).withColumn("_expected", F.transform("_places", lambda k: F.get(characters(F.col("text")), k)))
+
+
 def play(keystrokes: DataFrame) -> DataFrame:
     """Outcome of the keystrokes of every session.
 
@@ -40,11 +47,6 @@ def play(keystrokes: DataFrame) -> DataFrame:
     (keystrokes that counted), correct_rounds, completed, correct (null until completed).
     """
     grouped = keystrokes.groupBy("session").agg(F.array_sort(F.collect_list(F.struct("seq", "keystroke"))).alias("_keys"), *[F.min_by(c, "seq").alias(c) for c in ("text", "language", "hint_level")])
-    shown = initial_display(F.col("text"), F.col("hint_level"))
-    start = grouped.withColumn("_shown", shown)
-    places = F.filter(F.transform("_shown", lambda c, k: F.when(c == HIDDEN, k)), lambda k: k.isNotNull())
-    expected = F.transform(places, lambda k: F.get(characters(F.col("text")), k))
-    start = start.withColumns({"_places": places, "_expected": expected})
     zero = F.struct(F.lit(0).alias("at"), F.lit(0).cast("long").alias("misses"), F.lit(0).cast("long").alias("rounds"), F.array().cast("array<string>").alias("disabled"))
 
     def step(state: Column, key: Column) -> Column:
@@ -58,20 +60,25 @@ def play(keystrokes: DataFrame) -> DataFrame:
             F.when(miss, F.array_union(state["disabled"], F.array(key["keystroke"]))).otherwise(state["disabled"]).alias("disabled"),
         )
 
-    folded = start.withColumn("_end", F.aggregate("_keys", zero, step))
-    opened = F.slice("_places", F.lit(1), F.col("_end.at"))
+    folded = start(grouped).withColumn("_end", F.aggregate("_keys", zero, step))
+    return ended(folded, F.col("_end.at"), F.col("_end.misses"), F.col("_end.rounds"), F.col("_end.disabled"))
+
+
+def ended(sessions: DataFrame, at: Column, misses: Column, rounds: Column, disabled: Column) -> DataFrame:
+    """``play``'s rows of sessions that ``start`` opened, of which ``at`` hidden places are open by now."""
+    opened = F.slice("_places", F.lit(1), at)
     display = F.transform("_shown", lambda c, k: F.when(F.array_contains(opened, k), F.get(characters(F.col("text")), k)).otherwise(c))
-    completed = (F.size("_places") > 0) & (F.col("_end.at") >= F.size("_places"))
-    return folded.select(
+    completed = (F.size("_places") > 0) & (at >= F.size("_places"))
+    return sessions.select(
         "session",
         word_id(F.col("text"), F.col("language")).alias("word_id"),
         display.alias("display"),
-        F.array_sort("_end.disabled").alias("disabled_keys"),
-        F.col("_end.misses").alias("error_count"),
-        F.col("_end.rounds").alias("rounds"),
-        F.col("_end.at").cast("long").alias("correct_rounds"),
+        F.array_sort(disabled).alias("disabled_keys"),
+        misses.alias("error_count"),
+        rounds.alias("rounds"),
+        at.cast("long").alias("correct_rounds"),
         completed.alias("completed"),
-        F.when(completed, F.col("_end.misses") == 0).alias("correct"),
+        F.when(completed, misses == 0).alias("correct"),
     )
 
 

@@ -93,6 +93,12 @@ TYPED = f"""WITH {NEIGHBOURS}, h AS (SELECT *, CASE WHEN length(text) % 2 = 0 TH
         {{'at': 0::BIGINT, 'misses': 0::BIGINT, 'rounds': 0::BIGINT, 'off': ''::VARCHAR, 'k': ''::VARCHAR}}) AS z FROM e
     )"""
 
+TYPED_SESSIONS = f"""{TYPED}
+    SELECT language || '/' || text AS session, {word_id("text", "language")} AS word_id,
+      array_to_string(list_transform(range(1, len(chars) + 1), lambda k: CASE WHEN list_contains(places[1 : z.at], k) THEN chars[k] ELSE shown[k] END), '') AS display,
+      array_to_string(list_sort(list_filter(string_split(z.off, ''), lambda c: c <> '')), '') AS disabled_keys, z.misses AS error_count, z.rounds AS rounds, z.at AS correct_rounds,
+      len(places) > 0 AND z.at >= len(places) AS completed, CASE WHEN len(places) > 0 AND z.at >= len(places) THEN z.misses = 0 END AS correct FROM f"""
+
 PORTIONS = r"""WITH s AS (SELECT conv_id, turn, list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') AS w FROM conversations
 ), r AS (
   SELECT conv_id, turn, CASE WHEN len(w) = 0 THEN [] ELSE list_reduce(list_transform(w, lambda x: [x]), lambda acc, x:
@@ -133,16 +139,19 @@ ORACLE_SQL = {
     "select_words": f"WITH {WEIGHTED} SELECT id, text, round(weight, 9) AS weight FROM (SELECT *, -ln((('0x' || substr(sha1('{SEED}|' || id || '|' || _ord), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE) / weight AS key FROM w WHERE weight > 0) ORDER BY key LIMIT {DRAWS}",
     "wordle_eval": f"WITH {NEIGHBOURS}, s AS (SELECT *, string_split(guess, '') AS g, string_split(text, '') AS t FROM n) SELECT language, text, guess, array_to_string({evaluated('g', 't')}, '|') AS letters FROM s",
     "wordle_session": f"WITH {PLAYED} SELECT session, seq, guess, status, status = 'scored' AND hit AS correct, CASE WHEN status = 'scored' THEN turn END AS attempt, status = 'scored' AND (hit OR turn >= 3) AS ends FROM played",
+    "live_wordle": f"""WITH {PLAYED}, lines AS (SELECT *, seq // 10000000000000 AS line FROM played
+    ), last AS (SELECT session, max(seq) AS seq, max(line) AS line, bool_or(hit) AS won, count(*) FILTER (status = 'scored') AS turns FROM lines GROUP BY session
+    )
+    SELECT session, seq, guess, status, status = 'scored' AND hit AS correct, CASE WHEN status = 'scored' THEN turn END AS attempt, status = 'scored' AND (hit OR turn >= 3) AS ends,
+      CASE WHEN status = 'finished' THEN 'Game already finished.' WHEN status = 'rejected' THEN 'Guess must be ' || length(target) || ' letters.' WHEN NOT hit THEN chr(39) || guess || chr(39) || ' is not the word.' END AS feedback FROM played
+    UNION ALL SELECT session, seq, NULL, 'left', false, turns, false, NULL FROM last WHERE NOT won AND turns < 3 AND line + 2.5 < (SELECT max(line) FROM last) - 1""",
     "wordle_keyboard": f"""WITH {PLAYED}, s AS (SELECT session, string_split(lower(guess), '') AS g, string_split(target, '') AS t FROM played WHERE status = 'scored'
     ), x AS (SELECT session, unnest({evaluated("g", "t")}) AS l FROM s
     ), k AS (SELECT session, l[1] AS letter, max(list_position(['unused', 'wrong', 'misplaced', 'correct'], l[3:])) AS rank FROM x GROUP BY ALL)
     SELECT session, letter, (['unused', 'wrong', 'misplaced', 'correct'])[rank] AS state FROM k""",
     "diacritic_display": f"WITH {TOKENS}, h AS (SELECT text, language, unnest(['off', 'show_unaccented', 'show_all']) AS hint_level FROM lex) SELECT text, language, hint_level, array_to_string({_SHOWN}, '') AS display FROM h",
-    "diacritic_session": f"""{TYPED}
-    SELECT language || '/' || text AS session, {word_id("text", "language")} AS word_id,
-      array_to_string(list_transform(range(1, len(chars) + 1), lambda k: CASE WHEN list_contains(places[1 : z.at], k) THEN chars[k] ELSE shown[k] END), '') AS display,
-      array_to_string(list_sort(list_filter(string_split(z.off, ''), lambda c: c <> '')), '') AS disabled_keys, z.misses AS error_count, z.rounds AS rounds, z.at AS correct_rounds,
-      len(places) > 0 AND z.at >= len(places) AS completed, CASE WHEN len(places) > 0 AND z.at >= len(places) THEN z.misses = 0 END AS correct FROM f""",
+    "diacritic_session": TYPED_SESSIONS,
+    "live_typing": TYPED_SESSIONS,
     "typed_progress": f"""{TYPED}, a AS (SELECT language AS user_id, {word_id("text", "language")} AS word_id, 'diacritic_typing' AS exercise_type, z.misses = 0 AS correct, TIMESTAMP '2024-03-01' AS "when", 0 AS _ord FROM f WHERE len(places) > 0 AND z.at >= len(places))
     SELECT user_id, word_id, exercise_type, {COUNTERS} FROM a GROUP BY ALL""",
     "pair_matching": f"""WITH pairs AS (SELECT p_size AS round, p_name AS "left", arg_max(reverse(p_type), p_partkey) AS expected FROM part GROUP BY ALL

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from ..operators.progress import attempts_of_results, hash_uniform, progress_by_
 from ..operators.words import derive, merge_words, union_sources, word_filter
 from ..sources.words import dictionary_lines_to_words, read_csv_words, read_dictionary_words, static_words
 from ..storage import scratch_path
+from ..streaming.live_rounds import live_guesses, live_keystrokes, typed_sessions
 from ..streaming.progress_stream import latest, stream_progress
 from . import inputs
 
@@ -306,5 +308,43 @@ def tutor_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replied.select("session", _joined(F.transform("history", message)).alias("history"), "correct", "feedback")
 
 
-QUERIES = {f.__name__: f for f in (accent_stats, normalize_tokens, normalize_exact_tokens, accented_chars_hist, word_ids, language_lookup, dedup_words, csv_vocabulary, wiktionary_vocabulary, static_vocabulary, word_weights, wordle_eval, wordle_session, wordle_keyboard, diacritic_display, diacritic_session, pair_matching, matching_columns, sentence_portions, sentence_rounds, union_vocabulary, offered_words, typing_prompts, accented_dictionary, played_progress, typed_progress, matched_progress, tutor_sessions, tutor_turns, session_summary, user_upsert, progress_stream, generated_translations, generated_conversations, generated_tutoring, generated_topics, generated_portions, generated_greetings, generated_words)}
+def _as_stream(rows: DataFrame, live: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
+    """What ``live`` makes of ``rows`` as a stream: they come in the order of their ``part``, and the query is started anew from its checkpoint for each."""
+    spark = rows.sparkSession
+    home = scratch_path(spark, name)
+    rows.write.partitionBy("part").parquet(f"{home}/all")
+    parts = spark.read.parquet(f"{home}/all")
+    sent = parts.drop("part")
+    for part in (1, 2, 3):
+        parts.where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{home}/in")
+        answers = live(spark.readStream.schema(sent.schema).parquet(f"{home}/in"))
+        started = answers.writeStream.format("parquet").outputMode("append").option("path", f"{home}/out").option("checkpointLocation", f"{home}/checkpoint")
+        started.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{home}/out")
+
+
+def _minutes(n: Column) -> Column:
+    return F.timestamp_add("MINUTE", n, F.lit(NOW))
+
+
+def live_wordle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Guesses as a stream, a minute from line to line, in three parts; rounds without an end are left after 150 s."""
+    rows = inputs.guesses(spark, sf_dir).select("session", "seq", "guess", "target_id", "target", "max_attempts", (F.col("seq") / 10**13).cast("int").alias("line"))
+    part = F.least(F.ceil(F.col("line") / 2).cast("int"), F.lit(3))
+    timed = rows.select("session", "seq", "guess", "target_id", "target", "max_attempts", _minutes(F.col("line")).alias("at"), part.alias("part"))
+    answers = _as_stream(timed, lambda df: live_guesses(df, timedelta(seconds=150), timedelta(minutes=1)), "live-guesses")
+    return answers.select("session", "seq", "guess", "status", "correct", "attempt", "ends", "feedback")
+
+
+def live_typing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keystrokes as a stream, a minute from one to the next, in three parts; the sessions as they are at last."""
+    rows = inputs.keystrokes(spark, sf_dir)
+    part = F.when(F.col("seq") < 4, 1).when(F.col("seq") < 9, 2).otherwise(3)
+    timed = rows.select("session", "seq", "keystroke", "text", "language", "hint_level", _minutes(F.col("seq")).alias("at"), part.alias("part"))
+    answers = _as_stream(timed, live_keystrokes, "live-keystrokes")
+    words = rows.where("seq = 0").select("session", "text", "language", "hint_level")
+    return typed_sessions(answers, words).withColumns({"display": F.array_join("display", ""), "disabled_keys": F.array_join("disabled_keys", "")})
+
+
+QUERIES = {f.__name__: f for f in (accent_stats, normalize_tokens, normalize_exact_tokens, accented_chars_hist, word_ids, language_lookup, dedup_words, csv_vocabulary, wiktionary_vocabulary, static_vocabulary, word_weights, wordle_eval, wordle_session, wordle_keyboard, diacritic_display, diacritic_session, pair_matching, matching_columns, sentence_portions, sentence_rounds, union_vocabulary, offered_words, typing_prompts, accented_dictionary, played_progress, typed_progress, matched_progress, tutor_sessions, tutor_turns, session_summary, user_upsert, progress_stream, generated_translations, generated_conversations, generated_tutoring, generated_topics, generated_portions, generated_greetings, generated_words, live_wordle, live_typing)}
 QUERIES |= {"word_filter": filtered_words, "progress_totals": progress_totals_query, "progress_by_exercise": progress_by_exercise_query, "select_words": selected_words}
