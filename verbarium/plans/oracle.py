@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from ..functions.languages import LANGUAGES
+from ..operators.selection import PER_WORD, ROOM, SPARE
 from ..sources.schemas import EXERCISE_TYPES
 from .inputs import EVENT_TYPES
-from .queries import DRAWS, SEED
+from .queries import DRAWS, EACH, SEED
 
 TOKENS = r"""
 d AS (SELECT doc_id, lang, source, regexp_extract_all(text, '\p{L}+') AS w FROM documents
@@ -54,6 +55,38 @@ WEIGHTED = f"""
   FROM p LEFT JOIN r ON p.id = r.word_id
 )"""
 
+def _weight(seen: str, errors: str, last: str, useless: str) -> str:
+    """The selection weight of a word with ``frequency``, by the columns of its record."""
+    return f"""CASE WHEN coalesce({useless}, false) THEN 0.0::DOUBLE ELSE greatest(0.0::DOUBLE, CASE WHEN coalesce({seen}, 0) = 0 THEN 5.0::DOUBLE ELSE 1.0::DOUBLE + 3.0::DOUBLE * {errors} END
+      * CASE frequency WHEN 'high' THEN 1.2::DOUBLE WHEN 'medium' THEN 1.0::DOUBLE WHEN 'low' THEN 0.8::DOUBLE ELSE 1.0::DOUBLE END
+      * CASE WHEN {last} IS NULL THEN 1.0::DOUBLE ELSE 1.0::DOUBLE - pow(0.5::DOUBLE, greatest(0.0::DOUBLE, date_diff('microsecond', {last}, TIMESTAMP '2024-03-01') / 1e6::DOUBLE) / 3600.0::DOUBLE) END) END"""
+
+
+def _uniform(kind: str, *columns: str) -> str:
+    return f"((('0x' || substr(sha1(concat_ws('|', '{SEED}|{kind}', {', '.join(columns)})), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE)"
+
+
+_OWN_KEY = f"-ln({_uniform('own', 'user_id', 'tier', 'pos')}) / weight"
+LEARNERS = f"""WITH {ATTEMPTS}, r AS (SELECT user_id, word_id, {COUNTERS}, max(_ord) % 10 = 0 AS useless FROM a GROUP BY ALL
+), p AS (
+  SELECT id, tier, frequency, row_number() OVER (PARTITION BY tier ORDER BY sha1(id || '|' || _ord)) - 1 AS pos FROM (
+    SELECT *, coalesce(frequency, '') AS tier FROM (SELECT p_partkey AS _ord, {word_id("'w' || p_partkey", "'en'")} AS id,
+      CASE WHEN p_size <= 10 THEN 'high' WHEN p_size <= 25 THEN 'medium' WHEN p_size <= 40 THEN 'low' END AS frequency FROM part))
+), t AS (SELECT tier, count(*) AS size, {_weight('NULL', '0', 'NULL::TIMESTAMP', 'NULL')} AS weight FROM p GROUP BY tier, frequency
+), l AS (SELECT DISTINCT c_custkey::VARCHAR AS user_id FROM customer
+), seen AS (SELECT user_id, tier, pos, {_weight('seen_count', 'error_count', 'last_seen_at', 'useless')} AS weight FROM r JOIN l USING (user_id) JOIN p ON p.id = word_id
+), o AS (SELECT l.user_id, t.*, coalesce(n, 0) AS n FROM l CROSS JOIN t LEFT JOIN (SELECT user_id, count(*) AS n FROM seen GROUP BY user_id) USING (user_id)
+), j AS (SELECT *, unnest(range(1, {PER_WORD * EACH + SPARE + 1})) AS jump FROM o WHERE size >= {ROOM} * ({EACH} + n)
+), arrivals AS (
+  SELECT user_id, tier, weight, floor({_uniform('word', 'user_id', 'tier', 'jump')} * size)::BIGINT AS pos, sum(-ln({_uniform('gap', 'user_id', 'tier', 'jump')}) / (size * weight)) OVER (PARTITION BY user_id, tier ORDER BY jump) AS key FROM j
+), each AS (SELECT user_id, tier, weight, unnest(range(0, size)) AS pos FROM o WHERE size < {ROOM} * ({EACH} + n)
+), new AS (
+  SELECT user_id, tier, pos, min(weight) AS weight, min(key) AS key FROM arrivals GROUP BY user_id, tier, pos UNION ALL SELECT user_id, tier, pos, weight, {_OWN_KEY} FROM each
+), drawn AS (
+  SELECT user_id, tier, pos, weight, key FROM new ANTI JOIN seen USING (user_id, tier, pos) UNION ALL SELECT user_id, tier, pos, weight, {_OWN_KEY} FROM seen WHERE weight > 0
+), best AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY key, tier, pos) AS rank FROM drawn)
+SELECT user_id, rank, id, tier, round(weight, 9) AS weight FROM best JOIN p USING (tier, pos) WHERE rank <= {EACH}"""
+
 NEIGHBOURS = f"{TOKENS}, n AS (SELECT * FROM (SELECT text, language, lead(text) OVER (PARTITION BY language, length(text) ORDER BY text) AS guess FROM lex) WHERE guess IS NOT NULL)"
 
 
@@ -139,6 +172,7 @@ ORACLE_SQL = {
     "select_words": f"WITH {WEIGHTED} SELECT id, text, round(weight, 9) AS weight FROM (SELECT *, -ln((('0x' || substr(sha1('{SEED}|' || id || '|' || _ord), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE) / weight AS key FROM w WHERE weight > 0) ORDER BY key LIMIT {DRAWS}",
     "wordle_eval": f"WITH {NEIGHBOURS}, s AS (SELECT *, string_split(guess, '') AS g, string_split(text, '') AS t FROM n) SELECT language, text, guess, array_to_string({evaluated('g', 't')}, '|') AS letters FROM s",
     "wordle_session": f"WITH {PLAYED} SELECT session, seq, guess, status, status = 'scored' AND hit AS correct, CASE WHEN status = 'scored' THEN turn END AS attempt, status = 'scored' AND (hit OR turn >= 3) AS ends FROM played",
+    "learners_words": LEARNERS,
     "live_wordle": f"""WITH {PLAYED}, lines AS (SELECT *, seq // 10000000000000 AS line FROM played
     ), last AS (SELECT session, max(seq) AS seq, max(line) AS line, bool_or(hit) AS won, count(*) FILTER (status = 'scored') AS turns FROM lines GROUP BY session
     )

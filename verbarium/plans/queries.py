@@ -12,7 +12,8 @@ from ..functions.languages import with_language
 from ..functions.text import accented_chars, has_accent, normalize, normalize_exact, word_id
 from ..inference.operators import apply, offline, tutor_open, tutor_reply
 from ..operators import guessing, matching, sessions, typing
-from ..operators.progress import attempts_of_results, hash_uniform, progress_by_exercise, progress_totals, select_words, weighted_pool
+from ..operators.progress import attempts_of_results, hash_uniform, progress, progress_by_exercise, progress_totals, select_words, weighted_pool
+from ..operators.selection import select_for_learners
 from ..operators.words import derive, merge_words, union_sources, word_filter
 from ..sources.words import dictionary_lines_to_words, read_csv_words, read_dictionary_words, static_words
 from ..storage import scratch_path
@@ -22,6 +23,8 @@ from . import inputs
 
 NOW = datetime(2024, 3, 1)
 SEED, DRAWS = 11, 25
+#: Words for each of all learners.
+EACH = 5
 
 
 def _joined(column: Column | str) -> Column:
@@ -346,5 +349,14 @@ def live_typing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_sessions(answers, words).withColumns({"display": F.array_join("display", ""), "disabled_keys": F.array_join("disabled_keys", "")})
 
 
-QUERIES = {f.__name__: f for f in (accent_stats, normalize_tokens, normalize_exact_tokens, accented_chars_hist, word_ids, language_lookup, dedup_words, csv_vocabulary, wiktionary_vocabulary, static_vocabulary, word_weights, wordle_eval, wordle_session, wordle_keyboard, diacritic_display, diacritic_session, pair_matching, matching_columns, sentence_portions, sentence_rounds, union_vocabulary, offered_words, typing_prompts, accented_dictionary, played_progress, typed_progress, matched_progress, tutor_sessions, tutor_turns, session_summary, user_upsert, progress_stream, generated_translations, generated_conversations, generated_tutoring, generated_topics, generated_portions, generated_greetings, generated_words, live_wordle, live_typing)}
+def learners_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words for every customer, whose attempts are the events of the same number."""
+    learners = inputs.read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("user_id"))
+    rows = inputs.attempts(spark, sf_dir)
+    flags = rows.groupBy("user_id", "word_id").agg(F.max("_ord").alias("_last")).where("_last % 10 = 0")
+    drawn = select_for_learners(inputs.pool(spark, sf_dir), progress(rows, flags), learners, EACH, NOW, SEED)
+    return drawn.select("user_id", "rank", "id", "tier", F.round("weight", 9).alias("weight"))
+
+
+QUERIES = {f.__name__: f for f in (accent_stats, normalize_tokens, normalize_exact_tokens, accented_chars_hist, word_ids, language_lookup, dedup_words, csv_vocabulary, wiktionary_vocabulary, static_vocabulary, word_weights, wordle_eval, wordle_session, wordle_keyboard, diacritic_display, diacritic_session, pair_matching, matching_columns, sentence_portions, sentence_rounds, union_vocabulary, offered_words, typing_prompts, accented_dictionary, played_progress, typed_progress, matched_progress, tutor_sessions, tutor_turns, session_summary, user_upsert, progress_stream, generated_translations, generated_conversations, generated_tutoring, generated_topics, generated_portions, generated_greetings, generated_words, live_wordle, live_typing, learners_words)}
 QUERIES |= {"word_filter": filtered_words, "progress_totals": progress_totals_query, "progress_by_exercise": progress_by_exercise_query, "select_words": selected_words}
