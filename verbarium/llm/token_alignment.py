@@ -27,7 +27,7 @@ PAIRS = 1_000_000
 #: Encodings that a worker remembers, twice at most: characters of a unit, and units.
 UNIT, REMEMBERED = 48, 100_000
 #: Characters of the texts that share a list of units, unless one text has more.
-CHUNK = 1_000_000
+CHUNK = 150_000
 SIDES = tuple(f"{s}_{c}" for s in "ab" for c in ("ids", "ends", "from"))
 
 # A single space between two characters that are no white space: no token of either
