@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.schemas import EXERCISE_TYPES, STATS
+from ..stored import BUCKETS, StoredTable
 
 
 def counters(*keys: str):
@@ -59,6 +60,28 @@ def progress(attempts: DataFrame, useless: DataFrame | None = None) -> DataFrame
     return out.join(flags, ["user_id", "word_id"], "left").withColumn("is_useless", F.coalesce("is_useless", F.lit(False)))
 
 
+def counted(attempts: DataFrame) -> DataFrame:
+    """Counters by user and word with the place of the last attempt: rows that ``combine_counts`` adds up."""
+    last = F.max(F.struct(F.col("_ord").alias("at"), F.col("when").alias("value"))).alias("last")
+    return attempts.groupBy("user_id", "word_id").agg(F.count("*").alias("seen_count"), F.count_if(F.col("correct")).alias("correct_count"), F.count_if(~F.col("correct")).alias("error_count"), last)
+
+
+def combine_counts(rows: DataFrame) -> DataFrame:
+    """One row per user and word of rows that several batches have of them."""
+    sums = [F.sum(c).alias(c) for c in ("seen_count", "correct_count", "error_count")]
+    return rows.groupBy("user_id", "word_id").agg(*sums, F.max("last").alias("last"))
+
+
+def stored_progress(path: str, buckets: int = BUCKETS) -> StoredTable:
+    """Counters that are kept below ``path``: ``apply`` takes ``counted`` attempts of a numbered batch, once."""
+    return StoredTable(path, ("user_id", "word_id"), combine_counts, buckets)
+
+
+def totals_of(rows: DataFrame) -> DataFrame:
+    """``progress_totals``' rows from stored counters."""
+    return rows.select("user_id", "word_id", "seen_count", "correct_count", "error_count", F.col("last.value").alias("last_seen_at"))
+
+
 @dataclass(frozen=True)
 class Weights:
     """Knobs of the selection weight."""

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..stored import BUCKETS, StoredTable
 
 
 def session_summary(rounds: DataFrame) -> DataFrame:
@@ -51,6 +52,27 @@ def upsert_users(users: DataFrame) -> DataFrame:
     return users.groupBy("id").agg(F.max_by("email", "_ord").alias("email"), F.max_by("name", "_ord").alias("name"), F.min("_ord").alias("first_ord"))
 
 
+def user_records(users: DataFrame) -> DataFrame:
+    """``users`` (id, email, name, _ord) as rows of a stored table: the last record and the first arrival of each id."""
+    last = F.max(F.struct(F.col("_ord").alias("at"), "email", "name")).alias("last")
+    return users.groupBy("id").agg(last, F.min("_ord").alias("first_ord"))
+
+
+def combine_users(rows: DataFrame) -> DataFrame:
+    """One row per id of records that several batches have of it."""
+    return rows.groupBy("id").agg(F.max("last").alias("last"), F.min("first_ord").alias("first_ord"))
+
+
+def stored_users(path: str, buckets: int = BUCKETS) -> StoredTable:
+    """Users that are kept below ``path``: ``apply`` takes ``user_records`` of a numbered batch, once."""
+    return StoredTable(path, ("id",), combine_users, buckets)
+
+
+def users_of(rows: DataFrame) -> DataFrame:
+    """``upsert_users``' rows from stored ones."""
+    return rows.select("id", "last.email", "last.name", "first_ord")
+
+
 def user_by_email(users: DataFrame, email: str) -> DataFrame:
     """The earliest user of ``upsert_users`` with this email, or no row."""
     return users.where(F.col("email") == email).orderBy("first_ord").limit(1)

@@ -47,11 +47,11 @@ def merge_words(words: DataFrame) -> DataFrame:
     out on contents only. List entries are then grouped by themselves, so a word with any
     number of rows meets in one task only as its distinct entries.
     """
-    contents = _contents(words)
+    counted = contents(words)
     foreign = F.when(has_foreign_letter(F.col("text")), F.col("_low"))
     filled = F.when(nonempty(F.col("text")), F.col("_high"))
     whole = F.struct(F.map_from_entries("_pairs").alias("translations"), *LISTS)
-    base = contents.groupBy("id").agg(
+    base = counted.groupBy("id").agg(
         F.sum("_rows").alias("_n"),
         F.min("_low").alias("_ord"),
         F.coalesce(F.min_by("text", foreign), F.max_by("text", filled), F.min_by("text", "_low")).alias("text"),
@@ -59,7 +59,7 @@ def merge_words(words: DataFrame) -> DataFrame:
         *[_first_given(name).alias(name) for name in ("normalized", "part_of_speech", "frequency")],
         F.min_by(whole, "_low").alias("_whole"),
     )
-    merged = base.join(_entries(contents), "id", "left")
+    merged = base.join(gathered_entries(distinct_entries(counted)), "id", "left")
 
     def chosen(name: str) -> Column:
         kind = WORD[name]
@@ -71,7 +71,7 @@ def merge_words(words: DataFrame) -> DataFrame:
     return merged.select(F.nullif("id", F.lit("")).alias("id"), *plain)
 
 
-def _contents(words: DataFrame) -> DataFrame:
+def contents(words: DataFrame) -> DataFrame:
     """The distinct contents of words with their id, number of rows, first and last arrival."""
     content = words.select(*[F.col(n) for n in WORD if n != "translations"], F.map_entries("translations").alias("_pairs"))
     counted = content.groupBy(*[c for c in content.columns if c != "_ord"]).agg(F.count("*").alias("_rows"), F.min("_ord").alias("_low"), F.max("_ord").alias("_high"))
@@ -80,12 +80,14 @@ def _contents(words: DataFrame) -> DataFrame:
     return counted.withColumns({"normalized": normalized, "id": F.coalesce(word_id(F.col("text"), F.col("language")), F.lit(""))})
 
 
-def _entries(contents: DataFrame) -> DataFrame:
-    """(id, _all): the merged lists and translations of each id."""
-    kinds = {name: WORD[name].removeprefix("array<")[:-1] for name in LISTS}
+_KINDS = {name: WORD[name].removeprefix("array<")[:-1] for name in LISTS}
+
+
+def distinct_entries(counted: DataFrame) -> DataFrame:
+    """(id, item, _place, value): each distinct list entry and translation of ``contents``' rows, at its first place."""
 
     def packed(kind: str, value: Column, key: Column) -> Column:
-        fields = [(value if n == kind else F.lit(None)).cast(t).alias(n) for n, t in kinds.items()]
+        fields = [(value if n == kind else F.lit(None)).cast(t).alias(n) for n, t in _KINDS.items()]
         return F.struct(F.lit(kind).alias("kind"), key.cast("string").alias("key"), *fields)
 
     def listed(name: str) -> Column:
@@ -94,9 +96,13 @@ def _entries(contents: DataFrame) -> DataFrame:
     lists = [listed(name) for name in LISTS]
     pairs = F.transform(F.coalesce("_pairs", F.array()), lambda e: F.struct(packed("translations", F.lit(None), e["key"]).alias("item"), e["value"].alias("value")))
     # The test holds for all; it keeps every column, so that this shuffle of the contents is the other reader's too.
-    single = contents.where("_rows > 0 and _high >= _low").select("id", F.col("_low").alias("_ord"), F.posexplode(F.concat(*lists, pairs)).alias("_pos", "_e"))
+    single = counted.where("_rows > 0 and _high >= _low").select("id", F.col("_low").alias("_ord"), F.posexplode(F.concat(*lists, pairs)).alias("_pos", "_e"))
     place = F.struct("_ord", "_pos")
-    distinct = single.groupBy("id", "_e.item").agg(F.min(place).alias("_place"), F.min_by("_e.value", place).alias("value"))
+    return single.groupBy("id", "_e.item").agg(F.min(place).alias("_place"), F.min_by("_e.value", place).alias("value"))
+
+
+def gathered_entries(distinct: DataFrame) -> DataFrame:
+    """(id, _all): the merged lists and translations of each id, from ``distinct_entries``."""
     gathered = distinct.groupBy("id").agg(F.collect_list(F.struct("_place", "item", "value")).alias("_items"))
     by_place = F.array_sort("_items", lambda x, y: F.when(x["_place"] < y["_place"], F.lit(-1)).otherwise(F.lit(1)))
     gathered = gathered.select("id", by_place.alias("_items"))

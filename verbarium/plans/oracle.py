@@ -132,6 +132,22 @@ TYPED_SESSIONS = f"""{TYPED}
       array_to_string(list_sort(list_filter(string_split(z.off, ''), lambda c: c <> '')), '') AS disabled_keys, z.misses AS error_count, z.rounds AS rounds, z.at AS correct_rounds,
       len(places) > 0 AND z.at >= len(places) AS completed, CASE WHEN len(places) > 0 AND z.at >= len(places) THEN z.misses = 0 END AS correct FROM f"""
 
+DEDUPED = rf"""WITH {TOKENS}, k AS (
+      SELECT *, {word_id("text", "language")} AS id, CASE WHEN length(text) % 2 = 0 THEN 'noun' ELSE '' END AS pos,
+        CASE WHEN length(text) <= 3 THEN 'high' WHEN length(text) <= 6 THEN 'medium' WHEN length(text) <= 9 THEN 'low' END AS freq,
+        CASE WHEN _ord % 3 = 0 THEN '=' || text ELSE {folded("text")} END AS norm FROM tok
+    ), base AS (
+      SELECT id, min(_ord) AS _ord, coalesce(arg_min(text, _ord) FILTER (regexp_matches(text, '[^\x00-\x7F]')), arg_max(text, _ord) FILTER (text <> ''), arg_min(text, _ord)) AS text,
+        arg_min(language, _ord) AS language, coalesce(arg_min(pos, _ord) FILTER (pos <> ''), arg_max(pos, _ord)) AS part_of_speech, arg_min(freq, _ord) FILTER (freq IS NOT NULL) AS frequency, arg_min(norm, _ord) AS normalized FROM k GROUP BY id
+    ), tr AS (SELECT id, string_agg(source || '=' || v, '|' ORDER BY source) AS translations FROM (SELECT id, source, arg_min(reverse(text), _ord) AS v FROM k GROUP BY ALL) GROUP BY id
+    ), tp AS (
+      SELECT id, string_agg(topic, '|' ORDER BY o, pos) AS topics FROM (
+        SELECT id, topic, min((_ord, pos))[1] AS o, min((_ord, pos))[2] AS pos FROM (SELECT id, _ord, 0 AS pos, source AS topic FROM k UNION ALL SELECT id, _ord, 1, 'length-' || length(text) FROM k) GROUP BY id, topic) GROUP BY id
+    )
+    SELECT id, _ord, text, language, normalized, part_of_speech, frequency, translations, topics, 'documents' AS sources, 0 AS n_glosses FROM base JOIN tr USING (id) JOIN tp USING (id)"""
+
+USERS = "SELECT o_custkey::VARCHAR AS id, arg_max(o_orderpriority || '@example.org', o_orderkey) AS email, arg_max(o_orderstatus, o_orderkey) AS name, min(o_orderkey) AS first_ord FROM orders GROUP BY 1"
+
 PORTIONS = r"""WITH s AS (SELECT conv_id, turn, list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '') AS w FROM conversations
 ), r AS (
   SELECT conv_id, turn, CASE WHEN len(w) = 0 THEN [] ELSE list_reduce(list_transform(w, lambda x: [x]), lambda acc, x:
@@ -145,19 +161,8 @@ ORACLE_SQL = {
     "word_ids": f"WITH {TOKENS} SELECT text, language, {word_id('text', 'language')} AS id FROM lex",
     "language_lookup": f"SELECT doc_id, upper(lang) AS code, name, native_name, accent_keys FROM documents JOIN (VALUES {_LANGUAGES}) l(code, name, native_name, accent_keys) ON lower(lang) = l.code",
     "word_filter": f"WITH {TOKENS} SELECT _ord, text, language, {word_id('text', 'language')} AS id, {folded('text')} AS normalized FROM tok WHERE {ACCENT} AND source = 'src3' AND length(text) BETWEEN 4 AND 12 AND language IN ('fr', 'de')",
-    "dedup_words": rf"""WITH {TOKENS}, k AS (
-      SELECT *, {word_id("text", "language")} AS id, CASE WHEN length(text) % 2 = 0 THEN 'noun' ELSE '' END AS pos,
-        CASE WHEN length(text) <= 3 THEN 'high' WHEN length(text) <= 6 THEN 'medium' WHEN length(text) <= 9 THEN 'low' END AS freq,
-        CASE WHEN _ord % 3 = 0 THEN '=' || text ELSE {folded("text")} END AS norm FROM tok
-    ), base AS (
-      SELECT id, min(_ord) AS _ord, coalesce(arg_min(text, _ord) FILTER (regexp_matches(text, '[^\x00-\x7F]')), arg_max(text, _ord) FILTER (text <> ''), arg_min(text, _ord)) AS text,
-        arg_min(language, _ord) AS language, coalesce(arg_min(pos, _ord) FILTER (pos <> ''), arg_max(pos, _ord)) AS part_of_speech, arg_min(freq, _ord) FILTER (freq IS NOT NULL) AS frequency, arg_min(norm, _ord) AS normalized FROM k GROUP BY id
-    ), tr AS (SELECT id, string_agg(source || '=' || v, '|' ORDER BY source) AS translations FROM (SELECT id, source, arg_min(reverse(text), _ord) AS v FROM k GROUP BY ALL) GROUP BY id
-    ), tp AS (
-      SELECT id, string_agg(topic, '|' ORDER BY o, pos) AS topics FROM (
-        SELECT id, topic, min((_ord, pos))[1] AS o, min((_ord, pos))[2] AS pos FROM (SELECT id, _ord, 0 AS pos, source AS topic FROM k UNION ALL SELECT id, _ord, 1, 'length-' || length(text) FROM k) GROUP BY id, topic) GROUP BY id
-    )
-    SELECT id, _ord, text, language, normalized, part_of_speech, frequency, translations, topics, 'documents' AS sources, 0 AS n_glosses FROM base JOIN tr USING (id) JOIN tp USING (id)""",
+    "dedup_words": DEDUPED,
+    "merged_in_steps": DEDUPED,
     "csv_vocabulary": f"""SELECT p_name || ' ' || p_partkey AS text, 'en' AS language, {word_id("p_name || ' ' || p_partkey", "'en'")} AS id, CASE WHEN p_size % 2 = 0 THEN lower(p_type) END AS part_of_speech,
       CASE WHEN p_size < 15 THEN 'high' WHEN p_size < 30 THEN 'low' END AS frequency, CASE WHEN p_size % 3 = 0 THEN reverse(p_name) END AS fr,
       p_brand || '|' || p_type || CASE WHEN p_size % 5 = 0 THEN '|"' || p_type || '"|x' ELSE '' END AS topics, CASE WHEN p_size % 7 = 0 THEN p_name || ',' || chr(10) || p_brand END AS sentence,
@@ -167,6 +172,7 @@ ORACLE_SQL = {
     "static_vocabulary": f"SELECT n_name AS text, 'EN' AS language, {word_id('n_name', chr(39) + 'EN' + chr(39))} AS id, {folded('n_name')} AS normalized, length(n_name) AS length, 'static_list' AS sources FROM nation",
     "progress_totals": TOTALS,
     "progress_stream": TOTALS,
+    "progress_in_steps": TOTALS,
     "progress_by_exercise": f"WITH {ATTEMPTS} SELECT user_id, word_id, exercise_type, {COUNTERS} FROM a WHERE exercise_type IS NOT NULL GROUP BY ALL",
     "word_weights": f"WITH {WEIGHTED} SELECT id, text, frequency, round(weight, 9) AS weight FROM w",
     "select_words": f"WITH {WEIGHTED} SELECT id, text, round(weight, 9) AS weight FROM (SELECT *, -ln((('0x' || substr(sha1('{SEED}|' || id || '|' || _ord), 1, 12))::BIGINT + 0.5::DOUBLE) / 281474976710656.0::DOUBLE) / weight AS key FROM w WHERE weight > 0) ORDER BY key LIMIT {DRAWS}",
@@ -219,7 +225,8 @@ ORACLE_SQL = {
     SELECT session, turn, n AS history_length, coalesce(trim(c), '') = '' AS correct, c AS feedback FROM l WHERE role = 'user' AND next_role = 'tutor'""",
     "session_summary": f"""WITH {ATTEMPTS} SELECT concat_ws('/', user_id, exercise_type) AS session, arg_min(exercise_type, "when") AS exercise_type, count(*) AS total_rounds, count(*) FILTER (correct) AS correct_rounds,
       coalesce(array_to_string(list_sort(list(DISTINCT word_id) FILTER (NOT correct)), '|'), '') AS words_practiced, date_diff('microsecond', min("when"), max("when")) / 1e6::DOUBLE AS duration_seconds FROM a GROUP BY 1""",
-    "user_upsert": "SELECT o_custkey::VARCHAR AS id, arg_max(o_orderpriority || '@example.org', o_orderkey) AS email, arg_max(o_orderstatus, o_orderkey) AS name, min(o_orderkey) AS first_ord FROM orders GROUP BY 1",
+    "user_upsert": USERS,
+    "users_in_steps": USERS,
     "generated_translations": "SELECT conv_id, turn, '[en] ' || text AS translated_text, true AS valid FROM conversations",
     "generated_conversations": "SELECT n_name AS topic, 6 AS n_turns, 'user|system|user|system|user|system' AS roles, true AS valid FROM nation",
     "generated_tutoring": "SELECT conv_id, turn, 'travel: ' || text AS content, 0 AS n_errors, true AS valid FROM conversations WHERE role = 'user'",

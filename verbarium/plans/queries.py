@@ -12,7 +12,8 @@ from ..functions.languages import with_language
 from ..functions.text import accented_chars, has_accent, normalize, normalize_exact, word_id
 from ..inference.operators import apply, offline, tutor_open, tutor_reply
 from ..operators import guessing, matching, sessions, typing
-from ..operators.progress import attempts_of_results, hash_uniform, progress, progress_by_exercise, progress_totals, select_words, weighted_pool
+from ..operators.progress import attempts_of_results, counted, hash_uniform, progress, progress_by_exercise, progress_totals, select_words, stored_progress, totals_of, weighted_pool
+from ..operators.merge_state import MergedVocabulary
 from ..operators.selection import select_for_learners
 from ..operators.words import derive, merge_words, union_sources, word_filter
 from ..sources.words import dictionary_lines_to_words, read_csv_words, read_dictionary_words, static_words
@@ -25,6 +26,8 @@ NOW = datetime(2024, 3, 1)
 SEED, DRAWS = 11, 25
 #: Words for each of all learners.
 EACH = 5
+#: Buckets of the tables that the queries keep; their data are small.
+STEP_BUCKETS = 8
 
 
 def _joined(column: Column | str) -> Column:
@@ -68,14 +71,47 @@ def filtered_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(inputs.token_words(spark, sf_dir)).where(wanted).select("_ord", "text", "language", "id", "normalized")
 
 
-def dedup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens merged by id; every third one comes with a normalized text of its own."""
+def _tokens_with_own_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = F.when(F.col("_ord") % 3 == 0, F.concat(F.lit("="), "text")).otherwise("")
-    merged = merge_words(inputs.token_words(spark, sf_dir).withColumn("normalized", own))
+    return inputs.token_words(spark, sf_dir).withColumn("normalized", own)
+
+
+def _merged_columns(merged: DataFrame) -> DataFrame:
     pairs = F.transform(F.array_sort(F.map_entries("translations")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return merged.select("id", "_ord", "text", "language", "normalized", "part_of_speech", "frequency", _joined(pairs).alias("translations"), _joined("topics").alias("topics"), _joined("sources").alias("sources"), F.size("glosses").alias("n_glosses"))
 
 
+def dedup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens merged by id; every third one comes with a normalized text of its own."""
+    return _merged_columns(merge_words(_tokens_with_own_text(spark, sf_dir)))
+
+
+def merged_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dedup_words`` from a stored vocabulary that got the documents in three parts, the last ones first, one twice."""
+    words = _tokens_with_own_text(spark, sf_dir)
+    vocabulary = MergedVocabulary(scratch_path(spark, "vocabulary"), STEP_BUCKETS)
+    third = F.floor(F.col("_ord") / inputs.PLACES) % 3
+    for batch, part in ((1, 2), (2, 0), (2, 0), (3, 1)):
+        vocabulary.add(words.where(third == part), batch)
+    return _merged_columns(vocabulary.read(spark))
+
+
+def progress_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The totals from stored counters that got the events in three batches, one twice."""
+    rows, table = inputs.attempts(spark, sf_dir), stored_progress(scratch_path(spark, "progress"), STEP_BUCKETS)
+    for batch, part in ((1, 1), (2, 0), (2, 0), (3, 2)):
+        table.apply(counted(rows.where(F.col("_ord") % 3 == part)), batch)
+    return totals_of(table.read(spark))
+
+
+def users_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users from a stored table that got the orders in three batches, one twice."""
+    rows, table = inputs.users(spark, sf_dir), sessions.stored_users(scratch_path(spark, "users"), STEP_BUCKETS)
+    for batch, part in ((1, 2), (2, 1), (2, 1), (3, 0)):
+        table.apply(sessions.user_records(rows.where(F.col("_ord") % 3 == part)), batch)
+    return sessions.users_of(table.read(spark))
+
+
 def csv_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts written as a CSV vocabulary and read back."""
     part = inputs.read(spark, sf_dir, "part")
@@ -358,5 +394,5 @@ def learners_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("user_id", "rank", "id", "tier", F.round("weight", 9).alias("weight"))
 
 
-QUERIES = {f.__name__: f for f in (accent_stats, normalize_tokens, normalize_exact_tokens, accented_chars_hist, word_ids, language_lookup, dedup_words, csv_vocabulary, wiktionary_vocabulary, static_vocabulary, word_weights, wordle_eval, wordle_session, wordle_keyboard, diacritic_display, diacritic_session, pair_matching, matching_columns, sentence_portions, sentence_rounds, union_vocabulary, offered_words, typing_prompts, accented_dictionary, played_progress, typed_progress, matched_progress, tutor_sessions, tutor_turns, session_summary, user_upsert, progress_stream, generated_translations, generated_conversations, generated_tutoring, generated_topics, generated_portions, generated_greetings, generated_words, live_wordle, live_typing, learners_words)}
+QUERIES = {f.__name__: f for f in (accent_stats, normalize_tokens, normalize_exact_tokens, accented_chars_hist, word_ids, language_lookup, dedup_words, csv_vocabulary, wiktionary_vocabulary, static_vocabulary, word_weights, wordle_eval, wordle_session, wordle_keyboard, diacritic_display, diacritic_session, pair_matching, matching_columns, sentence_portions, sentence_rounds, union_vocabulary, offered_words, typing_prompts, accented_dictionary, played_progress, typed_progress, matched_progress, tutor_sessions, tutor_turns, session_summary, user_upsert, progress_stream, generated_translations, generated_conversations, generated_tutoring, generated_topics, generated_portions, generated_greetings, generated_words, live_wordle, live_typing, learners_words, merged_in_steps, progress_in_steps, users_in_steps)}
 QUERIES |= {"word_filter": filtered_words, "progress_totals": progress_totals_query, "progress_by_exercise": progress_by_exercise_query, "select_words": selected_words}
