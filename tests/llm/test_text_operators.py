@@ -1,4 +1,5 @@
 import hashlib
+import math
 import re
 from collections import defaultdict
 from types import SimpleNamespace
@@ -421,6 +422,50 @@ def test_licenses_inside_long_texts(spark):
     assert all(n in rows[k]["licenses"].split(",") and rows[k]["dice"] == 1.0 for k, n in enumerate(names))
 
 
+def brute_notices(text, least=0.8):
+    """{(license, place): dice} of the best runs, by sets of words alone."""
+    words, found = license_scan.template_words(text), {}
+    grams = list(zip(words, words[1:], strict=False))
+    for name, body in license_scan.TEMPLATES.items():
+        own = license_scan.template_words(body)
+        template, triples, span = set(zip(own, own[1:], strict=False)), set(zip(own, own[1:], own[2:], strict=False)), len(own) - 1
+        runs = {}
+        for s, gram in enumerate(grams):
+            if gram not in template or s and (words[s - 1], *gram) in triples:
+                continue
+            for by in license_scan.STRETCHES:
+                end = max(p for p in range(s, min(len(grams), math.ceil(s + span * by))) if grams[p] in template)
+                run = set(grams[s : end + 1])
+                dice = 2 * len(run & template) / (len(run) + len(template))
+                if dice >= least:
+                    runs[s] = max(runs.get(s, 0), dice)
+        for s, dice in runs.items():
+            if all((dice, -s) >= (d, -o) for o, d in runs.items() if abs(o - s) <= span):
+                found[name, s] = dice
+    return found
+
+
+def test_licence_runs_agree_with_brute_force(spark):
+    rng, texts = np.random.default_rng(5), []
+    for name, body in license_scan.TEMPLATES.items():
+        for share in (0.0, 0.03, 0.08):
+            words = [w if rng.random() >= share else "changed" for w in body.split()]
+            texts.append(" ".join([prose(len(texts), 40), *words[: len(words) // 3], "\n", *words[len(words) // 3 :], prose(len(texts) + 1, 20), *words, "and", *words, "of the " * 60]))
+    rows = {r["doc_id"]: r for r in license_scan.scan_licenses(docs(spark, texts)).collect()}
+    expected = [brute_notices(t) for t in texts]
+    assert [rows[k]["n_notices"] for k in range(len(texts))] == [len(x) for x in expected] and sum(map(len, expected)) > 100
+    assert all(rows[k]["dice"] >= max(x.values(), default=0) for k, x in enumerate(expected))
+    assert all({n for n, _ in x} <= set(rows[k]["licenses"].split(",")) for k, x in enumerate(expected))
+
+
+@pytest.mark.parametrize("copies", [1, 50, 2000])
+def test_many_notices_in_one_text(spark, copies):
+    mit = license_scan.TEMPLATES["mit"]
+    text = "\n".join(f"Part {k} by author{k}\n{mit}" for k in range(copies)) + "\n" + prose(3)
+    row = license_scan.scan_licenses(docs(spark, [text])).collect()[0]
+    assert (row["license"], row["dice"], row["licenses"], row["n_notices"]) == ("mit", 1.0, "mit", copies)
+
+
 def test_joins_without_broadcasts(spark, monkeypatch):
     monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
     texts = [*AWKWARD, *(" ".join(letters(k // 4, 30) + letters([k, 1], k % 4)) for k in range(40))]

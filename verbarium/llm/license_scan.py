@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Mapping
@@ -58,32 +59,67 @@ def bigrams(text: F.Column) -> F.Column:
     return F.array_distinct(F.get(F.transform(F.array(words), paired), 0))  # a lambda's variable, so that the words are made once
 
 
-def window_matches(lowered: DataFrame, grams: DataFrame, spans: DataFrame, least: float) -> DataFrame:
-    """Runs of words, across sentences and lines, that match a template: the best of each text and licence.
+def in_words(text: str, made) -> F.Column:
+    """``made`` of the words of a lowered text, as a lambda's variable, so that the words are made once."""
+    words = F.filter(F.split(normal(F.col(text)), " "), lambda w: w != "")
+    return F.get(F.transform(F.array(words), made), 0)
 
-    A run starts and ends with a bigram of the template and is at most one of STRETCHES times as long.
-    Its size is its distinct bigrams of the template and its places with any other.
+
+def window_matches(lowered: DataFrame, grams: DataFrame, least: float, longest: int) -> DataFrame:
+    """Runs of words, across sentences and lines, that match a template: doc_id, _t, license, _s (place), dice, peak.
+
+    A run starts with a bigram of the template that another word precedes than in the template, and
+    ends with the last of its bigrams within one of STRETCHES times its length. Of the runs that
+    start within the template's length of each other the best is the peak, the first of equal ones.
+
+    Places are cut into overlapping blocks of the template's longest run, so what meets in a row is
+    bounded by the template, however often a text repeats it; blocks with too few of its bigrams go first.
     """
-    words = F.filter(F.split(normal(F.col("_low")), " "), lambda w: w != "")
-    paired = lambda w: F.transform(F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda x, k: F.xxhash64(F.get(w, k), x))
-    placed = lowered.select("doc_id", "_t", F.posexplode(F.get(F.transform(F.array(words), paired), 0)).alias("_p", "_gram"))
-    hits = placed.join(small(grams), "_gram").groupBy("doc_id", "_t", "license", "_m").agg(F.array_sort(F.collect_set(F.struct("_p", "_gram"))).alias("_h"), F.count_distinct("_gram").alias("_all"))
-    hits = hits.where(F.col("_all") >= F.col("_m") * (least / (2 - least)) - 1e-9).join(F.broadcast(spans), "license")
-    starts = hits.select("*", F.explode("_h").alias("_s")).select("*", F.explode(F.array(*map(F.lit, STRETCHES))).alias("_by"))
-    inside = F.filter("_h", lambda h: (h["_p"] >= F.col("_s._p")) & (h["_p"] < F.col("_s._p") + F.col("_span") * F.col("_by")))
-    runs = starts.withColumn("_in", inside).withColumn("_common", F.size(F.array_distinct(F.transform("_in", lambda h: h["_gram"]))))
-    length = F.element_at("_in", -1)["_p"] - F.col("_s._p") + 1
-    runs = runs.withColumn("_n", F.col("_common") + length - F.size("_in")).withColumn("dice", (2.0 * F.col("_common")) / (F.col("_n") + F.col("_m")))
-    best = F.max(F.struct("dice", (-1 - F.col("_s._p")).alias("_at"))).alias("_best")
-    found = runs.where(F.col("dice") >= least).groupBy("doc_id", "_t", "license").agg(best)
-    return found.select("doc_id", "_t", F.col("_best._at").alias("_at"), "license", F.col("_best.dice").alias("dice"))
+    after = lambda w: F.slice(w, 2, F.greatest(F.size(w), F.lit(1)))
+    paired = lambda w: F.transform(after(w), lambda x, k: F.struct(F.xxhash64(F.get(w, k), x).alias("gram"), F.xxhash64(F.get(w, k - 1)).alias("prior")))
+    placed = lowered.select("doc_id", "_t", F.posexplode(in_words("_low", paired)).alias("_p", "_g")).select("doc_id", "_t", "_p", F.col("_g.gram").alias("_gram"), F.col("_g.prior").alias("_prior"))
+    hits = placed.join(small(grams), "_gram").withColumn("_reach", F.ceil(F.col("_span") * max(STRETCHES)))
+    own = F.floor(F.col("_p") / F.col("_reach"))
+    hit = F.struct("_p", "_gram", (~F.array_contains("_before", F.col("_prior"))).alias("first"))
+    dealt = hits.select("doc_id", "_t", "license", "_m", "_span", "_reach", hit.alias("_hit"), F.explode(F.array(own, own - 1)).alias("_b")).where("_b >= 0")
+    blocks = dealt.groupBy("doc_id", "_t", "license", "_m", "_span", "_reach", "_b").agg(F.collect_set("_hit").alias("_h"))
+    distinct = lambda of: F.size(F.array_distinct(F.transform(of, lambda h: h["_gram"])))
+    enough = F.col("_m") * (least / (2 - least)) - 1e-9
+    starts = blocks.where(distinct("_h") >= enough).withColumn("_s", F.explode(F.filter("_h", lambda h: h["first"] & (h["_p"] < (F.col("_b") + 1) * F.col("_reach")))))
+    starts = starts.withColumn("_s", F.col("_s._p")).withColumn("_by", F.explode(F.array(*map(F.lit, STRETCHES))))
+    inside = F.filter("_h", lambda h: (h["_p"] >= F.col("_s")) & (h["_p"] < F.col("_s") + F.col("_span") * F.col("_by")))
+    runs = starts.withColumn("_in", inside).withColumn("_common", distinct("_in")).where(F.col("_common") >= enough)
+    runs = runs.select("doc_id", "_t", "license", "_m", "_span", "_s", "_common", F.array_max(F.transform("_in", lambda h: h["_p"])).alias("_e"), F.floor(F.col("_s") / longest).alias("_b"))
+    runs = store(runs, "license-runs")
+    # Sizes are distinct bigrams, of the template or not: from the texts once more, but only those with runs.
+    cut = lambda g: F.transform(F.sequence(F.lit(0), F.floor(F.size(g) / longest).cast("int")), lambda b: F.slice(g, b * longest + 1, 2 * longest))
+    hashed = lambda w: F.get(F.transform(F.array(F.transform(after(w), lambda x, k: F.xxhash64(F.get(w, k), x))), cut), 0)
+    texts = runs.select(F.col("doc_id").alias("_rd"), F.col("_t").alias("_rt")).distinct()
+    mine = F.col("doc_id").eqNullSafe(F.col("_rd")) & (F.col("_t") == F.col("_rt"))
+    slices = lowered.join(small(texts), mine, "left_semi").select(F.col("doc_id").alias("_rd"), F.col("_t").alias("_rt"), F.posexplode(in_words("_low", hashed)).alias("_rb", "_grams"))
+    sized = runs.join(slices, mine & (F.col("_b") == F.col("_rb"))).withColumn("_n", F.size(F.array_distinct(F.slice("_grams", F.col("_s") - F.col("_b").cast("int") * longest + 1, F.col("_e") - F.col("_s") + 1))))
+    scored = sized.withColumn("dice", (2.0 * F.col("_common")) / (F.col("_n") + F.col("_m"))).where(F.col("dice") >= least)
+    scored = scored.groupBy("doc_id", "_t", "license", "_span", "_s").agg(F.max("dice").alias("dice")).withColumn("_x", F.col("_s") / F.col("_span"))
+    near = 1 + 1 / (4 * longest)
+    best = F.expr(f"max(struct(dice, -_s)) OVER (PARTITION BY doc_id, _t, license ORDER BY _x RANGE BETWEEN {near!r}D PRECEDING AND {near!r}D FOLLOWING)")
+    return scored.withColumn("_best", best).select("doc_id", "_t", "license", "_s", "dice", (F.col("_best") == F.struct("dice", (-F.col("_s")).alias("col2"))).alias("peak"))
+
+
+def template_words(body: str) -> list[str]:
+    return re.findall("[a-z0-9]+", body.translate({k: k + 32 for k in range(65, 91)}))
 
 
 def template_bigrams(body: str) -> set[tuple[str, str]]:
-    words = re.findall("[a-z0-9]+", body.translate({k: k + 32 for k in range(65, 91)}))
+    words = template_words(body)
     return set(zip(words, words[1:], strict=False))
 
 
+def words_before(body: str, gram: tuple[str, str]) -> list[str]:
+    """The words that precede a bigram in the template."""
+    words = template_words(body)
+    return sorted({words[k - 1] for k in range(1, len(words) - 1) if (words[k], words[k + 1]) == gram})
+
+
 def telling_words(grams: set[tuple[str, str]], least: float) -> set[str]:
     """Words of which any segment that matches the template has one.
 
@@ -123,8 +159,9 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, lea
     that, texts and segments go that have none of the words of which every match of a
     template has one (``telling_words``); this loses no match.
 
-    A licence that no segment of a text matches is looked for in runs of its words across
-    sentences and lines (``window_matches``); the best run counts as one more segment.
+    Licences are also looked for in runs of words across sentences and lines (``window_matches``),
+    any number in a text. The best run near each place is a notice; notices of a licence that
+    no segment of the text matches count as segments too.
 
     Defined cases: null, empty and one-word texts match nothing; equal segments of a text
     count each; of equal coefficients the smaller licence name is the best; rows of equal
@@ -132,13 +169,15 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, lea
 
     Returns one row per doc_id: doc_id, n_segments (segments with a match), license (the
     best match's, null without), dice (its coefficient, 0 without), licenses (all matched
-    names, sorted, comma-joined).
+    names, sorted, comma-joined), n_notices (runs of words that match, of each licence).
     """
     spark = docs.sparkSession
     by_name = {name: grams for name, body in sorted(templates.items()) if (grams := template_bigrams(body))}
-    rows = [(name, len(grams), *gram) for name, grams in by_name.items() for gram in sorted(grams)]
-    listed = spark.createDataFrame(rows, "license string, _m int, a string, b string")
-    grams = store(listed.select("license", "_m", F.xxhash64("a", "b").alias("_gram")), "license-templates")
+    rows = [(name, len(grams), len(template_words(templates[name])) - 1, *gram, words_before(templates[name], gram)) for name, grams in by_name.items() for gram in sorted(grams)]
+    listed = spark.createDataFrame(rows, "license string, _m int, _span int, a string, b string, before array<string>")
+    prior = F.transform("before", lambda w: F.xxhash64(w))
+    grams = store(listed.select("license", "_m", "_span", F.xxhash64("a", "b").alias("_gram"), prior.alias("_before")), "license-templates")
+    longest = max((math.ceil(row[2] * max(STRETCHES)) for row in rows), default=1)
     low, high = least / (2 - least), (2 - least) / least
     within = lambda n, m: (n >= m * low - 1e-9) & (n <= m * high + 1e-9)
     any_of = lambda tests: reduce(lambda a, b: a | b, tests, F.lit(False))
@@ -152,21 +191,23 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, lea
     # The bigrams are made below the explode, so that nothing above it makes them again.
     scanned = lowered.select("doc_id", "_t", F.posexplode(F.transform(segments("_low"), grams_of)).alias("_at", "_b"))
     looked_up = scanned.withColumn("_n", F.size("_b")).where(fits).select("doc_id", "_t", "_at", "_n", F.explode("_b").alias("_gram"))
-    hits = looked_up.join(small(grams), "_gram").where(within(F.col("_n"), F.col("_m")))
+    hits = looked_up.join(small(grams.select("license", "_m", "_gram")), "_gram").where(within(F.col("_n"), F.col("_m")))
     common = F.size(F.collect_set("_gram"))  # at most a template's bigrams
     matched = hits.groupBy("doc_id", "_t", "_at", "license", "_n", "_m").agg(common.alias("_common"))
     matched = matched.withColumn("dice", (2.0 * F.col("_common")) / (F.col("_n") + F.col("_m"))).where(F.col("dice") >= least)
     matched = store(matched.select("doc_id", "_t", "_at", "license", "dice"), "license-segments")
-    spans = spark.createDataFrame([(name, len(re.findall("[a-z0-9]+", templates[name].translate({k: k + 32 for k in range(65, 91)}))) - 1) for name in by_name], "license string, _span int")
-    seen = matched.select(F.col("doc_id").alias("_sd"), F.col("_t").alias("_st"), F.col("license").alias("_sl")).distinct()
-    more = window_matches(lowered, grams, spans, least)
-    more = more.join(seen, F.col("doc_id").eqNullSafe(F.col("_sd")) & F.col("_t").eqNullSafe(F.col("_st")) & (F.col("license") == F.col("_sl")), "left_anti")
-    matched = matched.union(more)
+    seen = matched.select(F.col("doc_id").alias("_sd"), F.col("_t").alias("_st"), F.col("license").alias("_sl"), F.lit(True).alias("_seen")).distinct()
+    runs = window_matches(lowered, grams, least, longest)
+    runs = runs.join(seen, F.col("doc_id").eqNullSafe(F.col("_sd")) & (F.col("_t") == F.col("_st")) & (F.col("license") == F.col("_sl")), "left")
+    # A run is a segment of its own where no segment of the text has its licence.
+    place = F.when(F.col("peak") & F.col("_seen").isNull(), -1 - F.col("_s"))
+    runs = runs.select("doc_id", "_t", place.alias("_at"), "license", "dice", F.col("peak").cast("int").alias("_peak"))
+    matched = matched.withColumn("_peak", F.lit(0)).unionByName(runs)
     best = F.min_by("license", F.struct(-F.col("dice"), "license"))
     per_doc = matched.groupBy(F.col("doc_id").alias("_doc")).agg(
-        F.count_distinct("_t", "_at").alias("n_segments"), best.alias("license"), F.max("dice").alias("dice"), F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses")
+        F.count_distinct("_t", "_at").alias("n_segments"), best.alias("license"), F.max("dice").alias("dice"), F.array_join(F.array_sort(F.collect_set("license")), ",").alias("licenses"), F.sum("_peak").alias("n_notices")
     )
     every = docs.select("doc_id").distinct()
     return every.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").select(
-        "doc_id", F.coalesce("n_segments", F.lit(0)).cast("long").alias("n_segments"), "license", F.coalesce("dice", F.lit(0.0)).alias("dice"), F.coalesce("licenses", F.lit("")).alias("licenses")
+        "doc_id", F.coalesce("n_segments", F.lit(0)).cast("long").alias("n_segments"), "license", F.coalesce("dice", F.lit(0.0)).alias("dice"), F.coalesce("licenses", F.lit("")).alias("licenses"), F.coalesce("n_notices", F.lit(0)).cast("long").alias("n_notices")
     )

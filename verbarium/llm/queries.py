@@ -96,10 +96,37 @@ WITH listed AS (
   SELECT doc_id, text, seg, license, 2.0::DOUBLE * len(list_intersect(g.b, l.b)) / (len(g.b) + len(l.b)) AS dice
   FROM grams g JOIN listed l ON list_has_any(g.b, l.b)
 ), matched AS (SELECT * FROM scored WHERE dice >= 0.8
+), templates AS (
+  SELECT license, len(w) - 1 AS span, len({_GRAMS}) AS m, {_GRAMS} AS b, list_transform(range(2, len(w)), lambda k: w[k - 1] || ' ' || w[k] || ' ' || w[k + 1]) AS tri FROM (
+    SELECT license, list_filter(regexp_split_to_array({_LOWER.format("body")}, '[^a-z0-9]+'), lambda x: x <> '') AS w FROM (VALUES {_TEMPLATES}) t(license, body))
+), texts AS (
+  SELECT doc_id, text, row_number() OVER () AS id, list_filter(regexp_split_to_array({_LOWER.format("text")}, '[^a-z0-9]+'), lambda x: x <> '') AS w
+  FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)
+), all_grams AS MATERIALIZED (SELECT id, w, list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]) AS g FROM texts
+), candidates AS MATERIALIZED (
+  SELECT id, license, span, m, b, tri, w, g FROM all_grams JOIN templates ON list_has_any(g, b) WHERE len(list_intersect(g, b)) >= m * (0.8 / 1.2) - 1e-9
+), places AS (SELECT *, unnest(range(1, len(g) + 1)) AS p FROM candidates
+), hits AS MATERIALIZED (
+  SELECT id, license, span, m, p, g[p] AS gram, p = 1 OR NOT list_contains(tri, w[p - 1] || ' ' || g[p]) AS is_first FROM places WHERE list_contains(b, g[p])
+), tried AS (
+  SELECT s.id, s.license, s.span, s.m, s.p AS s, f AS by_length, count(DISTINCT h.gram) AS common, max(h.p) AS e
+  FROM (SELECT *, unnest([1.0::DOUBLE, 1.25::DOUBLE]) AS f FROM hits WHERE is_first) s JOIN hits h ON h.id = s.id AND h.license = s.license AND h.p >= s.p AND h.p < s.p + s.span * s.f GROUP BY ALL
+), runs AS MATERIALIZED (
+  SELECT id, license, span, s, max(dice) AS dice FROM (
+    SELECT t.id, license, span, s, 2.0::DOUBLE * common / (len(list_distinct(list_slice(g, s, e))) + m) AS dice FROM tried t JOIN all_grams a ON a.id = t.id)
+  WHERE dice >= 0.8 GROUP BY ALL
+), judged AS (
+  SELECT doc_id, text, r.license, r.s, r.dice, NOT EXISTS (
+    FROM runs o WHERE o.id = r.id AND o.license = r.license AND abs(o.s - r.s) <= r.span AND (o.dice > r.dice OR o.dice = r.dice AND o.s < r.s)) AS peak
+  FROM runs r JOIN texts x ON x.id = r.id
+), every AS (
+  SELECT doc_id, text, seg, license, dice, 0 AS notice FROM matched
+  UNION ALL SELECT doc_id, text, CASE WHEN peak AND NOT EXISTS (FROM matched m WHERE m.doc_id IS NOT DISTINCT FROM j.doc_id AND m.text = j.text AND m.license = j.license) THEN -s END, license, dice, peak::INT FROM judged j
 ), per_doc AS (
-  SELECT doc_id, count(DISTINCT (text, seg)) AS n_segments, arg_min(license, (-dice, license)) AS license, max(dice) AS dice, array_to_string(list_sort(list(DISTINCT license)), ',') AS licenses FROM matched GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT CASE WHEN seg IS NOT NULL THEN (text, seg) END) AS n_segments, arg_min(license, (-dice, license)) AS license, max(dice) AS dice,
+    array_to_string(list_sort(list(DISTINCT license)), ',') AS licenses, sum(notice) AS n_notices FROM every GROUP BY doc_id
 )
-SELECT d.doc_id, coalesce(n_segments, 0) AS n_segments, license, coalesce(dice, 0.0::DOUBLE) AS dice, coalesce(licenses, '') AS licenses
+SELECT d.doc_id, coalesce(n_segments, 0) AS n_segments, license, coalesce(dice, 0.0::DOUBLE) AS dice, coalesce(licenses, '') AS licenses, coalesce(n_notices, 0)::BIGINT AS n_notices
 FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN per_doc p ON d.doc_id IS NOT DISTINCT FROM p.doc_id
 """
 
