@@ -204,6 +204,14 @@ def test_vectors_with_null_and_repeated_ids(spark):
     assert got == [(0, 0, 0, True), (4, 1, 4, True), (4, 1, 4, True), (4, 1, 4, True), (6, 1, 4, False), (7, 0, 7, True), (8, 0, 8, True)]
 
 
+def test_vectors_of_one_id_under_two_labels(spark):
+    x, y = [1.0, 0.0, 0.1], [0.0, 1.0, 0.0]
+    rows = [(1, x, "a"), (2, x, "a"), (1, y, "b"), (3, [0.0, 1.0, 0.1], "b"), (5, x, "c"), (5, y, "c"), (7, [0.1, 1.0, 0.0], "c")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = sorted(tuple(r) for r in embedding_dedup.near_vectors(table).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (5, 0, 5, True), (5, 1, 5, True), (7, 1, 5, False)]
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_agrees_with_sql(spark, name):
     same(entry_point.queries()[name](spark, SF), queries.ORACLE_SQL[name], SF)

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,23 +35,28 @@ class Index:
     codewords: list[np.ndarray]
     cuts: list[tuple[int, int]]
 
-    def probes(self, unit: np.ndarray, n: int | None, reach: float) -> list[np.ndarray]:
-        """The lists of each vector that can hold a vector within ``reach``: nearest first, ``n`` at most.
+    def probes(self, unit: np.ndarray, n: int | None, reach: float) -> tuple[np.ndarray, np.ndarray]:
+        """The lists of each vector that can hold a vector within ``reach``, nearest first, ``n`` at most: one after another, and their number.
 
         A list holds what is nearer to its centroid than to others, so one that lies further
         than ``reach`` behind the plane half-way from the nearest centroid holds none.
         """
-        norms, out = (self.centroids**2).sum(1), []
+        norms, lists = (self.centroids**2).sum(1), len(self.centroids)
+        most = lists if n is None else min(n, lists)
+        flat, counts = [], []
         for at in range(0, len(unit), 1024):
             far = norms - 2 * unit[at : at + 1024] @ self.centroids.T
             home = far.argmin(1)
             between = np.sqrt(np.maximum(norms[home][:, None] - 2 * self.centroids[home] @ self.centroids.T + norms, 0))
             can = far - np.take_along_axis(far, home[:, None], 1) <= 2 * (reach + 1e-6) * between + 1e-9
-            for row, able, first in zip(far, can, home, strict=True):
-                held = np.flatnonzero(able)
-                held = held[np.lexsort((held, row[held], held != first))]
-                out.append(held[:n].astype(np.int32))
-        return out
+            far[~can] = np.inf
+            far[np.arange(len(home)), home] = -np.inf
+            # Only the nearest are sorted; of equally far ones the first lists come first.
+            near = np.sort(np.argpartition(far, most - 1, axis=1)[:, :most], axis=1) if most < lists else np.broadcast_to(np.arange(lists), far.shape)
+            near = np.take_along_axis(near, np.argsort(np.take_along_axis(far, near, 1), axis=1, kind="stable"), 1)
+            counts.append(np.minimum(can.sum(1), most))
+            flat.append(near[np.arange(most) < counts[-1][:, None]].astype(np.int32))
+        return np.concatenate([*flat, np.zeros(0, dtype=np.int32)]), np.concatenate([*counts, np.zeros(0, dtype=np.int64)])
 
     def encode(self, unit: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Codes of the residuals and the distance of each vector from its decoded form."""
@@ -93,7 +99,7 @@ def fit_index(rows: np.ndarray, vectors: int) -> Index:
     width = rows.shape[1]
     edges = np.linspace(0, width, min(SUBSPACES, width) + 1).astype(int)
     index = Index(centroids, [], [(int(a), int(b)) for a, b in zip(edges[:-1], edges[1:], strict=True)])
-    rest = rows - centroids[np.concatenate(index.probes(rows, 1, 0.0))]
+    rest = rows - centroids[index.probes(rows, 1, 0.0)[0]]
     index.codewords = [k_means(rest[:, a:b], CODEWORDS) for a, b in index.cuts]
     return index
 
@@ -110,9 +116,19 @@ def _raw(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _lists(rows: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, rows)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(rows)))
+def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(flat))
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _fixed(column: pa.Array, width: int) -> np.ndarray:
+    """The bytes of values of one length."""
+    offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]].reshape(len(column), width)
 
 
 PLACED = "rep long, label string, copies long, unit array<double>, home int, probes array<int>, code binary, off double"
@@ -137,7 +153,7 @@ class _Block:
         column = lambda name: rows[name].combine_chunks() if isinstance(rows[name], pa.ChunkedArray) else rows[name]
         self.ids, self.copies, self.off = (column(c).to_numpy() for c in ("rep", "copies", "off"))
         self.units = _raw(column("unit"))
-        self.codes = np.frombuffer(b"".join(column("code").to_pylist()), dtype=np.uint8).reshape(len(self.ids), -1)
+        self.codes = _fixed(column("code"), min(SUBSPACES, self.units.shape[1]))
         self.asks = np.zeros((len(self.ids), lists), dtype=bool)
         probes = column("probes")
         self.asks[np.repeat(np.arange(len(self.ids)), np.diff(probes.offsets.to_numpy())), probes.flatten().to_numpy()] = True
@@ -169,20 +185,22 @@ def _searcher(shared):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, known, block = None, [], None
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in ("label", "at", "block", "part", "role")), strict=True))
-            lo = 0
-            while lo < len(keys):
-                hi = lo
-                while hi < len(keys) and keys[hi] == keys[lo] and hi - lo < 512:
-                    hi += 1
-                if keys[lo][:4] != run:
-                    run, known, block = keys[lo][:4], [], None
-                if keys[lo][4] == 0:
-                    known.append(batch.slice(lo, hi - lo))
+            keys = [batch.column(c) for c in ("label", "at", "block", "part", "role")]
+            new = np.zeros(batch.num_rows, dtype=bool)
+            new[:1] = True
+            for key in keys:
+                new[1:] |= pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
+            bounds = [*np.flatnonzero(new).tolist(), batch.num_rows]
+            for first, end in zip(bounds, bounds[1:], strict=False):
+                mine = tuple(key[first].as_py() for key in keys[:4])
+                if mine != run:
+                    run, known, block = mine, [], None
+                if keys[4][first].as_py() == 0:
+                    known.append(batch.slice(first, end - first))
                 elif known:
                     block = block or _Block(known, len(shared.value.centroids))
-                    yield from links(block, run[1], batch.slice(lo, hi - lo))
-                lo = hi
+                    for lo in range(first, end, 512):
+                        yield from links(block, run[1], batch.slice(lo, min(512, end - lo)))
 
     return search
 
@@ -197,10 +215,10 @@ def _linked(distinct: DataFrame, probes: int | None) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 unit = to_unit(_raw(batch.column(3)))
-                asked = shared.value.probes(unit, probes, np.sqrt(2 - 2 * COSINE))
-                home = np.array([x[0] for x in asked], dtype=np.int32)
+                asked, number = shared.value.probes(unit, probes, np.sqrt(2 - 2 * COSINE))
+                home = asked[np.cumsum(number) - number]
                 codes, off = shared.value.encode(unit, home)
-                columns = [*batch.columns[:3], _lists(list(unit)), pa.array(home), _lists(asked), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(off)]
+                columns = [*batch.columns[:3], _lists(unit.ravel(), np.full(len(unit), unit.shape[1])), pa.array(home), _lists(asked, number), _binary(codes), pa.array(off)]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in PLACED.split(", ")])
 
     placed = store(in_batches(distinct.select("rep", "label", "copies", "embedding"), place, PLACED), "vectors-placed")
@@ -221,8 +239,8 @@ def _linked(distinct: DataFrame, probes: int | None) -> DataFrame:
 
 
 def _sample_units(distinct: DataFrame) -> np.ndarray:
-    rows = sample(distinct.select("rep", "embedding"), "rep", SAMPLE_ROWS).collect()
-    return to_unit(np.array([r["embedding"] for r in sorted(rows, key=lambda r: (r["rep"], r["embedding"]))], dtype=float))
+    rows = sample(distinct.select("name", "embedding"), "name", SAMPLE_ROWS).collect()
+    return to_unit(np.array([r["embedding"] for r in sorted(rows, key=lambda r: (r["name"], r["embedding"]))], dtype=float))
 
 
 def near_vectors(vectors: DataFrame, probes: int | None = PROBES) -> DataFrame:
@@ -241,7 +259,8 @@ def near_vectors(vectors: DataFrame, probes: int | None = PROBES) -> DataFrame:
     Defined cases: vectors that are null, empty, zero or hold null or non-finite components,
     and rows with a null label or id, link with nothing and are kept; vectors of different
     lengths are not compared; equal vectors count each other; repeated rows count as
-    vectors; vectors of one vec_id but different components are not compared with each other.
+    vectors; rows of one vec_id but different labels or components are vectors of their own,
+    each with its own links and class.
 
     Returns vec_id, n_links, component_id, kept.
     """
@@ -251,8 +270,9 @@ def near_vectors(vectors: DataFrame, probes: int | None = PROBES) -> DataFrame:
     usable = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull() & sound, F.lit(False))
     table = table.select("vec_id", "label", "embedding", usable.alias("usable"), F.size("embedding").alias("width"), F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(2), "embedding").alias("h2"))
     key = ["label", "width", "h1", "h2"]
-    distinct = table.where("usable").groupBy(*key).agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
-    distinct = store(distinct, "vectors-distinct")
+    distinct = table.where("usable").groupBy(*key).agg(F.min("vec_id").alias("name"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
+    # Groups of equal vectors are the nodes, by numbers that hold once they are stored; a vec_id may be in several.
+    distinct = store(distinct.withColumn("rep", F.monotonically_increasing_id()), "vectors-distinct")
     found = None
     for width in sorted(r[0] for r in distinct.select("width").distinct().collect()):  # the lengths of vectors: one, as a rule
         links = _linked(distinct.where(F.col("width") == width), probes)
@@ -263,9 +283,12 @@ def near_vectors(vectors: DataFrame, probes: int | None = PROBES) -> DataFrame:
     classes = store(components(found.select(F.col("rep").alias("a"), F.col("root").alias("b"))), "vectors-classes")
     labels = classes.select(F.col("node").alias("_node"), "component")
     counts = store(found.groupBy(F.col("rep").alias("_rep")).agg(F.sum("links").alias("links")), "vectors-counts")
-    groups = distinct.select(*key, "rep", "copies").join(small(counts, IDS), F.col("rep") == F.col("_rep"), "left").join(small(labels, IDS), F.col("rep") == F.col("_node"), "left")
-    groups = store(groups.select(*key, F.lit(True).alias("usable"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id")), "vectors-groups")
-    for x in (distinct, found, classes, counts):
+    groups = distinct.select(*key, "rep", "name", "copies").join(small(counts, IDS), F.col("rep") == F.col("_rep"), "left").join(small(labels, IDS), F.col("rep") == F.col("_node"), "left")
+    groups = store(groups.select(*key, F.lit(True).alias("usable"), "name", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component"), "vectors-classed")
+    least = store(groups.where(F.col("component").isNotNull()).groupBy(F.col("component").alias("_class")).agg(F.min("name").alias("_least")), "vectors-names")
+    named = groups.join(small(least, IDS), F.col("component") == F.col("_class"), "left").select(*key, "usable", "n_links", F.coalesce("_least", "name").alias("component_id"))
+    classed, groups = groups, store(named, "vectors-groups")
+    for x in (distinct, found, classes, counts, classed, least):
         drop(x)
     result = table.drop("embedding").join(small(groups), [*key, "usable"], "left")
     component = F.coalesce("component_id", "vec_id")
