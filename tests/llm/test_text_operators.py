@@ -207,6 +207,24 @@ def test_long_items_are_cut_into_parts(spark):
     assert rows[len(texts) - 2] == (0, 0) and rows[len(texts) - 1] == (400_000, 2)
 
 
+def test_repeated_items_and_shared_windows(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", 300_000)
+    shared = prose(4, 12)
+    equal = spark.range(100_000).select(F.lit(7).cast("long").alias("item_id"), F.lit(prose(5, 40)).alias("text"))
+    many = spark.range(10_000).select((100 + F.col("id")).alias("item_id"), F.concat(F.lit(shared + " q"), F.col("id")).alias("text"))
+    texts = [prose(5, 40), " ".join([shared] * 300), f"{shared} q5 {shared} q77", prose(6)]
+    rows = {r["doc_id"]: r for r in decontaminate.report(docs(spark, texts), equal.union(many)).collect()}
+    assert [(rows[k]["n_hit"], rows[k]["n_items"]) for k in range(4)] == [(40, 1), (3600, 10_000), (26, 10_000), (0, 0)]
+
+
+def test_unlike_windows_of_one_hash():
+    listed = decontaminate.Windows._listed
+    h, at, item, numbers = np.full(4, 5, dtype=np.uint64), np.array([0, 2, 4, 6], dtype=np.int32), np.array([0, 1, 2, 2], dtype=np.int32), np.array([1, 2, 3, 4, 1, 2, 1, 2], dtype=np.int32)
+    _, place, owned, items, _, _ = listed(h, at, item, numbers, 2)
+    groups = {tuple(numbers[p : p + 2].tolist()): items[owned[k] : owned[k + 1]].tolist() for k, p in enumerate(place)}
+    assert groups == {(1, 2): [0, 2], (3, 4): [1]}
+
+
 def test_windows_are_small():
     import pickle
 

@@ -27,8 +27,9 @@ TABLE_BITS = 24
 class Windows:
     """The windows of benchmark items: ``size`` consecutive words, or all of a shorter item.
 
-    For each length the distinct pairs of a window's hash and its item are held sorted, with
-    the place of the window's first word in the lower-cased texts.
+    For each length the distinct windows are held sorted by hash, each with the place of its
+    first word in the lower-cased texts and the range of its items in a list: a window that
+    many items share is confirmed once.
     """
 
     def __init__(self, items: list[tuple[str, bytes]], size: int):
@@ -50,6 +51,8 @@ class Windows:
         words, owner = joined(hashes, np.uint64), np.array([number[i] for i, _ in items], dtype=np.int32)
         count = np.bincount(row, minlength=len(items))
         first = np.concatenate([[0], np.cumsum(count)])
+        named = pa.array([self.raw[s:e] for s, e in zip(self.starts.tolist(), self.ends.tolist(), strict=True)], pa.binary()).dictionary_encode()
+        numbers = named.indices.to_numpy().astype(np.int32)  # equal words have equal numbers
         self.known = {}
         for n in sorted({min(size, int(c)) for c in np.unique(count) if c}):
             h = windows(words, n)
@@ -57,24 +60,31 @@ class Windows:
                 at = first[np.flatnonzero(count == n)]
             else:
                 at = np.flatnonzero(row[: len(h)] == row[n - 1 :])
-            self.known[n] = self._listed(h[at], at.astype(np.int32), owner[row[at]])
+            self.known[n] = self._listed(h[at], at.astype(np.int32), owner[row[at]], numbers, n)
 
     @staticmethod
-    def _listed(h: np.ndarray, at: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, ...]:
+    def _listed(h: np.ndarray, at: np.ndarray, item: np.ndarray, numbers: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
         order = np.lexsort((item, h))
         h, at, item = h[order], at[order], item[order]
+        other = np.flatnonzero((h[1:] == h[:-1]) & np.any([numbers[at[1:] + i] != numbers[at[:-1] + i] for i in range(n)], axis=0))
+        if len(other):  # unlike windows of one hash: by their words too
+            order = np.lexsort((item, *(numbers[at + i] for i in range(n)), h))
+            h, at, item = h[order], at[order], item[order]
         new = np.ones(len(h), dtype=bool)
-        new[1:] = (h[1:] != h[:-1]) | (item[1:] != item[:-1])
-        h, at, item = h[new], at[new], item[new]
+        new[1:] = (h[1:] != h[:-1]) | np.any([numbers[at[1:] + i] != numbers[at[:-1] + i] for i in range(n)], axis=0)
+        kept = new.copy()
+        kept[1:] |= item[1:] != item[:-1]
+        owned = np.concatenate([np.cumsum(kept)[new] - 1, [kept.sum()]]).astype(np.int32)
+        item, h, at = item[kept], h[new], at[new]
         bits = min(TABLE_BITS, max(12, len(h).bit_length() + 4))
         table = np.zeros(1 << bits, dtype=bool)
         table[h >> np.uint64(64 - bits)] = True
-        return h, at, item, table, np.uint64(64 - bits)
+        return h, at, owned, item, table, np.uint64(64 - bits)
 
-    def find(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, dict[int, set[int]]]:
+    def find(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, words: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, dict[int, np.ndarray]]:
         """Which words are inside an occurrence, and the items by row."""
-        hit, items = np.zeros(len(words), dtype=bool), defaultdict(set)
-        for n, (known, place, item, table, shift) in self.known.items():
+        hit, met = np.zeros(len(words), dtype=bool), defaultdict(set)
+        for n, (known, place, _, _, table, shift) in self.known.items():
             h = windows(words, n)
             at = np.flatnonzero(table[h >> shift])
             at = at[row[at] == row[at + n - 1]]
@@ -82,12 +92,14 @@ class Windows:
             for j in np.flatnonzero(lo < hi).tolist():
                 k = int(at[j])
                 text = [buf[starts[w] : ends[w]].tobytes().lower() for w in range(k, k + n)]
-                for e in range(int(lo[j]), int(hi[j])):  # the words themselves confirm
+                for e in range(int(lo[j]), int(hi[j])):  # the words themselves confirm; several windows of one hash are rare
                     w = int(place[e])
                     if all(self.raw[self.starts[w + i] : self.ends[w + i]] == text[i] for i in range(n)):
                         hit[k : k + n] = True
-                        items[int(row[k])].add(int(item[e]))
-        return hit, items
+                        met[int(row[k])].add((n, e))
+                        break
+        owners = lambda n, e: self.known[n][3][self.known[n][2][e] : self.known[n][2][e + 1]]
+        return hit, {k: np.unique(np.concatenate([owners(n, e) for n, e in sorted(found)])) for k, found in met.items()}
 
 
 def _parts(size: int):
@@ -177,15 +189,19 @@ def _scanner(shared, last: str | None):
 def _scan(docs: DataFrame, benchmark: DataFrame, columns: list[str], size: int, last: str) -> DataFrame:
     spark = docs.sparkSession
     texts = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.encode("text", "UTF-8").alias("text")).where("item_id is not null and text is not null")
-    texts = store(in_batches(texts, _parts(size), "item_id string, text binary"), "decontaminate-items")
-    total = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    texts = store(in_batches(texts.distinct(), _parts(size), "item_id string, text binary"), "decontaminate-items")
+    total, count = texts.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count("*")).first()
     slices = 1 + int(total) // SLICE_BYTES
+    mine = lambda: F.pmod(F.xxhash64("item_id", "text"), F.lit(slices))
+    # Rows are distinct, so more slices part any that got too many; only a window of huge words stays over the bound.
+    while slices < count and texts.groupBy(mine().alias("slice")).agg(F.sum(F.length("text")).alias("n")).agg(F.max("n")).first()[0] > 2 * SLICE_BYTES + PART_BYTES:
+        slices *= 2
     state = docs.select(F.struct(*columns).alias("_row"), F.array().cast("array<int>").alias("_runs"), F.array().cast("array<string>").alias("_items"))
     schema = STATE.format(row=state.schema["_row"].dataType.simpleString())
     before = None
     for k in range(slices):
-        mine = texts if slices == 1 else texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == k)
-        items = [(r["item_id"], bytes(r["text"])) for r in mine.collect()]  # about SLICE_BYTES
+        sliced = texts if slices == 1 else texts.where(mine() == k)
+        items = [(r["item_id"], bytes(r["text"])) for r in sliced.distinct().collect()]  # at most 2 * SLICE_BYTES + PART_BYTES
         final = k == slices - 1
         scanner = _scanner(spark.sparkContext.broadcast(Windows(items, size)), last if final else None)
         state = in_batches(state, scanner, REPORT if final and last == "report" else schema)
