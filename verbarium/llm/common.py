@@ -111,7 +111,7 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     the planner knows, from the files.
     """
     stored = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return F.broadcast(df) if stored <= BROADCAST_BYTES and df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if stored <= BROADCAST_BYTES and df.count() <= rows else df
 
 
 def sample(df: DataFrame, key: str, rows: int, salt: int = 0) -> DataFrame:

@@ -40,7 +40,7 @@ def components(links: DataFrame, rounds: int = 50) -> DataFrame:
     for _ in range(rounds):
         if _settled(edges):
             break
-        before, few = edges, edges.limit(BROADCAST_ROWS // 2 + 1).count() <= BROADCAST_ROWS // 2  # an edge has two nodes
+        before, few = edges, edges.count() <= BROADCAST_ROWS // 2  # an edge has two nodes
         edges = store(_stars(_stars(edges, True, few), False, few), "links")
         drop(before)
     else:
