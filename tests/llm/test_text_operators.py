@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 from collections import defaultdict
 from types import SimpleNamespace
@@ -354,6 +355,31 @@ def test_edits_agree_with_the_table():
         assert [n <= k for n, k in zip(line_dedup.edits([line_dedup.trimmed(x, y) for x, y in zip(a, b, strict=True)], allowed), allowed, strict=True)] == expected
 
 
+@pytest.mark.parametrize("words", [5, 8, 12, 20, 40, 80, 160])
+def test_similar_lines_with_scattered_edits_are_candidates(words):
+    """Of lines that differ in 5 % of their characters, anywhere, at least nine of ten pairs share a key and are near by SimHash."""
+    rng, letters = random.Random(words), "abcdefghijklmnopqrstuvwxyz"
+    made = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    edited = lambda line: "".join(rng.choice(["", rng.choice(letters), c + rng.choice(letters)]) if rng.random() < 0.05 else c for c in line)
+    lines = [" ".join(rng.choices(made, k=words)) for _ in range(600)]
+    pairs = [(a, " ".join(edited(a).split())) for a in lines]
+    rules = line_dedup.Rules()
+    linked = line_dedup.similar(*map(list, zip(*pairs, strict=True)), rules.similarity)
+    sides = [pa.array([p[side].encode() for p, ok in zip(pairs, linked, strict=True) if ok], pa.binary()) for side in (0, 1)]
+    keys = [line_dedup.band_keys(side).to_pylist() for side in sides]
+    shared = np.array([any(k is not None and k == other for k, other in zip(a, b, strict=True)) for a, b in zip(*keys, strict=True)])
+    bits = [line_dedup.fingerprints(side) for side in sides]
+    assert len(shared) > 300 and (shared & (np.bitwise_count(bits[0] ^ bits[1]) <= rules.distance)).mean() >= 0.9
+
+
+def test_runs_of_any_size_depend_on_all_their_bytes_and_no_others():
+    for size in (4, 8, 12, 16):
+        line = bytes(range(65, 65 + size))
+        hashed = lambda x, size=size: line_dedup._grams(pa.array([x], pa.binary()), size)[0].tolist()
+        assert hashed(b"--" + line + b"--")[2:3] == hashed(line)
+        assert len({tuple(hashed(line[:k] + b"-" + line[k + 1 :])) for k in range(size)} | {tuple(hashed(line))}) == size + 1
+
+
 def test_lines_agree_with_brute_force(spark):
     rng = np.random.default_rng(3)
     base = [prose(k, 40) for k in range(4)]
