@@ -6,7 +6,7 @@ from ..functions.languages import LANGUAGES
 from ..operators.selection import PER_WORD, ROOM, SPARE
 from ..sources.schemas import EXERCISE_TYPES
 from .inputs import EVENT_TYPES
-from .queries import DRAWS, EACH, SEED
+from .queries import DRAWS, EACH, LATENESS, SEED, SESSION_GAP
 
 TOKENS = r"""
 d AS (SELECT doc_id, lang, source, regexp_extract_all(text, '\p{L}+') AS w FROM documents
@@ -42,6 +42,17 @@ a AS (SELECT user_id::VARCHAR AS user_id, {word_id("'w' || (event_id % 97)", "'e
 COUNTERS = 'count(*) AS seen_count, count(*) FILTER (correct) AS correct_count, count(*) FILTER (NOT correct) AS error_count, arg_max("when", _ord) AS last_seen_at'
 TOTALS = f"WITH {ATTEMPTS} SELECT user_id, word_id, {COUNTERS} FROM a GROUP BY ALL"
 
+STREAMED_SESSIONS = f"""WITH {ATTEMPTS}
+, p AS (SELECT *, least(CASE WHEN day("when") <= 10 THEN 1 WHEN day("when") <= 20 THEN 2 ELSE 3 END + (_ord % 23 = 0)::INT, 3) AS part FROM a)
+, sent AS (SELECT * FROM p UNION ALL SELECT * REPLACE (least(part + (_ord % 30 = 0)::INT, 3) AS part) FROM p WHERE _ord % 10 = 0)
+, marks AS (SELECT k.part, (SELECT max("when") FROM sent WHERE sent.part < k.part) - INTERVAL '{LATENESS}' AS mark FROM (VALUES (1), (2), (3), (4)) k(part))
+, timed AS (SELECT sent.*, mark IS NOT NULL AND "when" <= mark AS late FROM sent JOIN marks USING (part))
+, once AS (SELECT DISTINCT user_id, _ord, "when", correct FROM timed WHERE NOT late)
+, begun AS (SELECT *, coalesce("when" - lag("when") OVER w > INTERVAL '{SESSION_GAP}', true)::INT AS new FROM once WINDOW w AS (PARTITION BY user_id ORDER BY "when", _ord))
+, numbered AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY "when", _ord) AS n FROM begun)
+, sessions AS (SELECT user_id, min("when") AS session_start, max("when") + INTERVAL '{SESSION_GAP}' AS session_end, count(*) AS attempts, count(*) FILTER (correct) AS correct_attempts FROM numbered GROUP BY user_id, n)
+SELECT *, (SELECT count(*) FROM timed WHERE late) AS late_rows FROM sessions WHERE session_end <= (SELECT mark FROM marks WHERE part = 4)"""
+
 WEIGHTED = f"""
 {ATTEMPTS}, r AS (SELECT word_id, {COUNTERS}, max(_ord) % 10 = 0 AS useless FROM a GROUP BY ALL
 ), p AS (
@@ -227,6 +238,9 @@ ORACLE_SQL = {
       coalesce(array_to_string(list_sort(list(DISTINCT word_id) FILTER (NOT correct)), '|'), '') AS words_practiced, date_diff('microsecond', min("when"), max("when")) / 1e6::DOUBLE AS duration_seconds FROM a GROUP BY 1""",
     "user_upsert": USERS,
     "users_in_steps": USERS,
+    "streamed_sessions": STREAMED_SESSIONS,
+    "practised_in_steps": f"""WITH {ATTEMPTS} SELECT user_id, date_trunc('week', "when")::DATE AS week, count(DISTINCT word_id) AS words
+    FROM a GROUP BY GROUPING SETS ((user_id, date_trunc('week', "when")), (user_id))""",
     "generated_translations": "SELECT conv_id, turn, '[en] ' || text AS translated_text, true AS valid FROM conversations",
     "generated_conversations": "SELECT n_name AS topic, 6 AS n_turns, 'user|system|user|system|user|system' AS roles, true AS valid FROM nation",
     "generated_tutoring": "SELECT conv_id, turn, 'travel: ' || text AS content, 0 AS n_errors, true AS valid FROM conversations WHERE role = 'user'",

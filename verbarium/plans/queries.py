@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.languages import with_language
 from ..functions.text import accented_chars, has_accent, normalize, normalize_exact, word_id
@@ -14,12 +15,13 @@ from ..inference.operators import apply, offline, tutor_open, tutor_reply
 from ..operators import guessing, matching, sessions, typing
 from ..operators.progress import attempts_of_results, counted, hash_uniform, progress, progress_by_exercise, progress_totals, select_words, stored_progress, totals_of, weighted_pool
 from ..operators.merge_state import MergedVocabulary
+from ..operators.practised import WordNumbers, daily_bitmaps, stored_practice, words_practised
 from ..operators.selection import select_for_learners
 from ..operators.words import derive, merge_words, union_sources, word_filter
 from ..sources.words import dictionary_lines_to_words, read_csv_words, read_dictionary_words, static_words
 from ..storage import scratch_path
 from ..streaming.live_rounds import live_guesses, live_keystrokes, typed_sessions
-from ..streaming.progress_stream import latest, stream_progress
+from ..streaming.progress_stream import late_attempts, latest, live_sessions, stream_progress
 from . import inputs
 
 NOW = datetime(2024, 3, 1)
@@ -28,6 +30,8 @@ SEED, DRAWS = 11, 25
 EACH = 5
 #: Buckets of the tables that the queries keep; their data are small.
 STEP_BUCKETS = 8
+#: The pause that ends a practice session, and how late an attempt may be, in the queries of streams.
+SESSION_GAP, LATENESS = "12 hours", "1 day"
 
 
 def _joined(column: Column | str) -> Column:
@@ -347,8 +351,11 @@ def tutor_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replied.select("session", _joined(F.transform("history", message)).alias("history"), "correct", "feedback")
 
 
-def _as_stream(rows: DataFrame, live: Callable[[DataFrame], DataFrame], name: str) -> DataFrame:
-    """What ``live`` makes of ``rows`` as a stream: they come in the order of their ``part``, and the query is started anew from its checkpoint for each."""
+def _as_stream(rows: DataFrame, live: Callable[[DataFrame], DataFrame], name: str, ended: Callable[[StreamingQuery], None] = lambda _: None) -> DataFrame:
+    """What ``live`` makes of ``rows`` as a stream: they come in the order of their ``part``, and the query is started anew from its checkpoint for each.
+
+    ``ended`` gets the query after each part.
+    """
     spark = rows.sparkSession
     home = scratch_path(spark, name)
     rows.write.partitionBy("part").parquet(f"{home}/all")
@@ -358,10 +365,37 @@ def _as_stream(rows: DataFrame, live: Callable[[DataFrame], DataFrame], name: st
         parts.where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{home}/in")
         answers = live(spark.readStream.schema(sent.schema).parquet(f"{home}/in"))
         started = answers.writeStream.format("parquet").outputMode("append").option("path", f"{home}/out").option("checkpointLocation", f"{home}/checkpoint")
-        started.trigger(availableNow=True).start().awaitTermination()
+        query = started.trigger(availableNow=True).start()
+        query.awaitTermination()
+        ended(query)
     return spark.read.parquet(f"{home}/out")
 
 
+def streamed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of a stream of attempts in three parts of ten days: every tenth comes twice, every 23rd and the repetitions of the 30th a part later."""
+    rows, late = inputs.attempts(spark, sf_dir), []
+    day, again = F.dayofmonth("when"), F.col("_ord") % 10 == 0
+    part = F.least(F.when(day <= 10, 1).when(day <= 20, 2).otherwise(3) + F.when(F.col("_ord") % 23 == 0, 1).otherwise(0), F.lit(3))
+    second = F.least(part + F.when(F.col("_ord") % 30 == 0, 1).otherwise(0), F.lit(3))
+    sent = rows.withColumn("part", F.explode(F.when(again, F.array(part, second)).otherwise(F.array(part))))
+    answers = _as_stream(sent, lambda df: live_sessions(df, SESSION_GAP, LATENESS), "sessions", lambda query: late.append(late_attempts(query)))
+    start, end = (F.col(f"session_window.{side}").cast("timestamp_ntz").alias(f"session_{side}") for side in ("start", "end"))
+    return answers.select("user_id", start, end, "attempts", "correct_attempts", F.lit(sum(late)).cast("long").alias("late_rows"))
+
+
+def practised_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct words of each learner by week, and at all (week is null), from stored daily bitmaps of three batches."""
+    rows, home = inputs.attempts(spark, sf_dir), scratch_path(spark, "practice")
+    numbers, table = WordNumbers(home, STEP_BUCKETS), stored_practice(f"{home}/days", STEP_BUCKETS)
+    for batch in range(3):
+        step = rows.where(F.pmod(F.col("_ord"), F.lit(3)) == batch)
+        numbers.add(step, batch)
+        table.apply(daily_bitmaps(step, numbers.read(spark)), batch)
+    days = table.read(spark).withColumn("week", F.trunc("day", "week"))
+    weeks, total = words_practised(days, "user_id", "week"), words_practised(days, "user_id")
+    return weeks.unionByName(total.withColumn("week", F.lit(None).cast("date")))
+
+
 def _minutes(n: Column) -> Column:
     return F.timestamp_add("MINUTE", n, F.lit(NOW))
 
@@ -394,5 +428,5 @@ def learners_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("user_id", "rank", "id", "tier", F.round("weight", 9).alias("weight"))
 
 
-QUERIES = {f.__name__: f for f in (accent_stats, normalize_tokens, normalize_exact_tokens, accented_chars_hist, word_ids, language_lookup, dedup_words, csv_vocabulary, wiktionary_vocabulary, static_vocabulary, word_weights, wordle_eval, wordle_session, wordle_keyboard, diacritic_display, diacritic_session, pair_matching, matching_columns, sentence_portions, sentence_rounds, union_vocabulary, offered_words, typing_prompts, accented_dictionary, played_progress, typed_progress, matched_progress, tutor_sessions, tutor_turns, session_summary, user_upsert, progress_stream, generated_translations, generated_conversations, generated_tutoring, generated_topics, generated_portions, generated_greetings, generated_words, live_wordle, live_typing, learners_words, merged_in_steps, progress_in_steps, users_in_steps)}
+QUERIES = {f.__name__: f for f in (accent_stats, normalize_tokens, normalize_exact_tokens, accented_chars_hist, word_ids, language_lookup, dedup_words, csv_vocabulary, wiktionary_vocabulary, static_vocabulary, word_weights, wordle_eval, wordle_session, wordle_keyboard, diacritic_display, diacritic_session, pair_matching, matching_columns, sentence_portions, sentence_rounds, union_vocabulary, offered_words, typing_prompts, accented_dictionary, played_progress, typed_progress, matched_progress, tutor_sessions, tutor_turns, session_summary, user_upsert, progress_stream, generated_translations, generated_conversations, generated_tutoring, generated_topics, generated_portions, generated_greetings, generated_words, live_wordle, live_typing, learners_words, merged_in_steps, progress_in_steps, users_in_steps, streamed_sessions, practised_in_steps)}
 QUERIES |= {"word_filter": filtered_words, "progress_totals": progress_totals_query, "progress_by_exercise": progress_by_exercise_query, "select_words": selected_words}
