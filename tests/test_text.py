@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from verbarium.functions.languages import UnknownLanguage, get_language, language_table, with_language
-from verbarium.functions.text import accented_chars, has_accent, normalize, normalize_exact, strip, word_id
+from verbarium.functions.text import accented_chars, decomposed, has_accent, normalize, normalize_exact, strip, word_id
 
 
 def one(spark, text, *columns):
@@ -46,6 +46,19 @@ def test_normalize_agrees_with_decomposition(spark, texts):
     assert all(fold(t) == got for t, got in rows)
 
 
+def test_exact_folding_of_all_code_points(spark):
+    fold = lambda s: "".join(c for c in unicodedata.normalize("NFD", s) if not unicodedata.combining(c))
+    points = [chr(k) for k in range(1, 0x110000) if not 0xD800 <= k <= 0xDFFF]
+    texts = ["".join(points[k : k + 500]) for k in range(0, len(points), 500)]
+    # Each character of several letters by itself too, and marks in an order that decomposition changes.
+    texts += [c for c in points if len(fold(c)) > 1 and not "\uac00" <= c <= "\ud7a3"] + ["\uac00", "\uac01", "\ud7a3", "x\u0301\u0323한\u0323\u0301글", ""]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "t string").select("t", decomposed(F.col("t")).alias("d"))
+    wrong = [(t, got) for t, got in rows.collect() if got != (None if t is None else fold(t))]
+    assert not wrong, wrong[:3]
+    plan = rows.select(normalize_exact(F.col("t"), "fr"))._jdf.queryExecution().toString()
+    assert "Python" not in plan
+
+
 def test_languages(spark):
     table = {r["code"]: r for r in language_table(spark).collect()}
     assert set(table) == {"pt", "fr", "es", "it", "en", "de"}

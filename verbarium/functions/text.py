@@ -6,10 +6,8 @@ import sys
 import unicodedata
 from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .languages import mapped
 
@@ -57,15 +55,48 @@ def normalize(text: Column, language: str | Column | None = None) -> Column:
     return F.lower(F.translate(mapped(text, language), *fold_table()))
 
 
-@F.pandas_udf(T.StringType())
-def _decomposed(text: pd.Series) -> pd.Series:
-    fold = lambda s: None if s is None else "".join(c for c in unicodedata.normalize("NFD", s) if not unicodedata.combining(c))
-    return text.map(fold)
+# Fixed values of the Unicode standard: Hangul syllables, the Jamo that they are made of and their numbers.
+SYLLABLES = (0xAC00, 0xD7A3)
+LEADS, VOWELS, TAILS = (0x1100, 19), (0x1161, 21), (0x11A8, 27)
+
+
+@cache
+def several_letters() -> dict[str, str]:
+    """Characters but Hangul syllables that decompose into several letters, and those; from the Unicode data."""
+    out = {}
+    for point in range(0x80, sys.maxunicode + 1):
+        if not SYLLABLES[0] <= point <= SYLLABLES[1] and not 0xD800 <= point <= 0xDFFF:
+            letters = "".join(c for c in unicodedata.normalize("NFD", chr(point)) if not unicodedata.combining(c))
+            if len(letters) > 1:
+                out[chr(point)] = letters
+    return out
+
+
+def _letters(char: Column) -> Column:
+    """The letters of one character that may be a Hangul syllable or one of ``several_letters``."""
+    jamo = lambda block, number: F.substring(F.lit("".join(map(chr, range(block[0], block[0] + block[1])))), number + 1, F.lit(1))
+    place, per_lead = F.ascii(char) - SYLLABLES[0], VOWELS[1] * (TAILS[1] + 1)
+    lead, tail = F.floor(place / per_lead).cast("int"), place % (TAILS[1] + 1)
+    vowel = F.floor(place % per_lead / (TAILS[1] + 1)).cast("int")
+    syllable = F.concat(jamo(LEADS, lead), jamo(VOWELS, vowel), F.when(tail > 0, jamo(TAILS, tail - 1)).otherwise(""))
+    table = F.create_map(*[F.lit(x) for pair in several_letters().items() for x in pair])
+    return F.when(char.between(*map(chr, SYLLABLES)), syllable).otherwise(F.coalesce(F.try_element_at(table, char), char))
+
+
+def decomposed(text: Column) -> Column:
+    """The canonical decomposition of ``text`` without marks of a combining class other than 0, for every script.
+
+    Only texts with a character of several letters are taken apart. No mark that stays is ever
+    moved by the decomposition, so characters can be folded one by one.
+    """
+    folded = F.translate(text, *fold_table())
+    several = f"[{chr(SYLLABLES[0])}-{chr(SYLLABLES[1])}{''.join(several_letters())}]"
+    return F.when(folded.rlike(several), F.array_join(F.transform(characters(folded), _letters), "")).otherwise(folded)
 
 
 def normalize_exact(text: Column, language: str | Column | None = None) -> Column:
-    """``normalize`` for every script, by Arrow batches through Python."""
-    return F.lower(_decomposed(mapped(text, language)))
+    """``normalize`` for every script: Hangul by arithmetic, other characters of several letters by a table."""
+    return F.lower(decomposed(mapped(text, language)))
 
 
 def has_accent(text: Column, language: str | Column | None = None) -> Column:
