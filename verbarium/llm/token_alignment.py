@@ -39,6 +39,8 @@ _CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: From here on libraries may differ in what is a letter; Latin letters are below.
 BEYOND = "\u0250"
+#: Longest unit for the faster library, whose pattern gives up on some 100,000 blanks and more in a row.
+QUICK = 10_000
 
 
 @dataclass(frozen=True)
@@ -90,7 +92,7 @@ class Encoder:
 
     def by_a(self, units: list[str]) -> list[list[int]]:
         """A's ids of a space and each unit: of plain letters and signs by the faster library, which cuts those alike."""
-        plain = [self.fast is not None and max(u) < BEYOND for u in units]
+        plain = [self.fast is not None and len(u) <= QUICK and max(u) < BEYOND for u in units]
         quick = (self.fast.encode_ordinary(" " + u) for u, p in zip(units, plain, strict=True) if p)
         rest = [" " + u for u, p in zip(units, plain, strict=True) if not p]
         if rest and self.whole is None:
@@ -235,7 +237,7 @@ def _unit_links(m: str) -> tuple[Column, Column]:
     def pair(x: Column, p: Column) -> Column:
         own = x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
         joined = lambda a, b: F.get("a_ids", a).cast("long") * IDS + F.get("b_ids", b)
-        both = F.shiftright(x, 33) == F.shiftright(F.get(m, p - 1), 33)
+        both = F.coalesce(F.shiftright(x, 33) == F.shiftright(F.get(m, p - 1), 33), F.lit(False))  # nothing ends before the first
         return F.when(x.bitwiseAND(F.lit(1 << 32)) == 0, joined(own, p - own)).when(~both, joined(p - own, own)).otherwise(-1)
 
     place = lambda u: F.get("a_from", u) + F.get("b_from", u)
