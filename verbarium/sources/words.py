@@ -133,9 +133,12 @@ def dictionary_lines_to_words(lines: DataFrame, language: str, *, keep_pos: Iter
     sense only the first gloss counts; senses without one are dropped, and examples without
     text.
     """
-    trimmed = lines.select("_ord", strip(F.col("line")).alias("line")).where("line <> ''")
-    parsed = trimmed.select("_ord", "line", F.from_json("line", RECORD, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"))
-    is_json = F.get_json_object("line", "$").isNotNull()
+    trimmed = lines.select("_ord", strip(F.col("line")).alias("line"))
+    record = F.from_json("line", RECORD, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    fields = F.from_json("line", "map<string,variant>")
+    # A filter isn't moved over a generator: each line is parsed once, and not before what ``lines`` brings together.
+    parsed = trimmed.select("_ord", F.inline(F.array(F.struct("line", record.alias("r"), fields.alias("_fields"), F.get_json_object("line", "$").isNotNull().alias("_is_json"))))).where("line <> ''")
+    is_json = F.col("_is_json")
     checks = [~F.col("line").startswith("{"), F.col("r._bad").isNotNull(), ~F.coalesce(_kind("word") == '"', F.lit(False))]
     checks += [F.coalesce(~_kind(name).rlike(kind), F.lit(False)) for name, kind in FIELD_TYPES.items()]
     wrong = checks[0]
@@ -143,7 +146,7 @@ def dictionary_lines_to_words(lines: DataFrame, language: str, *, keep_pos: Iter
         wrong = wrong | check
     refuse = F.raise_error(F.concat(F.lit("not a dictionary record: "), F.substring("line", 1, 200)))
     # Filters are evaluated in any order, so the check itself passes over what is no JSON.
-    checked = parsed.withColumn("r", F.when(~is_json, F.lit(None)).when(F.coalesce(wrong, F.lit(True)), refuse).otherwise(F.col("r")))
+    checked = parsed.select("_ord", F.inline(F.array(F.struct(F.when(~is_json, F.lit(None)).when(F.coalesce(wrong, F.lit(True)), refuse).otherwise(F.col("r")).alias("r")))))
     kept = checked.where("r.word <> ''")
     if skip_form_of:
         kept = kept.where("coalesce(size(r.form_of), 0) <= 0")
@@ -158,8 +161,8 @@ def dictionary_lines_to_words(lines: DataFrame, language: str, *, keep_pos: Iter
 
 
 def _kind(name: str) -> Column:
-    """The first character of a top-level field's JSON value: its type, null if it isn't there."""
-    value = F.try_element_at(F.from_json("line", "map<string,variant>"), F.lit(name))
+    """The first character of a top-level field's JSON value, of ``_fields``: its type, null if it isn't there."""
+    value = F.try_element_at("_fields", F.lit(name))
     return F.substring(F.to_json(value), 1, 1)
 
 
