@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from datetime import timedelta
+from operator import itemgetter
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.text import normalize
 from ..operators.guessing import told
@@ -17,88 +19,87 @@ from ..operators.typing import ended, start
 IDLE, LATENESS = timedelta(minutes=30), timedelta(minutes=10)
 #: What becomes of an input, besides the states of a guess: the round was left unfinished.
 LEFT = "left"
+#: Groups of sessions: each has one row of state, which its rows of a micro-batch rewrite.
+SESSION_BUCKETS = 1024
+#: Answers that go back to Spark at once.
+ANSWERS = 10_000
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def use_state_store(spark: SparkSession) -> None:
-    """Keep state in RocksDB, which keyed state with timers needs; it is on the executors' disks, not on their heaps."""
+    """Keep state in RocksDB: it is on the executors' disks, not on their heaps."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
 
 
-def _millis(at) -> int:  # noqa: ANN001 - a timestamp of a row
-    return int(at.timestamp() * 1000)
+class _Rounds:
+    """Rounds of the sessions of one bucket: inputs in the order of ``seq``, each once, and an end after ``idle``.
 
-
-class _Sessions(StatefulProcessor):
-    """State and timer of a session: inputs in the order of ``seq``, each once, and an end after ``idle``.
-
-    The state is (the round's fields, the last seq, the time at which the session ends). A timer
-    that fires earlier than that time was overtaken by a later input and counts for nothing, so
-    no timer is looked up or deleted.
+    The state of a bucket has for each of its open sessions the round's fields, the last seq and the
+    time at which the session ends; it comes and goes with the bucket's rows, in one piece.
     """
 
-    #: DDL of the round's fields.
-    fields: str
+    #: What an input has besides session, seq and at, and the answer's columns.
+    inputs: tuple[str, ...]
+    answer: str
 
     def __init__(self, idle: timedelta) -> None:
         self.idle = int(idle.total_seconds() * 1000)
-        self.schema = StructType.fromDDL(f"{self.fields}, seq bigint, until bigint")  # workers have no session to parse it with
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("round", self.schema)
+        self.columns = ("session", "seq", "millis", *self.inputs)
+        self.names = ["session", *(f.split(" ")[0] for f in self.answer.split(", "))]
 
-    def opened(self, row: Row) -> tuple:
+    def opened(self, row: tuple) -> tuple:
         """The fields of a round that ``row`` opens."""
         raise NotImplementedError
 
-    def played(self, fields: tuple, row: Row) -> tuple[tuple, Row]:
+    def played(self, fields: tuple, row: tuple) -> tuple[tuple, tuple]:
         """The fields after an input, and the answer to it."""
         raise NotImplementedError
 
-    def left(self, session: object, fields: tuple, seq: int) -> Row | None:
-        """The row of a round that ends by its timer."""
+    def left(self, session: object, fields: tuple, seq: int) -> tuple | None:
+        """The row of a round that ends by its idle time."""
         raise NotImplementedError
 
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: object) -> Iterator[Row]:  # noqa: N802, N803 - Spark's names
-        kept = self.state.get() if self.state.exists() else None
-        before = kept
-        answers = []
-        for row in sorted(rows, key=lambda r: r["seq"]):
-            if kept is not None and row["seq"] <= kept[-2]:
+    def __call__(self, key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        kept = pickle.loads(state.get[0]) if state.exists else {}  # noqa: S301 - this class wrote it
+        now, answers, rows = state.getCurrentWatermarkMs(), [], []
+        if not state.hasTimedOut:
+            for frame in frames:
+                rows += zip(*(frame[c].tolist() for c in self.columns), strict=True)
+        rows.sort(key=itemgetter(1))
+        for row in rows:
+            session, seq, at = row[:3]
+            before = kept.get(session)
+            if before is not None and seq <= before[1]:
                 continue  # played before, or after a later one was answered
-            fields = tuple(kept[:-2]) if kept is not None else self.opened(row)
-            fields, answer = self.played(fields, row)
+            fields, answer = self.played(before[0] if before is not None else self.opened(row), row)
             answers.append(answer)
-            until = max(_millis(row["at"]) + self.idle, kept[-1] if kept is not None else 0)
-            kept = (*fields, row["seq"], until)
-        if kept is not None and kept is not before:
-            self.state.update(kept)
-            if before is None or kept[-1] > before[-1]:
-                self.handle.registerTimer(kept[-1])
-        yield from answers
-
-    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: object) -> Iterator[Row]:  # noqa: N802, N803 - Spark's names
-        kept = self.state.get() if self.state.exists() else None
-        if kept is not None and kept[-1] <= expiredTimerInfo.getExpiryTimeInMs():
-            last = self.left(key[0], tuple(kept[:-2]), kept[-2])
-            self.state.clear()
+            kept[session] = fields, seq, max(at + self.idle, before[2] if before is not None else 0)
+        for session in [s for s, k in kept.items() if k[2] <= now]:
+            fields, seq, _ = kept.pop(session)
+            last = self.left(session, fields, seq)
             if last is not None:
-                yield last
+                answers.append(last)
+        if kept:
+            state.update((pickle.dumps(kept, pickle.HIGHEST_PROTOCOL),))
+            state.setTimeoutTimestamp(min(k[2] for k in kept.values()) - 1)  # it fires once the watermark is beyond
+        elif state.exists:
+            state.remove()
+        for start in range(0, len(answers), ANSWERS):
+            yield pd.DataFrame(answers[start : start + ANSWERS], columns=self.names, dtype=object)
 
-    def close(self) -> None:
-        return None
 
+class _Guesses(_Rounds):
+    """A round's fields are its turns, whether it was won, and the most attempts."""
 
-class _Guesses(_Sessions):
-    fields = "turns int, won boolean, most int"
+    inputs = ("guess", "guess_normalized", "target_id", "target", "max_attempts")
+    answer = "seq bigint, guess string, guess_normalized string, target_id string, target string, status string, correct boolean, attempt int, ends boolean"
 
-    def opened(self, row: Row) -> tuple:
-        return 0, False, row["max_attempts"]
+    def opened(self, row: tuple) -> tuple:
+        return 0, False, row[7]
 
-    def played(self, fields: tuple, row: Row) -> tuple[tuple, Row]:
+    def played(self, fields: tuple, row: tuple) -> tuple[tuple, tuple]:
         turns, won, most = fields
-        guess, target = row["guess_normalized"], row["target"]
+        session, seq, _, shown, guess, target_id, target, _ = row
         if won or turns >= most:
             status = "finished"
         elif guess is None or len(guess) != len(target):
@@ -106,46 +107,60 @@ class _Guesses(_Sessions):
         else:
             status, turns, won = "scored", turns + 1, guess == target
         scored = status == "scored"
-        answer = Row(session=row["session"], seq=row["seq"], guess=row["guess"], guess_normalized=guess, target_id=row["target_id"], target=target, status=status, correct=scored and won, attempt=turns if scored else None, ends=scored and (won or turns >= most))
+        answer = session, seq, shown, guess, target_id, target, status, scored and won, turns if scored else None, scored and (won or turns >= most)
         return (turns, won, most), answer
 
-    def left(self, session: object, fields: tuple, seq: int) -> Row | None:
+    def left(self, session: object, fields: tuple, seq: int) -> tuple | None:
         turns, won, most = fields
         if won or turns >= most:
             return None
-        return Row(session=session, seq=seq, guess=None, guess_normalized=None, target_id=None, target=None, status=LEFT, correct=False, attempt=turns, ends=False)
+        return session, seq, None, None, None, None, LEFT, False, turns, False
 
 
-class _Keystrokes(_Sessions):
-    fields = "opened int, misses bigint, rounds bigint, disabled array<string>, expected array<string>"
+class _Keystrokes(_Rounds):
+    """A round's fields are its open places, misses, keystrokes that counted, disabled keys and the hidden characters."""
 
-    def opened(self, row: Row) -> tuple:
-        return 0, 0, 0, [], list(row["expected"])
+    inputs = ("keystroke", "expected")
+    answer = "seq bigint, status string, opened int, disabled_keys array<string>, error_count bigint, rounds bigint, completed boolean"
 
-    def played(self, fields: tuple, row: Row) -> tuple[tuple, Row]:
+    def opened(self, row: tuple) -> tuple:
+        return 0, 0, 0, (), row[4]
+
+    def played(self, fields: tuple, row: tuple) -> tuple[tuple, tuple]:
         opened, misses, rounds, disabled, expected = fields
-        key, live = row["keystroke"], opened < len(expected)
+        session, seq, _, key, _ = row
+        live = opened < len(expected)
         right = live and expected[opened] == key
         if live:
             opened, misses, rounds = opened + right, misses + (not right), rounds + 1
-            disabled = disabled if right or key in disabled else [*disabled, key]
+            disabled = disabled if right or key in disabled else (*disabled, key)
         completed = bool(expected) and opened >= len(expected)
-        answer = self._answer(row["session"], row["seq"], opened, misses, rounds, disabled, "correct" if right else "wrong" if live else "finished", completed)
+        answer = self._answer(session, seq, opened, misses, rounds, disabled, "correct" if right else "wrong" if live else "finished", completed)
         return (opened, misses, rounds, disabled, expected), answer
 
-    def left(self, session: object, fields: tuple, seq: int) -> Row | None:
+    def left(self, session: object, fields: tuple, seq: int) -> tuple | None:
         opened, misses, rounds, disabled, expected = fields
         return None if opened >= len(expected) else self._answer(session, seq, opened, misses, rounds, disabled, LEFT, False)
 
     @staticmethod
-    def _answer(session: object, seq: int, opened: int, misses: int, rounds: int, disabled: list[str], status: str, completed: bool) -> Row:
-        return Row(session=session, seq=seq, status=status, opened=opened, disabled_keys=sorted(disabled, key=lambda x: (x is not None, x)), error_count=misses, rounds=rounds, completed=completed)
+    def _answer(session: object, seq: int, opened: int, misses: int, rounds: int, disabled: tuple, status: str, completed: bool) -> tuple:
+        return session, seq, status, opened, sorted(disabled, key=lambda x: (x is not None, x)), misses, rounds, completed
 
 
 def _kind(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
 
+def _answered(rows: DataFrame, session: str, rounds: _Rounds) -> DataFrame:
+    """The answers of ``rounds`` to a stream of rows (session, seq, at and its inputs)."""
+    whole = session in ("tinyint", "smallint", "int", "bigint")  # in pandas these are no numbers of 64 bits beside a null
+    own = F.col("session").cast("string") if whole else F.col("session")
+    dealt = rows.select(own.alias("session"), F.col("seq").cast("bigint").alias("seq"), F.unix_millis("at").alias("millis"), "at", *rounds.inputs, F.pmod(F.xxhash64("session"), F.lit(SESSION_BUCKETS)).alias("bucket"))
+    schema = f"session {'string' if whole else session}, {rounds.answer}"
+    answers = dealt.groupBy("bucket").applyInPandasWithState(rounds.__call__, schema, "rounds binary", "append", GroupStateTimeout.EventTimeTimeout)
+    return answers.withColumn("session", F.col("session").cast(session))
+
+
 def live_guesses(guesses: DataFrame, idle: timedelta = IDLE, lateness: timedelta = LATENESS) -> DataFrame:
     """The answer to every guess of a stream, as ``guessing.play`` gives it for guesses that are all there.
 
@@ -156,16 +171,14 @@ def live_guesses(guesses: DataFrame, idle: timedelta = IDLE, lateness: timedelta
     session's last guess, the session's state goes; a round without an end then gets a last row
     of status LEFT with its number of attempts, and a later guess opens a new round.
 
-    A session's state is three numbers whatever it was sent, and only its rows of one
-    micro-batch meet in one task. Guesses are folded and letters judged outside, by expressions.
+    A session's state is some numbers whatever it was sent. Sessions are dealt to SESSION_BUCKETS groups, of
+    which each has one row of state; only a bucket's rows of one micro-batch meet in one
+    task. Guesses are folded and letters judged outside, by expressions.
     """
     use_state_store(guesses.sparkSession)
     folded = guesses.withColumn("guess_normalized", normalize(F.col("guess"))).withWatermark("at", f"{lateness.total_seconds()} seconds")
-    session = _kind(guesses, "session")
-    schema = f"session {session}, seq bigint, guess string, guess_normalized string, target_id string, target string, status string, correct boolean, attempt int, ends boolean"
-    rows = folded.select("session", F.col("seq").cast("bigint").alias("seq"), "at", "guess", "guess_normalized", "target_id", "target", F.col("max_attempts").cast("int").alias("max_attempts"))
-    answers = rows.groupBy("session").transformWithState(_Guesses(idle), schema, "Append", "EventTime")
-    return told(answers)
+    rows = folded.withColumn("max_attempts", F.col("max_attempts").cast("int"))
+    return told(_answered(rows, _kind(guesses, "session"), _Guesses(idle)))
 
 
 def live_keystrokes(keystrokes: DataFrame, idle: timedelta = IDLE, lateness: timedelta = LATENESS) -> DataFrame:
@@ -177,10 +190,9 @@ def live_keystrokes(keystrokes: DataFrame, idle: timedelta = IDLE, lateness: tim
     what the keystroke was: correct, wrong, finished (it counted for nothing) or LEFT.
     """
     use_state_store(keystrokes.sparkSession)
-    opened = start(keystrokes).withColumnRenamed("_expected", "expected").withWatermark("at", f"{lateness.total_seconds()} seconds")
-    schema = f"session {_kind(keystrokes, 'session')}, seq bigint, status string, opened int, disabled_keys array<string>, error_count bigint, rounds bigint, completed boolean"
-    rows = opened.select("session", F.col("seq").cast("bigint").alias("seq"), "at", "keystroke", "expected")
-    return rows.groupBy("session").transformWithState(_Keystrokes(idle), schema, "Append", "EventTime")
+    expected = F.coalesce(F.array_join("_expected", ""), F.lit(""))  # single characters, which Python tells apart again
+    opened = start(keystrokes).withColumn("expected", expected).withWatermark("at", f"{lateness.total_seconds()} seconds")
+    return _answered(opened, _kind(keystrokes, "session"), _Keystrokes(idle))
 
 
 def typed_sessions(answers: DataFrame, sessions: DataFrame) -> DataFrame:
