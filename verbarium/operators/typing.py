@@ -13,7 +13,8 @@ HIDDEN = "_"
 
 def initial_display(text: Column, hint_level: Column) -> Column:
     """The characters shown at first: all, those without accents, or none."""
-    plain = lambda c: F.when(normalize(c) == F.lower(c), c).otherwise(HIDDEN)
+    # Folding compares its whole table for each character in a lambda, so ASCII passes by.
+    plain = lambda c: F.when(c < "\u0080", c).when(normalize(c) == F.lower(c), c).otherwise(HIDDEN)
     chars = characters(text)
     return F.when(hint_level == "show_all", chars).when(hint_level == "show_unaccented", F.transform(chars, plain)).otherwise(F.transform(chars, lambda _: F.lit(HIDDEN)))
 
@@ -29,7 +30,17 @@ def start(sessions: DataFrame) -> DataFrame:
     """Rows with text, language and hint_level, and what is shown at first, the hidden places and their characters."""
     shown = sessions.withColumn("_shown", initial_display(F.col("text"), F.col("hint_level")))
     places = F.filter(F.transform("_shown", lambda c, k: F.when(c == HIDDEN, k)), lambda k: k.isNotNull())
-    return shown.withColumn("_places", places).withColumn("_expected", F.transform("_places", lambda k: F.get(characters(F.col("text")), k)))
+    shown = _once(_once(shown, "_shown").withColumn("_places", places), "_places")
+    return _once(shown.withColumn("_expected", F.transform("_places", lambda k: F.substring("text", k + 1, F.lit(1)))), "_expected")
+
+
+def _once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with the column ``name`` worked out once a row.
+
+    The optimiser moves columns into the filters and lambdas that use them, where they would be
+    worked out for every keystroke; it doesn't move them over a generator.
+    """
+    return df.select(*[c for c in df.columns if c != name], F.inline(F.array(F.struct(name))))
 
 
 def play(keystrokes: DataFrame) -> DataFrame:
@@ -60,14 +71,14 @@ def play(keystrokes: DataFrame) -> DataFrame:
             F.when(miss, F.array_union(state["disabled"], F.array(key["keystroke"]))).otherwise(state["disabled"]).alias("disabled"),
         )
 
-    folded = start(grouped).withColumn("_end", F.aggregate("_keys", zero, step))
+    folded = _once(start(grouped).withColumn("_end", F.aggregate("_keys", zero, step)), "_end").drop("_keys")
     return ended(folded, F.col("_end.at"), F.col("_end.misses"), F.col("_end.rounds"), F.col("_end.disabled"))
 
 
 def ended(sessions: DataFrame, at: Column, misses: Column, rounds: Column, disabled: Column) -> DataFrame:
     """``play``'s rows of sessions that ``start`` opened, of which ``at`` hidden places are open by now."""
     opened = F.slice("_places", F.lit(1), at)
-    display = F.transform("_shown", lambda c, k: F.when(F.array_contains(opened, k), F.get(characters(F.col("text")), k)).otherwise(c))
+    display = F.transform("_shown", lambda c, k: F.when(F.array_contains(opened, k), F.substring("text", k + 1, F.lit(1))).otherwise(c))
     completed = (F.size("_places") > 0) & (at >= F.size("_places"))
     return sessions.select(
         "session",

@@ -13,6 +13,8 @@ from ..sources.schemas import EXERCISE_TYPES, WORD_DDL
 
 #: Places of a document's words are below this.
 PLACES = 1_000_000
+#: Characters by which words of one length are told apart before they are sorted.
+BEGIN = 3
 #: The five event types stand in for the exercise types, in this order.
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
@@ -102,9 +104,15 @@ def guesses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each distinct (text, language) with the next one of its language and length as ``guess``."""
-    words = tokens(spark, sf_dir).select("text", "language").distinct()
-    order = W.partitionBy("language", F.length("text")).orderBy("text")
-    return words.withColumn("guess", F.lead("text").over(order)).where("guess is not null")
+    words = tokens(spark, sf_dir).select("text", "language").distinct().withColumns({"_size": F.length("text"), "_begin": F.substring("text", 1, BEGIN)})
+    # A few words at a time: those of one beginning, the last of which is followed by the first of the next beginning.
+    own = W.partitionBy("language", "_size", "_begin").orderBy("text")
+    firsts = words.groupBy("language", "_size", "_begin").agg(F.min("text").alias("_first"))
+    after = F.lead("_first").over(W.partitionBy("language", "_size").orderBy("_begin"))
+    following = firsts.select(F.col("language").alias("_l"), F.col("_size").alias("_s"), F.col("_begin").alias("_b"), after.alias("_after"))
+    same = F.col("language").eqNullSafe(F.col("_l")) & (F.col("_size") == F.col("_s")) & (F.col("_begin") == F.col("_b"))
+    paired = words.withColumn("guess", F.lead("text").over(own)).join(following, same)
+    return paired.select("text", "language", F.coalesce("guess", "_after").alias("guess")).where("guess is not null")
 
 
 def keystrokes(spark: SparkSession, sf_dir: str) -> DataFrame:
