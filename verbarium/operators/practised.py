@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -61,19 +61,28 @@ def daily_bitmaps(attempts: DataFrame, numbers: DataFrame) -> DataFrame:
     """The words that each learner practised on each day, as exact bitmaps of word numbers.
 
     ``attempts`` has user_id, word_id and when, ``numbers`` the numbers of the words. The rows have user_id,
-    day, block and bits: a bitmap of 32,768 numbers from a block's first one on. Attempts without a
+    day, block and bits: a bitmap of 32,768 numbers from a block's first one on, without the bytes after its last bit. Attempts without a
     learner, a word of ``numbers`` or a time are left out; repetitions count once, so the same attempts may come
     again. A learner's rows of a day and block are brought together as distinct numbers, at most
     32,768 of them, before they take the 4 KB of a bitmap.
     """
     numbered = attempts.where("user_id is not null and when is not null").select("user_id", "word_id", F.col("when").cast("date").alias("day")).distinct().join(numbers, "word_id")
     placed = numbered.select("user_id", "day", F.bitmap_bucket_number("number").alias("block"), F.bitmap_bit_position("number").alias("bit"))
-    return placed.repartition("user_id", "day", "block").groupBy("user_id", "day", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    made = placed.repartition("user_id", "day", "block").groupBy("user_id", "day", "block").agg(F.bitmap_construct_agg("bit").alias("bits"), (F.max("bit") / 8 + 1).cast("int").alias("_bytes"))
+    return made.select("user_id", "day", "block", _cut("bits", "_bytes"))
+
+
+def _cut(bits: str, size: str) -> Column:
+    """The first ``size`` bytes of a bitmap, after which it has no bit."""
+    return F.substring(F.col(bits), F.lit(1), F.col(size)).alias("bits")
 
 
 def merged(bitmaps: DataFrame, *by: str) -> DataFrame:
     """``bitmaps`` brought together by the columns ``by`` (user_id and day without any) and block."""
-    return bitmaps.groupBy(*(by or ("user_id", "day")), "block").agg(F.bitmap_or_agg("bits").alias("bits"))
+    keys = (*(by or ("user_id", "day")), "block")
+    # Dealt before they are brought together: what a partial aggregation would send has all 4 KB.
+    made = bitmaps.repartition(*keys).groupBy(*keys).agg(F.bitmap_or_agg("bits").alias("bits"), F.max(F.length("bits")).alias("_bytes"))
+    return made.select(*keys, _cut("bits", "_bytes"))
 
 
 def stored_practice(path: str, buckets: int = BUCKETS) -> StoredTable:
