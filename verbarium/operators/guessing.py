@@ -90,10 +90,17 @@ def told(answers: DataFrame) -> DataFrame:
 
 def keyboard(played: DataFrame) -> DataFrame:
     """(session, letter, state): the best state of each letter over a session's scored guesses."""
-    letters = played.where("status = 'scored'").select("session", F.explode("letters").alias("_l")).select("session", "_l.letter", "_l.state")
+    # A session's letters come together in one row, as many as its attempts have: a table of all sessions' letters needs no place.
+    scored = played.where("status = 'scored'")
+    whole = W.partitionBy("session").orderBy("seq").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    turn = F.row_number().over(W.partitionBy("session").orderBy("seq"))
+    rounds = scored.select("session", F.collect_list("letters").over(whole).alias("_all"), turn.alias("_turn")).where("_turn = 1")
+    all_letters = rounds.select("session", F.flatten("_all").alias("_all"))
     ranks = F.array(*[F.lit(s) for s in LETTER_STATES])
-    best = letters.groupBy("session", "letter").agg(F.max(F.array_position(ranks, F.col("state"))).alias("_rank"))
-    return best.select("session", "letter", F.element_at(ranks, F.col("_rank").cast("int")).alias("state"))
+    rank = lambda x: F.array_position(ranks, x["state"]).cast("int")
+    best = lambda c: F.array_max(F.transform(F.filter("_all", lambda x: x["letter"] == c), rank))
+    distinct = F.array_distinct(F.transform("_all", lambda x: x["letter"]))
+    return all_letters.select("session", F.inline(F.transform(distinct, lambda c: F.struct(c.alias("letter"), F.element_at(ranks, best(c)).alias("state")))))
 
 
 def word_results(played: DataFrame) -> DataFrame:
