@@ -44,10 +44,10 @@ def merge_words(words: DataFrame) -> DataFrame:
     lists as they are. ``_ord`` is the first arrival, by which the result can be ordered.
 
     Rows of equal content are counted first, by a hash aggregation; ids and rules are worked
-    out on contents only. List entries are then grouped by themselves, so a word with any
-    number of rows meets in one task only as its distinct entries.
+    out on contents only. Contents are dealt by id, and list entries then grouped by themselves,
+    so a word with any number of rows meets in one task only as its distinct contents.
     """
-    counted = contents(words)
+    counted = contents(words).repartition("id")  # all that follows is by id: contents are dealt once, and entries not at all
     foreign = F.when(has_foreign_letter(F.col("text")), F.col("_low"))
     filled = F.when(nonempty(F.col("text")), F.col("_high"))
     whole = F.struct(F.map_from_entries("_pairs").alias("translations"), *LISTS)
@@ -95,8 +95,9 @@ def distinct_entries(counted: DataFrame) -> DataFrame:
 
     lists = [listed(name) for name in LISTS]
     pairs = F.transform(F.coalesce("_pairs", F.array()), lambda e: F.struct(packed("translations", F.lit(None), e["key"]).alias("item"), e["value"].alias("value")))
-    # The test holds for all; it keeps every column, so that this shuffle of the contents is the other reader's too.
-    single = counted.where("_rows > 0 and _high >= _low").select("id", F.col("_low").alias("_ord"), F.posexplode(F.concat(*lists, pairs)).alias("_pos", "_e"))
+    # The test holds for all; it keeps every column, so that the shuffles of the contents are the other reader's too.
+    every = F.xxhash64(*counted.columns).bitwiseAND(F.lit(0)) == 0
+    single = counted.select("id", F.col("_low").alias("_ord"), F.posexplode(F.when(every, F.concat(*lists, pairs))).alias("_pos", "_e"))
     place = F.struct("_ord", "_pos")
     return single.groupBy("id", "_e.item").agg(F.min(place).alias("_place"), F.min_by("_e.value", place).alias("value"))
 
