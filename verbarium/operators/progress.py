@@ -126,9 +126,9 @@ def weighted_pool(pool: DataFrame, records: DataFrame, now: datetime, knobs: Wei
     return joined.drop("_word", "seen_count", "error_count", "last_seen_at", "is_useless")
 
 
-def hash_uniform(seed: int | str, *columns: str) -> Column:
+def hash_uniform(seed: int | str, *columns: Column | str) -> Column:
     """A number in (0, 1) that the seed and the columns determine, equal on every engine."""
-    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in columns])
+    text = F.concat_ws("|", F.lit(str(seed)), *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in columns])
     return (F.conv(F.substring(F.sha1(text), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 

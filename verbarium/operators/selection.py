@@ -36,7 +36,7 @@ def shared_order(pool: DataFrame, knobs: Weights = Weights()) -> DataFrame:  # n
     return placed.withColumn("_within", within).join(F.broadcast(starts), ["tier", "_range"]).withColumn("pos", F.col("_before") + F.col("_within")).drop("_order", "_range", "_before", "_within")
 
 
-def _exponential(seed: int, kind: str, *columns: str) -> Column:
+def _exponential(seed: int, kind: str, *columns: Column | str) -> Column:
     return -F.ln(hash_uniform(f"{seed}|{kind}", *columns))
 
 
@@ -76,12 +76,14 @@ def select_for_learners(pool: DataFrame, records: DataFrame, learners: DataFrame
         open_tiers = counted.select("user_id", "_seen", F.lit("").alias("tier"), F.lit(0).cast("bigint").alias("size"), F.lit(0.0).alias("weight")).where("false")
     roomy = F.col("size") >= ROOM * (F.lit(n) + F.col("_seen"))
 
-    jumps = open_tiers.where(roomy).select("user_id", "tier", "size", "weight", F.explode(F.sequence(F.lit(1), F.lit(PER_WORD * max(n, 0) + SPARE))).alias("jump"))
-    gap = _exponential(seed, "gap", "user_id", "tier", "jump") / (F.col("size") * F.col("weight"))
-    met = F.floor(hash_uniform(f"{seed}|word", "user_id", "tier", "jump") * F.col("size")).cast("bigint")
-    along = W.partitionBy("user_id", "tier").orderBy("jump").rowsBetween(W.unboundedPreceding, W.currentRow)
-    arrivals = jumps.select("user_id", "tier", "weight", met.alias("pos"), F.sum(gap).over(along).alias("key"))
-    arrivals = arrivals.groupBy("user_id", "tier", "pos").agg(F.min("key").alias("key"), F.min("weight").alias("weight"))
+    # Along a tier words are met by rising keys, so of its new ones the learner's first n and as many as have a record are enough.
+    jump = lambda last, value: F.transform(F.sequence(F.lit(1), last.cast("int")), value)
+    met = jump(F.lit(PER_WORD * max(n, 0) + SPARE), lambda k: F.floor(hash_uniform(f"{seed}|word", "user_id", "tier", k) * F.col("size")).cast("bigint"))
+    first = F.slice(F.array_distinct("_met"), F.lit(1), (F.lit(max(n, 0)) + F.col("_seen")).cast("int"))
+    met = open_tiers.where(roomy).withColumn("_met", met).withColumn("_first", first).where(F.size("_first") > 0)
+    gaps = jump(F.array_position("_met", F.element_at("_first", -1)), lambda k: _exponential(seed, "gap", "user_id", "tier", k) / (F.col("size") * F.col("weight")))
+    along = lambda pos: F.aggregate(F.slice("_gaps", F.lit(1), F.array_position("_met", pos).cast("int")), F.lit(0.0), lambda total, gap: total + gap)
+    arrivals = met.withColumn("_gaps", gaps).select("user_id", "tier", "weight", F.inline(F.transform("_first", lambda pos: F.struct(pos.alias("pos"), along(pos).alias("key")))))
 
     key = (_exponential(seed, "own", "user_id", "tier", "pos") / F.col("weight")).alias("key")
     each = open_tiers.where(~roomy).select("user_id", "tier", "weight", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("size") - 1)).alias("pos"))
