@@ -3,103 +3,87 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import has_foreign_letter, nonempty
-from ..sources.schemas import WORD
-from ..stored import BUCKETS, StoredTable
-from .words import LISTS, contents, distinct_entries, gathered_entries
+from .words import counted_contents, identified, merge_contents
 
-SCALARS = ("normalized", "part_of_speech", "frequency")
+#: Runs of one level that are merged into one of the next.
+RUNS = 8
+_COUNTS = ("_rows", "_low", "_high")
 
 
-def heads(words: DataFrame) -> DataFrame:
-    """One row per id with all that the rules of single values need, and the lists of a word that is alone.
-
-    Each rule keeps the first or last place at which it applies together with the value there
-    (a struct of place and value), so that two rows of an id are combined by min and max.
-    """
-    rows = contents(words)
-    low, high = F.col("_low"), F.col("_high")
-    text, language = F.col("text"), F.col("language")
-    first = lambda value, test=None: F.min(F.struct(low.alias("at"), value.alias("value")) if test is None else F.when(test, F.struct(low.alias("at"), value.alias("value"))))
-    last = lambda value, test=None: F.max(F.struct(high.alias("at"), value.alias("value")) if test is None else F.when(test, F.struct(high.alias("at"), value.alias("value"))))
-    whole = F.struct(F.map_from_entries("_pairs").alias("translations"), *LISTS)
-    made = rows.groupBy("id").agg(
-        F.sum("_rows").alias("n"),
-        first(text, has_foreign_letter(text)).alias("first_foreign"),
-        last(text, nonempty(text)).alias("last_filled"),
-        first(text).alias("first_text"),
-        first(language).alias("first_language"),
-        *[first(F.col(c), nonempty(F.col(c))).alias(f"first_{c}") for c in SCALARS],
-        *[last(F.col(c)).alias(f"last_{c}") for c in SCALARS],
-        F.min_by(whole, "_low").alias("whole"),
-    )
-    return made.withColumn("whole", F.when(F.col("n") == 1, F.col("whole")))
-
-
-def combine_heads(rows: DataFrame) -> DataFrame:
-    """One row per id of rows that several vocabularies have of it."""
-    firsts, lasts = [c for c in rows.columns if c.startswith("first_")], [c for c in rows.columns if c.startswith("last_")]
-    n = F.sum("n").alias("n")
-    alone = F.min_by("whole", "first_text.at").alias("whole")
-    out = rows.groupBy("id").agg(n, *[F.min(c).alias(c) for c in firsts], *[F.max(c).alias(c) for c in lasts], alone)
-    return out.withColumn("whole", F.when(F.col("n") == 1, F.col("whole"))).select(*rows.columns)
-
-
-def entries(words: DataFrame) -> DataFrame:
-    """(id, item, place, value): the distinct list entries and translations of each id at their first places."""
-    return distinct_entries(contents(words)).withColumnRenamed("_place", "place")
-
-
-def combine_entries(rows: DataFrame) -> DataFrame:
-    """Each entry once, at the first of its places."""
-    return rows.groupBy("id", "item").agg(F.min("place").alias("place"), F.min_by("value", "place").alias("value")).select(*rows.columns)
-
-
-def merged(all_heads: DataFrame, all_entries: DataFrame) -> DataFrame:
-    """The words of a state: the rows that ``merge_words`` gives for all vocabularies in it."""
-    together = gathered_entries(all_entries.withColumnRenamed("place", "_place"))
-    joined = all_heads.join(together, "id", "left")
-
-    def value(name: str) -> Column:
-        return F.col(name)["value"]
-
-    def chosen(name: str) -> Column:
-        empty = F.create_map() if name == "translations" else F.array()
-        return F.when(F.col("n") == 1, F.col(f"whole.{name}")).otherwise(F.coalesce(F.col(f"_all.{name}"), empty.cast(WORD[name])))
-
-    scalars = {c: F.coalesce(value(f"first_{c}"), value(f"last_{c}")) for c in SCALARS}
-    fields = {"_ord": F.col("first_text.at"), "text": F.coalesce(value("first_foreign"), value("last_filled"), value("first_text")), "language": value("first_language")} | scalars
-    fields |= {name: chosen(name) for name in (*LISTS, "translations")}
-    return joined.select(F.nullif("id", F.lit("")).alias("id"), *[fields[n].alias(n) for n in WORD])
+def combine(rows: DataFrame) -> DataFrame:
+    """Each content once, of rows that several runs have of it."""
+    sums = (F.sum("_rows").alias("_rows"), F.min("_low").alias("_low"), F.max("_high").alias("_high"))
+    return rows.groupBy(*[c for c in rows.columns if c not in _COUNTS]).agg(*sums).select(*rows.columns)
 
 
 @dataclass(frozen=True)
 class MergedVocabulary:
-    """A merged vocabulary below ``path``: a table of heads and one of entries, in buckets by id.
+    """A merged vocabulary below ``path``: runs of distinct contents, with how often, first and last they came.
 
     ``add`` takes the words of a further source (or any part of one), whose ``_ord`` are places in
-    the order of all sources, in any order of batches. It rewrites the buckets of the ids that
-    come in; the words that were merged before aren't read. A batch number that was applied
-    before does nothing.
+    the order of all sources, in any order of batches. It writes a run of the batch's own contents;
+    what was merged before is neither read nor written, but for each ``runs``-th run of a level,
+    with which those of the level become one of the next: a content is rewritten as often as there
+    are levels, the logarithm of the batches. ``read`` deals the contents of all runs by id once,
+    and merges them as ``merge_words`` does.
+
+    A run is at ``level=L/batch=N``, where N is the last batch in it. It takes the place of all runs
+    of lower levels up to N, which the next batch deletes. It counts from when it is whole; a batch that
+    broke off is written over, and a number that isn't above the last one's does nothing. One writer at a time.
     """
 
     path: str
-    buckets: int = BUCKETS
+    runs: int = RUNS
+
+    def _levels(self, spark: SparkSession) -> dict[int, list[int]]:
+        """The batches of the whole runs of each level."""
+        home = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = home.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        found: dict[int, list[int]] = {}
+        for level in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(home, "level=*/batch=*/_SUCCESS")) or ():
+            run = level.getPath().getParent()
+            found.setdefault(int(run.getParent().getName().removeprefix("level=")), []).append(int(run.getName().removeprefix("batch=")))
+        return found
 
-    @property
-    def tables(self) -> tuple[StoredTable, StoredTable]:
-        return StoredTable(f"{self.path}/heads", ("id",), combine_heads, self.buckets), StoredTable(f"{self.path}/entries", ("id",), combine_entries, self.buckets)
+    @staticmethod
+    def _live(levels: dict[int, list[int]]) -> set[tuple[int, int]]:
+        """(level, batch) of the runs that no run of a higher level holds."""
+        return {(k, n) for k, own in levels.items() for n in own if not any(n <= m for j, others in levels.items() if j > k for m in others)}
+
+    def _run(self, level: int, batch: int) -> str:
+        return f"{self.path}/level={level}/batch={batch}"
+
+    def _rows(self, spark: SparkSession, runs: set[tuple[int, int]]) -> DataFrame:
+        return reduce(DataFrame.unionByName, [spark.read.parquet(self._run(*r)) for r in sorted(runs)])
 
     def add(self, words: DataFrame, batch: int) -> bool:
-        """Merge ``words`` in; False if the batch was there. One that broke off between the tables is ended by repeating it."""
-        of_heads, of_entries = self.tables
-        return bool(of_entries.apply(entries(words), batch) | of_heads.apply(heads(words), batch))
+        """Merge ``words`` in; False if the batch was there."""
+        spark = words.sparkSession
+        levels = self._levels(spark)
+        if any(batch <= n for own in levels.values() for n in own):
+            return False
+        live = self._live(levels)
+        for run in {(k, n) for k, own in levels.items() for n in own} - live:
+            self._delete(spark, self._run(*run))
+        counted_contents(words).write.mode("overwrite").parquet(self._run(0, batch))
+        live.add((0, batch))
+        level = 0
+        while len(full := {r for r in live if r[0] == level}) >= self.runs:
+            combine(self._rows(spark, full)).write.mode("overwrite").parquet(self._run(level + 1, batch))
+            live, level = live - full | {(level + 1, batch)}, level + 1
+        return True
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         """The merged words, or None before the first batch."""
-        found = [t.read(spark) for t in self.tables]
-        return None if None in found else merged(*found)
+        live = self._live(self._levels(spark))
+        return merge_contents(identified(self._rows(spark, live))) if live else None
+
+    @staticmethod
+    def _delete(spark: SparkSession, path: str) -> None:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)

@@ -47,7 +47,12 @@ def merge_words(words: DataFrame) -> DataFrame:
     out on contents only. Contents are dealt by id, and list entries then grouped by themselves,
     so a word with any number of rows meets in one task only as its distinct contents.
     """
-    counted = contents(words).repartition("id")  # all that follows is by id: contents are dealt once, and entries not at all
+    return merge_contents(contents(words))
+
+
+def merge_contents(counted: DataFrame) -> DataFrame:
+    """The words that ``merge_words`` gives, from rows of ``contents``; a content may come several times."""
+    counted = counted.repartition("id")  # all that follows is by id: contents are dealt once, and entries not at all
     foreign = F.when(has_foreign_letter(F.col("text")), F.col("_low"))
     filled = F.when(nonempty(F.col("text")), F.col("_high"))
     whole = F.struct(F.map_from_entries("_pairs").alias("translations"), *LISTS)
@@ -71,15 +76,24 @@ def merge_words(words: DataFrame) -> DataFrame:
     return merged.select(F.nullif("id", F.lit("")).alias("id"), *plain)
 
 
-def contents(words: DataFrame) -> DataFrame:
-    """The distinct contents of words with their id, number of rows, first and last arrival."""
+def counted_contents(words: DataFrame) -> DataFrame:
+    """The distinct contents of words with their number of rows, first and last arrival."""
     content = words.select(*[F.col(n) for n in WORD if n != "translations"], F.map_entries("translations").alias("_pairs"))
-    counted = content.groupBy(*[c for c in content.columns if c != "_ord"]).agg(F.count("*").alias("_rows"), F.min("_ord").alias("_low"), F.max("_ord").alias("_high"))
+    return content.groupBy(*[c for c in content.columns if c != "_ord"]).agg(F.count("*").alias("_rows"), F.min("_ord").alias("_low"), F.max("_ord").alias("_high"))
+
+
+def identified(counted: DataFrame) -> DataFrame:
+    """``counted_contents`` with their id and normalized text."""
     normalized = F.when(nonempty(F.col("normalized")), F.col("normalized")).otherwise(normalize(F.col("text")))
     # Never null, so that no test for null tells the two readers of the contents apart.
     return counted.withColumns({"normalized": normalized, "id": F.coalesce(word_id(F.col("text"), F.col("language")), F.lit(""))})
 
 
+def contents(words: DataFrame) -> DataFrame:
+    """The distinct contents of words with their id, number of rows, first and last arrival."""
+    return identified(counted_contents(words))
+
+
 _KINDS = {name: WORD[name].removeprefix("array<")[:-1] for name in LISTS}
 
 

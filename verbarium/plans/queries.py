@@ -93,7 +93,7 @@ def dedup_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merged_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``dedup_words`` from a stored vocabulary that got the documents in three parts, the last ones first, one twice."""
     words = _tokens_with_own_text(spark, sf_dir)
-    vocabulary = MergedVocabulary(scratch_path(spark, "vocabulary"), STEP_BUCKETS)
+    vocabulary = MergedVocabulary(scratch_path(spark, "vocabulary"))
     third = F.floor(F.col("_ord") / inputs.PLACES) % 3
     for batch, part in ((1, 2), (2, 0), (2, 0), (3, 1)):
         vocabulary.add(words.where(third == part), batch)
