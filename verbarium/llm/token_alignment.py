@@ -13,7 +13,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -156,17 +156,8 @@ def _encoder(files: Tokenizers) -> Encoder:
     return Encoder(files)
 
 
-def tokenize(docs: DataFrame, files: Tokenizers = Tokenizers()) -> DataFrame:  # noqa: B008 - frozen
-    """The tokens of a space and each text, by both tokenizers; all that follows is Spark's own functions.
-
-    A row has some documents (``docs``: doc_id, units, n_a, n_b) and each of their distinct
-    units once: units, mostly words, are the least pieces that both tokenizers encode by
-    themselves, and a text is a list of their numbers. For a side s, ``s_ids`` and ``s_ends``
-    are the tokens of all units in turn with their end offsets in bytes, ``s_from`` the place
-    where each unit's tokens start (and the number of all). A text that is null or empty, or
-    that the tokens of one side don't spell (which a model that changes characters can't), has no units.
-    """
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+def _tokenized(files: Tokenizers):
+    """The rows of ``tokenize``, from batches of doc_id and text."""
 
     def listed(values: np.ndarray) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values.astype(np.int32)))
@@ -190,89 +181,82 @@ def tokenize(docs: DataFrame, files: Tokenizers = Tokenizers()) -> DataFrame:  #
             docs_list = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), pa.StructArray.from_arrays(of_docs, ["doc_id", "units", "n_a", "n_b"]))
             yield pa.record_batch([docs_list, *map(listed, (*a, *b))], names=["docs", *SIDES])
 
-    one = f"docs array<struct<doc_id:{id_type},units:array<int>,n_a:bigint,n_b:bigint>>"
-    return in_batches(docs.select("doc_id", "text"), rows, ", ".join([one, *(f"{c} array<int>" for c in SIDES)]))
-
-
-def _cut_ids(side: str, *marks: Column) -> Column:
-    """The ids of one side, comma-joined, with IDS + k after the ids that end where ``marks[k]`` say."""
-    tokens = F.zip_with(f"{side}_ends", f"{side}_ids", lambda end, k: end.cast("long") * (2 * IDS) + k)
-
-    def marked(ends: Column, mark: int) -> Column:
-        return F.transform(ends, lambda end: end.cast("long") * (2 * IDS) + mark)
-
-    placed = [marked(ends, IDS + k) for k, ends in enumerate(marks)]
-    ids = F.transform(F.sort_array(F.concat(tokens, *placed)), lambda x: x.bitwiseAND(F.lit(2 * IDS - 1)))
-    return F.concat(F.array_join(ids.cast("array<string>"), ","), F.lit(","))
-
-
-def _unit_groups() -> Column:
-    """The groups of each unit, as text: both sides are cut where tokens of both end, and put together group by group.
-
-    B's ids carry a slash at the end of a unit, by which the groups are split into units.
-    """
-    unit_ends = F.transform("a_from", lambda n: F.coalesce(F.get("a_ends", n - 1), F.lit(0)))
-    a = F.replace(_cut_ids("a", F.col("common")), F.lit(f",{IDS},"), F.lit(";"))
-    b = F.replace(_cut_ids("b", F.col("common"), F.slice(unit_ends, F.lit(2), F.size("a_from"))), F.lit(f",{IDS},{IDS + 1},"), F.lit("/;"))
-    b = F.replace(b, F.lit(f",{IDS},"), F.lit(";"))
-    both = F.array_join(F.zip_with(F.split(a, ";"), F.split(b, ";"), lambda x, y: F.concat(x, F.lit("|"), y)), ";")
-    return F.split(F.replace(both, F.lit("/;"), F.lit("/")), "/")
-
-
-def _ends() -> Column:
-    """The ends of both sides sorted: end * 2 ** 33 + (2 ** 32 if it is of side B) + the token's place."""
-    a = F.transform("a_ends", lambda e, k: e.cast("long") * (1 << 33) + k)
-    b = F.transform("b_ends", lambda e, k: e.cast("long") * (1 << 33) + (k.cast("long") + (1 << 32)))
-    return F.sort_array(F.concat(a, b))
+    return rows
 
 
-def _unit_links(m: str) -> tuple[Column, Column]:
-    """The overlapping pairs of ids of each unit, as a * IDS + b, and ``_pairs`` to slice them from, by ``_ends`` in ``m``.
+def tokenize(docs: DataFrame, files: Tokenizers = Tokenizers()) -> DataFrame:  # noqa: B008 - frozen
+    """The tokens of a space and each text, by both tokenizers.
 
-    At place p of the sorted ends, the token of place k has p - k ends of the other side before
-    it, so the other side's token at that place is the one that this end falls into. Where both
-    end, A's element gives the pair and B's nothing. A unit's ends are as many as its tokens.
+    A row has some documents (``docs``: doc_id, units, n_a, n_b) and each of their distinct
+    units once: units, mostly words, are the least pieces that both tokenizers encode by
+    themselves, and a text is a list of their numbers. For a side s, ``s_ids`` and ``s_ends``
+    are the tokens of all units in turn with their end offsets in bytes, ``s_from`` the place
+    where each unit's tokens start (and the number of all). A text that is null or empty, or
+    that the tokens of one side don't spell (which a model that changes characters can't), has no units.
     """
-
-    def pair(x: Column, p: Column) -> Column:
-        own = x.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
-        joined = lambda a, b: F.get("a_ids", a).cast("long") * IDS + F.get("b_ids", b)
-        both = F.coalesce(F.shiftright(x, 33) == F.shiftright(F.get(m, p - 1), 33), F.lit(False))  # nothing ends before the first
-        return F.when(x.bitwiseAND(F.lit(1 << 32)) == 0, joined(own, p - own)).when(~both, joined(p - own, own)).otherwise(-1)
-
-    place = lambda u: F.get("a_from", u) + F.get("b_from", u)
-    return F.transform(F.sequence(F.lit(0), F.size("a_from") - 2), lambda u: F.filter(F.slice("_pairs", place(u) + 1, place(u + 1) - place(u)), lambda x: x >= 0)), F.transform(m, pair)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    one = f"docs array<struct<doc_id:{id_type},units:array<int>,n_a:bigint,n_b:bigint>>"
+    return in_batches(docs.select("doc_id", "text"), _tokenized(files), ", ".join([one, *(f"{c} array<int>" for c in SIDES)]))
 
 
-def _evaluated(df: DataFrame, *names: str) -> DataFrame:
-    """``df`` with the columns ``names`` worked out once a row.
+def _units(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """From [ids, ends, from] of both sides of some units: links, where each unit's begin, and each unit's groups as text and number.
 
-    The optimiser moves a column that one expression uses into it, which may be a lambda that
-    runs for every element; it doesn't move it over a generator.
+    Between two ends that follow each other, of whichever side, lies a part of one token of A and one
+    of B, and two tokens that overlap have one such part in common: a part is a link.
     """
-    return df.select(*[c for c in df.columns if c not in names], F.inline(F.array(F.struct(*names))))
-
-
-def align(tokens: DataFrame) -> DataFrame:
-    """A row per document of ``tokenize``'s: doc_id, n_a, n_b, ``groups`` (as text) and ``links`` (a * IDS + b).
+    (a_ids, a_ends, a_from), (b_ids, b_ends, _) = a, b
+    ends = np.union1d(a_ends, b_ends)
+    i, j = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+    links = a_ids[i] * IDS + b_ids[j]
+    common = (a_ends[i] == ends) & (b_ends[j] == ends)
+    unit_ends = a_ends[a_from[1:] - 1]
+    begins = np.concatenate([[0], np.searchsorted(ends, unit_ends, side="right")])
+    a_text, b_text = (list(map(str, x.tolist())) for x in (a_ids, b_ids))
+    groups, x, y = [], 0, 0
+    for k, m in zip((i[common] + 1).tolist(), (j[common] + 1).tolist(), strict=True):
+        groups.append(f"{a_text[x] if k == x + 1 else ','.join(a_text[x:k])}|{b_text[y] if m == y + 1 else ','.join(b_text[y:m])}")
+        x, y = k, m
+    cuts = np.concatenate([[0], np.searchsorted(ends[common], unit_ends, side="right")])
+    bounds = cuts.tolist()
+    return links, begins, [";".join(groups[x:y]) for x, y in zip(bounds, bounds[1:], strict=False)], np.diff(cuts)
+
+
+def align(docs: DataFrame, files: Tokenizers = Tokenizers()) -> DataFrame:  # noqa: B008 - frozen
+    """A row per document: doc_id, n_a, n_b, n_groups, ``groups`` (as text) and ``links`` (a * IDS + b).
 
     Groups are what lies between the offsets at which tokens of both sides end. They are
     written ``a1,a2|b1;a3|b2,b3``, in order; links are in the order of the text. Both are made
-    once for each distinct unit, by functions that are linear in the tokens, and then put
-    together for every text. (Growing an array in ``aggregate`` would copy it at each step.)
+    once for each distinct unit of a row of ``tokenize``, over all its tokens at once, and then put together for
+    every text. Both steps are in one worker, so that the tokens of a chunk stay in it.
     """
-    unit_links, pairs = _unit_links("_m")
-    found = F.size("a_from") > 1
-    made = tokens.withColumns({"common": F.array_intersect("a_ends", "b_ends"), "_m": _ends()}).withColumns({"_groups": _unit_groups(), "_pairs": pairs})
-    made = _evaluated(made, "_groups", "_pairs")
-    made = _evaluated(made.withColumn("_links", F.when(found, unit_links).otherwise(F.array().cast("array<array<bigint>>"))), "_links")
+    id_type, tokenized = docs.schema["doc_id"].dataType.simpleString(), _tokenized(files)
 
-    def put_together(d: Column) -> Column:
-        groups = F.array_join(F.transform(d["units"], lambda u: F.get("_groups", u)), ";")
-        links = F.flatten(F.transform(d["units"], lambda u: F.get("_links", u)))
-        return F.struct(d["doc_id"].alias("doc_id"), d["n_a"].alias("n_a"), d["n_b"].alias("n_b"), groups.alias("groups"), links.alias("links"))
-
-    return made.select(F.inline(F.transform("docs", put_together)))
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tokenized(batches):
+            sides = [[batch.column(f"{s}_{c}") for c in ("ids", "ends", "from")] for s in "ab"]
+            for k in range(batch.num_rows):
+                docs = batch.column("docs")[k].values
+                doc_id, listed, n_a, n_b = docs.flatten()
+                counts = listed.value_lengths().to_numpy(zero_copy_only=False)
+                units = listed.flatten().to_numpy(zero_copy_only=False)
+                places = np.concatenate([[0], np.cumsum(counts)])
+                if not len(units):
+                    none = pa.array([0] * len(docs), pa.int64())
+                    yield pa.record_batch([doc_id, n_a, n_b, none, pa.array([""] * len(docs)), pa.array([[]] * len(docs), pa.list_(pa.int64()))], names=names)
+                    continue
+                links, begins, text, n_groups = _units(*(tuple(c[k].values.to_numpy(zero_copy_only=False).astype(np.int64) for c in side) for side in sides))
+                sizes = np.diff(begins)[units]
+                ends = np.concatenate([[0], np.cumsum(sizes)])
+                every = links[np.repeat(begins[units] - ends[:-1], sizes) + np.arange(ends[-1])]
+                texts, bounds = [text[u] for u in units.tolist()], places.tolist()
+                groups = pa.array([";".join(texts[x:y]) for x, y in zip(bounds, bounds[1:], strict=False)], pa.string())
+                summed = np.concatenate([[0], np.cumsum(n_groups[units])])
+                yield pa.record_batch([doc_id, n_a, n_b, pa.array(np.diff(summed[places])), groups, pa.ListArray.from_arrays(pa.array(ends[places].astype(np.int32)), pa.array(every))], names=names)
+
+    columns = {"doc_id": id_type, "n_a": "long", "n_b": "long", "n_groups": "long", "groups": "string", "links": "array<long>"}
+    names = list(columns)
+    return in_batches(docs.select("doc_id", "text"), rows, ", ".join(f"{n} {t}" for n, t in columns.items()))
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
@@ -292,11 +276,9 @@ def report(docs: DataFrame, files: Tokenizers = Tokenizers()) -> DataFrame:  # n
     The table of pairs is bounded by the vocabularies; it is sent to all tasks while it is small
     enough, so links aren't shuffled, and joined by shuffle beyond that, once per row and pair.
     """
-    aligned = align(tokenize(docs, files))
+    aligned = align(docs, files)
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
-    bars = F.length("groups") - F.length(F.replace("groups", F.lit("|"), F.lit("")))
-    counts = {"n_groups": bars.cast("long"), "n_links": F.size("links").cast("long")}
-    rows = store(aligned.withColumns(counts | {"groups_sha256": digest, "_row": F.monotonically_increasing_id()}).drop("groups"), "alignment")
+    rows = store(aligned.withColumns({"n_links": F.size("links").cast("long"), "groups_sha256": digest, "_row": F.monotonically_increasing_id()}).drop("groups"), "alignment")
     pairs = store(pair_counts(rows), "alignment-pairs")
     listed = small(pairs, PAIRS)
     links = rows.select("_row", F.explode("links").alias("pair"))
