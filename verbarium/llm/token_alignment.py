@@ -5,8 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
@@ -24,8 +23,10 @@ ID_BITS = 20
 IDS = 1 << ID_BITS
 #: Most rows of the table of id pairs that is sent to all tasks.
 PAIRS = 1_000_000
-#: Encodings that a worker remembers, twice at most: characters of a unit, and units.
-UNIT, REMEMBERED = 48, 100_000
+#: What a worker remembers, twice at most: characters of a unit, units, and their tokens of A.
+UNIT, REMEMBERED, TOKENS = 48, 100_000, 1_000_000
+#: Units that are encoded as one text.
+TOGETHER = 512
 #: Characters of the texts that share a list of units, unless one text has more.
 CHUNK = 150_000
 SIDES = tuple(f"{s}_{c}" for s in "ab" for c in ("ids", "ends", "from"))
@@ -59,7 +60,7 @@ def byte_letters() -> dict[str, int]:
 
 
 class Encoder:
-    """Both tokenizers in one worker, with the bytes of every token and the last units' encodings."""
+    """Both tokenizers in one worker, with the bytes of every token and what is known of the last units."""
 
     def __init__(self, files: Tokenizers) -> None:
         from sentencepiece import SentencePieceProcessor
@@ -87,8 +88,7 @@ class Encoder:
         if max(len(self.a_bytes), len(self.b_bytes)) > IDS:
             raise ValueError(f"ids must be below {IDS}")
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in y], dtype=np.int64) for y in (self.a_bytes, self.b_bytes))
-        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
-        self.older: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.known, self.older = Known(), Known()
 
     def by_a(self, units: list[str]) -> list[list[int]]:
         """A's ids of a space and each unit: of plain letters and signs by the faster library, which cuts those alike."""
@@ -104,51 +104,157 @@ class Encoder:
         slow = iter([e.ids for e in self.whole.encode_batch_fast(rest, add_special_tokens=False)] if rest else ())
         return [next(quick if p else slow) for p in plain]
 
-    def encode(self, units: list[str]) -> list[tuple[bytes, bytes, bool]]:
-        """For each of some distinct units the ids of both (as 32-bit numbers), and whether both spell the unit after a space."""
-        if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        known, older = self.known.get, self.older.get
-        found = [known(u) or older(u) for u in units]
-        new = [k for k, x in enumerate(found) if x is None]
-        if new:
-            words = [units[k] for k in new]
-            a_bytes, b_bytes = self.a_bytes, self.b_bytes
-            for k, u, a, b in zip(new, words, self.by_a(words), self.b.encode(words, num_threads=1), strict=True):
-                text = b" " + u.encode()
-                spelt = b"".join([a_bytes[x] for x in a]) == text == b"".join([b_bytes[x] for x in b])
-                found[k] = array("I", a).tobytes(), array("I", b).tobytes(), spelt
-        self.known |= {u: x for u, x in zip(units, found, strict=True) if len(u) <= UNIT}
-        return found
-
-    def chunk(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
-        """The texts as numbers of distinct units, which both tokenizers encode by themselves and spell exactly.
+    def _joined(self, units: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """For both sides the ids of all units, encoded as one text, and each unit's number of tokens; None if one isn't spelt.
 
-        Gives for the texts [units, number of units, tokens of A, of B], and for each side of the units,
-        one after another, [ids, end offsets in bytes, place where each unit's tokens start].
+        Units begin and end with characters that are no white space, so no token reaches from one into the next.
         """
+        line = " ".join(units)
+        text = b" " + line.encode()
+        lengths = np.array([len(u.encode()) for u in units] if len(text) > len(line) + 1 else [len(u) for u in units], np.int64)
+        unit_ends, sides = np.cumsum(lengths + 1), []
+        for ids, spelling, sizes in ((self.fast.encode_ordinary(" " + line), self.a_bytes, self.a_sizes), (self.b.encode(line), self.b_bytes, self.b_sizes)):
+            if b"".join([spelling[k] for k in ids]) != text:
+                return None
+            found = np.array(ids, np.int64)
+            ends = np.cumsum(sizes[found])
+            to = np.searchsorted(ends, unit_ends)
+            if (ends[to] != unit_ends).any():
+                return None
+            sides.append((found, np.diff(to + 1, prepend=0)))
+        return sides
+
+    def learn(self, units: Iterable[str]) -> None:
+        """Encodes and aligns those of some distinct units that aren't known."""
+        known, older = self.known, self.older.number
+        new = [u for u in units if u not in known.number and u not in known.wrong]
+        known.copy(self.older, [u for u in new if u in older])
+        new = [u for u in new if u not in older]
+        single, done, sides = [], [], ([], [])
+        together = []
+        for u in new:
+            quick = self.fast is not None and len(u) <= QUICK and (u.isascii() or max(u) < BEYOND)
+            (together if quick and not (u[0].isspace() or u[-1].isspace()) else single).append(u)
+        for k in range(0, len(together), TOGETHER):
+            piece = together[k : k + TOGETHER]
+            found = self._joined(piece)
+            if found is None:
+                single += piece
+                continue
+            done += piece
+            for side, x in zip(sides, found, strict=True):
+                side.append(x)
+        if single:
+            alone = ([], [])
+            for u, a, b in zip(single, self.by_a(single), self.b.encode(single, num_threads=1), strict=True):
+                text = b" " + u.encode()
+                if b"".join([self.a_bytes[x] for x in a]) == text == b"".join([self.b_bytes[x] for x in b]):
+                    done.append(u)
+                    alone[0].append(a)
+                    alone[1].append(b)
+                else:
+                    known.wrong.add(u)
+            for side, lists in zip(sides, alone, strict=True):
+                side.append((np.array(list(chain.from_iterable(lists)), np.int64), np.array([len(x) for x in lists], np.int64)))
+        if done:
+            (a, n_a), (b, n_b) = ([np.concatenate(x) for x in zip(*side, strict=True)] for side in sides)
+            known.add(done, (a, n_a, np.cumsum(self.a_sizes[a])), (b, n_b, np.cumsum(self.b_sizes[b])))
+
+    def chunk(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The texts as numbers of known units, which both tokenizers encode by themselves and spell exactly: all numbers, and how many each text has."""
+        if len(self.known) + len(self.known.wrong) > REMEMBERED or self.known.ids[0].n > TOKENS:
+            self.known, self.older = Known(), self.known
         split = [_CUT.split(t) if t else [] for t in texts]
-        number, units, found = self._numbered(split)
-        wrong = {u for u, x in zip(number, found, strict=True) if not x[2]}
+        self.learn(dict.fromkeys(chain.from_iterable(split)))
+        wrong = self.known.wrong
         if wrong:  # such a text is a unit as a whole, or has no tokens
             for k in [k for k, x in enumerate(split) if not wrong.isdisjoint(x)]:
-                split[k] = [texts[k]] if self.encode([texts[k]])[0][2] else []
-            number, units, found = self._numbered(split)
-        counts = np.array([len(x) for x in split], np.int64)
-        text_of = np.repeat(np.arange(len(texts)), counts)
-        sides, sums = [], []
-        for k, sizes in ((0, self.a_sizes), (1, self.b_sizes)):
-            ids = np.frombuffer(b"".join([x[k] for x in found]), np.uint32)
-            length = np.array([len(x[k]) // 4 for x in found], np.int64)
-            sides.append([ids, np.cumsum(sizes[ids]), np.concatenate([[0], np.cumsum(length)])])
-            sums.append(np.bincount(text_of, weights=length[units], minlength=len(texts)))
-        return [units, counts, *sums], *sides
-
-    def _numbered(self, split: list[list[str]]) -> tuple[list[str], np.ndarray, list[tuple[bytes, bytes, bool]]]:
-        names = list(dict.fromkeys(chain.from_iterable(split)))
-        number = dict(zip(names, range(len(names)), strict=True))
-        units = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int32)
-        return names, units, self.encode(names)
+                self.learn([texts[k]])
+                split[k] = [] if texts[k] in wrong else [texts[k]]
+        numbers = np.fromiter(map(self.known.number.__getitem__, chain.from_iterable(split)), np.int64)
+        self.known.forget_long()
+        return numbers, np.array([len(x) for x in split], np.int64)
+
+
+class Grown:
+    """An array that grows at its end."""
+
+    def __init__(self) -> None:
+        self.held, self.n = np.zeros(1 << 12, np.int64), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.held):
+            self.held = np.concatenate([self.held[: self.n], np.zeros(self.n + 2 * len(values), np.int64)])
+        self.held[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+
+class Ranges:
+    """Lists of numbers, one after another."""
+
+    def __init__(self) -> None:
+        self.values, self.start, self.size = Grown(), Grown(), Grown()
+
+    @property
+    def n(self) -> int:
+        return self.values.n
+
+    def extend(self, values: np.ndarray, sizes: np.ndarray) -> None:
+        self.start.extend(self.values.n + np.cumsum(sizes) - sizes)
+        self.size.extend(sizes)
+        self.values.extend(values)
+
+    def take(self, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of these lists in turn, and where each list's begin, with the number of all."""
+        size = self.size.held[lists]
+        places = np.concatenate([[0], np.cumsum(size)])
+        return self.values.held[np.repeat(self.start.held[lists] - places[:-1], size) + np.arange(places[-1])], places
+
+
+class Known:
+    """What a worker knows of units: their numbers, and by number the ids of both sides, links, and groups as text and number."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.wrong: set[str] = set()
+        self.long: list[str] = []
+        self.ids, self.links, self.groups, self.n_groups = (Ranges(), Ranges()), Ranges(), [], Grown()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.number)
+
+    def __len__(self) -> int:
+        return len(self.number)
+
+    def _name(self, units: list[str]) -> None:
+        self.number.update(zip(units, range(len(self.groups), len(self.groups) + len(units)), strict=True))
+        self.long += [u for u in units if len(u) > UNIT]
+
+    def forget_long(self) -> None:
+        """Long units lose their names; a text that is worked on still has their numbers."""
+        for u in self.long:
+            del self.number[u]
+        self.long = []
+
+    def copy(self, other: Known, units: list[str]) -> None:
+        """What ``other`` knows of ``units``."""
+        lists = np.array([other.number[u] for u in units], np.int64)
+        self._name(units)
+        for kept, found in zip((*self.ids, self.links), (*other.ids, other.links), strict=True):
+            values, places = found.take(lists)
+            kept.extend(values, np.diff(places))
+        self.groups += [other.groups[k] for k in lists.tolist()]
+        self.n_groups.extend(other.n_groups.held[lists])
+
+    def add(self, units: list[str], *sides: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
+        """New units with the [ids, number of tokens, ends] of both sides."""
+        self._name(units)
+        for kept, (ids, count, _) in zip(self.ids, sides, strict=True):
+            kept.extend(ids, count)
+        links, sizes, text, n_groups = _units(*sides)
+        self.links.extend(links, sizes)
+        self.groups += text
+        self.n_groups.extend(n_groups)
 
 
 @lru_cache(maxsize=1)
@@ -162,28 +268,36 @@ def _tokenized(files: Tokenizers):
     def listed(values: np.ndarray) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values.astype(np.int32)))
 
-    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str | None]]]:
-        for batch in batches:
-            texts, start, held = batch.column("text").to_pylist(), 0, 0
-            for k, text in enumerate(texts):
-                if held and held + len(text or "") > CHUNK:
-                    yield batch.column("doc_id").slice(start, k - start), texts[start:k]
-                    start, held = k, 0
-                held += len(text or "")
-            yield batch.column("doc_id").slice(start), texts[start:]
-
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(files)
-        for doc_ids, texts in chunks(batches):
-            (units, counts, n_a, n_b), a, b = encoder.chunk(texts)
-            places = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
-            of_docs = [doc_ids, pa.ListArray.from_arrays(places, pa.array(units)), pa.array(n_a.astype(np.int64)), pa.array(n_b.astype(np.int64))]
+        for doc_ids, texts in _chunks(batches):
+            units, counts = encoder.chunk(texts)
+            distinct, units = np.unique(units, return_inverse=True)
+            places = np.concatenate([[0], np.cumsum(counts)])
+            sides, sums = [], []
+            for kept, sizes in zip(encoder.known.ids, (encoder.a_sizes, encoder.b_sizes), strict=True):
+                ids, start = kept.take(distinct)
+                sides += [ids, np.cumsum(sizes[ids]), start]
+                sums.append(pa.array(np.diff(np.concatenate([[0], np.cumsum(np.diff(start)[units])])[places])))
+            of_docs = [doc_ids, pa.ListArray.from_arrays(pa.array(places.astype(np.int32)), pa.array(units.astype(np.int32))), *sums]
             docs_list = pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), pa.StructArray.from_arrays(of_docs, ["doc_id", "units", "n_a", "n_b"]))
-            yield pa.record_batch([docs_list, *map(listed, (*a, *b))], names=["docs", *SIDES])
+            yield pa.record_batch([docs_list, *map(listed, sides)], names=["docs", *SIDES])
 
     return rows
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[str | None]]]:
+    """doc_id and text of some documents at once."""
+    for batch in batches:
+        texts, start, held = batch.column("text").to_pylist(), 0, 0
+        for k, text in enumerate(texts):
+            if held and held + len(text or "") > CHUNK:
+                yield batch.column("doc_id").slice(start, k - start), texts[start:k]
+                start, held = k, 0
+            held += len(text or "")
+        yield batch.column("doc_id").slice(start), texts[start:]
+
+
 def tokenize(docs: DataFrame, files: Tokenizers = Tokenizers()) -> DataFrame:  # noqa: B008 - frozen
     """The tokens of a space and each text, by both tokenizers.
 
@@ -199,27 +313,38 @@ def tokenize(docs: DataFrame, files: Tokenizers = Tokenizers()) -> DataFrame:  #
     return in_batches(docs.select("doc_id", "text"), _tokenized(files), ", ".join([one, *(f"{c} array<int>" for c in SIDES)]))
 
 
+# The digits of each id, as the bytes of a 64-bit number, and how many they are.
+_DIGITS = np.array([str(k) for k in range(IDS)], "S8")
+_DIGITS, _LENGTH = _DIGITS.view("<u8"), np.char.str_len(_DIGITS).astype(np.int64)
+
+
 def _units(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
-    """From [ids, ends, from] of both sides of some units: links, where each unit's begin, and each unit's groups as text and number.
+    """From [ids, number of each unit's tokens, ends] of both sides of some units: links, each unit's number of them, and its groups as text and number.
 
     Between two ends that follow each other, of whichever side, lies a part of one token of A and one
     of B, and two tokens that overlap have one such part in common: a part is a link.
     """
-    (a_ids, a_ends, a_from), (b_ids, b_ends, _) = a, b
-    ends = np.union1d(a_ends, b_ends)
+    (a_ids, a_count, a_ends), (b_ids, b_count, b_ends) = a, b
+    ends = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+    ends = ends[np.diff(ends, prepend=0) > 0]
     i, j = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
     links = a_ids[i] * IDS + b_ids[j]
-    common = (a_ends[i] == ends) & (b_ends[j] == ends)
-    unit_ends = a_ends[a_from[1:] - 1]
-    begins = np.concatenate([[0], np.searchsorted(ends, unit_ends, side="right")])
-    a_text, b_text = (list(map(str, x.tolist())) for x in (a_ids, b_ids))
-    groups, x, y = [], 0, 0
-    for k, m in zip((i[common] + 1).tolist(), (j[common] + 1).tolist(), strict=True):
-        groups.append(f"{a_text[x] if k == x + 1 else ','.join(a_text[x:k])}|{b_text[y] if m == y + 1 else ','.join(b_text[y:m])}")
-        x, y = k, m
-    cuts = np.concatenate([[0], np.searchsorted(ends[common], unit_ends, side="right")])
-    bounds = cuts.tolist()
-    return links, begins, [";".join(groups[x:y]) for x, y in zip(bounds, bounds[1:], strict=False)], np.diff(cuts)
+    common = ends[(a_ends[i] == ends) & (b_ends[j] == ends)]
+    unit_ends = a_ends[np.cumsum(a_count) - 1]
+    sizes, n_groups = (np.diff(np.searchsorted(x, unit_ends, side="right"), prepend=0) for x in (ends, common))
+    # The tokens of both sides in the order of the text that names them: by groups, there A's before B's.
+    of_a, of_b = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+    place_a = np.arange(len(a_ids)) + np.searchsorted(of_b, of_a)
+    place_b = np.arange(len(b_ids)) + np.searchsorted(of_a, of_b, side="right")
+    ids, sign = np.empty(len(a_ids) + len(b_ids), np.int64), np.empty(len(a_ids) + len(b_ids), np.uint64)
+    ids[place_a], ids[place_b] = a_ids, b_ids
+    for place, group, last in ((place_a, of_a, "|"), (place_b, of_b, ";")):
+        sign[place] = np.where(np.diff(group, append=-1) == 0, ord(","), ord(last))
+    length = _LENGTH[ids]
+    named = (_DIGITS[ids] | sign << (8 * length).astype(np.uint64)).view(np.uint8)
+    text = named[named != 0].tobytes().decode()
+    bounds = np.concatenate([[0], np.cumsum(length + 1)])[np.cumsum(a_count + b_count)].tolist()
+    return links, sizes, [text[x : y - 1] for x, y in zip([0, *bounds], bounds, strict=False)], n_groups
 
 
 def align(docs: DataFrame, files: Tokenizers = Tokenizers()) -> DataFrame:  # noqa: B008 - frozen
@@ -227,32 +352,22 @@ def align(docs: DataFrame, files: Tokenizers = Tokenizers()) -> DataFrame:  # no
 
     Groups are what lies between the offsets at which tokens of both sides end. They are
     written ``a1,a2|b1;a3|b2,b3``, in order; links are in the order of the text. Both are made
-    once for each distinct unit of a row of ``tokenize``, over all its tokens at once, and then put together for
-    every text. Both steps are in one worker, so that the tokens of a chunk stay in it.
+    once for each unit that a worker meets and remembers, over the tokens of many units at once, and then put
+    together for every text.
     """
-    id_type, tokenized = docs.schema["doc_id"].dataType.simpleString(), _tokenized(files)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tokenized(batches):
-            sides = [[batch.column(f"{s}_{c}") for c in ("ids", "ends", "from")] for s in "ab"]
-            for k in range(batch.num_rows):
-                docs = batch.column("docs")[k].values
-                doc_id, listed, n_a, n_b = docs.flatten()
-                counts = listed.value_lengths().to_numpy(zero_copy_only=False)
-                units = listed.flatten().to_numpy(zero_copy_only=False)
-                places = np.concatenate([[0], np.cumsum(counts)])
-                if not len(units):
-                    none = pa.array([0] * len(docs), pa.int64())
-                    yield pa.record_batch([doc_id, n_a, n_b, none, pa.array([""] * len(docs)), pa.array([[]] * len(docs), pa.list_(pa.int64()))], names=names)
-                    continue
-                links, begins, text, n_groups = _units(*(tuple(c[k].values.to_numpy(zero_copy_only=False).astype(np.int64) for c in side) for side in sides))
-                sizes = np.diff(begins)[units]
-                ends = np.concatenate([[0], np.cumsum(sizes)])
-                every = links[np.repeat(begins[units] - ends[:-1], sizes) + np.arange(ends[-1])]
-                texts, bounds = [text[u] for u in units.tolist()], places.tolist()
-                groups = pa.array([";".join(texts[x:y]) for x, y in zip(bounds, bounds[1:], strict=False)], pa.string())
-                summed = np.concatenate([[0], np.cumsum(n_groups[units])])
-                yield pa.record_batch([doc_id, n_a, n_b, pa.array(np.diff(summed[places])), groups, pa.ListArray.from_arrays(pa.array(ends[places].astype(np.int32)), pa.array(every))], names=names)
+        encoder = _encoder(files)
+        for doc_ids, texts in _chunks(batches):
+            units, counts = encoder.chunk(texts)
+            known, places = encoder.known, np.concatenate([[0], np.cumsum(counts)])
+            summed = lambda values: pa.array(np.diff(np.concatenate([[0], np.cumsum(values.held[units])])[places]))  # noqa: B023, E731
+            links, starts = known.links.take(units)
+            parts, bounds = list(map(known.groups.__getitem__, units.tolist())), places.tolist()
+            groups = pa.array([";".join(parts[x:y]) for x, y in zip(bounds, bounds[1:], strict=False)], pa.string())
+            columns = [doc_ids, *(summed(x.size) for x in known.ids), summed(known.n_groups), groups, pa.ListArray.from_arrays(pa.array(starts[places].astype(np.int32)), pa.array(links))]
+            yield pa.record_batch(columns, names=names)
 
     columns = {"doc_id": id_type, "n_a": "long", "n_b": "long", "n_groups": "long", "groups": "string", "links": "array<long>"}
     names = list(columns)
