@@ -313,9 +313,11 @@ def tokenize(docs: DataFrame, files: Tokenizers = Tokenizers()) -> DataFrame:  #
     return in_batches(docs.select("doc_id", "text"), _tokenized(files), ", ".join([one, *(f"{c} array<int>" for c in SIDES)]))
 
 
-# The digits of each id, as the bytes of a 64-bit number, and how many they are.
-_DIGITS = np.array([str(k) for k in range(IDS)], "S8")
-_DIGITS, _LENGTH = _DIGITS.view("<u8"), np.char.str_len(_DIGITS).astype(np.int64)
+@lru_cache
+def _names(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The digits of each id of so many bits, as the bytes of a 64-bit number, and how many they are."""
+    digits = np.array([str(k) for k in range(1 << bits)], "S8")
+    return digits.view("<u8"), np.char.str_len(digits).astype(np.int64)
 
 
 def _units(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
@@ -340,8 +342,9 @@ def _units(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.nda
     ids[place_a], ids[place_b] = a_ids, b_ids
     for place, group, last in ((place_a, of_a, "|"), (place_b, of_b, ";")):
         sign[place] = np.where(np.diff(group, append=-1) == 0, ord(","), ord(last))
-    length = _LENGTH[ids]
-    named = (_DIGITS[ids] | sign << (8 * length).astype(np.uint64)).view(np.uint8)
+    digits, lengths = _names(int(ids.max()).bit_length())
+    length = lengths[ids]
+    named = (digits[ids] | sign << (8 * length).astype(np.uint64)).view(np.uint8)
     text = named[named != 0].tobytes().decode()
     bounds = np.concatenate([[0], np.cumsum(length + 1)])[np.cumsum(a_count + b_count)].tolist()
     return links, sizes, [text[x : y - 1] for x, y in zip([0, *bounds], bounds, strict=False)], n_groups
